@@ -1,0 +1,20 @@
+"""Row counts per stage."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def stage_row_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
+    """Number of rows of each stage, counted where the rows are."""
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(stage).alias("stage"), "row_count"
+        )
+        for stage, df in stages.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
