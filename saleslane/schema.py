@@ -1,73 +1,80 @@
-"""Table schemas: the sales input and the two report tables."""
+"""Table schemas: the sales input and the report tables."""
 
 from __future__ import annotations
 
 from pyspark.sql.types import StructType
 
 # Column names, order and types of the sales table.
-SALES_COLUMNS = """
-    id INT,
-    customer_id STRING,
-    product_id STRING,
-    quantity INT,
-    price DOUBLE,
-    transaction_date TIMESTAMP,
-    category STRING,
-    region STRING
-"""
+SALES_COLUMNS = {
+    "id": "integer",
+    "customer_id": "string",
+    "product_id": "string",
+    "quantity": "integer",
+    "price": "double",
+    "transaction_date": "timestamp",
+    "category": "string",
+    "region": "string",
+}
 
 # Columns of one quality check row. A key that a check does not use is null.
-CHECK_COLUMNS = """
-    table_name STRING,
-    check_type STRING,
-    check_name STRING,
-    column_name STRING,
-    rule STRING,
-    total_records BIGINT,
-    null_count BIGINT,
-    failed_records BIGINT,
-    completeness_rate DOUBLE
-"""
-STAMP_COLUMNS = "check_timestamp TIMESTAMP, processing_date STRING"
+CHECK_COLUMNS = {
+    "table_name": "string",
+    "check_type": "string",
+    "check_name": "string",
+    "column_name": "string",
+    "rule": "string",
+    "total_records": "long",
+    "null_count": "long",
+    "failed_records": "long",
+    "completeness_rate": "double",
+}
+STAMP_COLUMNS = {"check_timestamp": "timestamp", "processing_date": "string"}
 
 # Columns of one profiled column in the long form.
-PROFILE_COLUMNS = """
-    table_name STRING,
-    column_name STRING,
-    total_records BIGINT,
-    column_count INT,
-    min_val DOUBLE,
-    max_val DOUBLE,
-    avg_val DOUBLE,
-    non_null_count BIGINT
-"""
-
-STAGE_METRIC_COLUMNS = """
-    stage STRING,
-    output STRING,
-    rows_in BIGINT,
-    rows_out BIGINT,
-    rows_rejected BIGINT,
-    processing_date STRING
-"""
+PROFILE_COLUMNS = {
+    "table_name": "string",
+    "column_name": "string",
+    "total_records": "long",
+    "column_count": "integer",
+    "min_val": "double",
+    "max_val": "double",
+    "avg_val": "double",
+    "non_null_count": "long",
+}
+
+STAGE_METRIC_COLUMNS = {
+    "stage": "string",
+    "output": "string",
+    "rows_in": "long",
+    "rows_out": "long",
+    "rows_rejected": "long",
+    "processing_date": "string",
+}
+
+
+def _nullable(columns: dict[str, str]) -> StructType:
+    schema = StructType()
+    for name, type_name in columns.items():
+        schema.add(name, type_name, nullable=True)
+    return schema
 
 
 def define_schema() -> StructType:
     """Schema of the sales input; every field is nullable."""
-    return StructType.fromDDL(SALES_COLUMNS)
+    return _nullable(SALES_COLUMNS)
 
 
 def check_schema() -> StructType:
-    return StructType.fromDDL(CHECK_COLUMNS)
+    return _nullable(CHECK_COLUMNS)
 
 
 def quality_results_schema() -> StructType:
-    return StructType.fromDDL(f"{CHECK_COLUMNS}, {STAMP_COLUMNS}")
+    return _nullable(CHECK_COLUMNS | STAMP_COLUMNS)
 
 
 def profile_schema() -> StructType:
-    return StructType.fromDDL(PROFILE_COLUMNS)
+    return _nullable(PROFILE_COLUMNS)
 
 
 def stage_metric_schema() -> StructType:
-    return StructType.fromDDL(STAGE_METRIC_COLUMNS)
+    return _nullable(STAGE_METRIC_COLUMNS)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -27,6 +28,20 @@ def create_spark_session(
     return builder.getOrCreate()
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """Set one option for the plans made inside the block, then put the old value back."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     """Use the folder named in ``spark.checkpoint.dir``; set ``fallback`` only if none is."""
     context = spark.sparkContext

@@ -7,6 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from saleslane.session import setting
+
+# Shuffled bytes per output file. Parquet packs them to about a third of this.
+FILE_TARGET = "512MB"
+ADVISORY_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Count the rows that pass this point of the plan while an action runs, without a scan."""
@@ -30,13 +36,14 @@ def write_layer(
     path: str,
     partitions: Sequence[str] = (),
     rebalance: bool = True,
+    file_target: str = FILE_TARGET,
     max_records_per_file: int | None = None,
 ) -> int:
     """Overwrite ``path`` with parquet and return the number of rows written.
 
     Without rebalancing, every task writes a file into every partition folder it has rows for.
     Rebalancing brings rows of a folder together, while adaptive execution splits large folders
-    and merges small ones to the advisory partition size; a folder is never held by one task.
+    and merges small ones to ``file_target``; a large folder is never held by one task.
     The count sits right below the write, where Spark counts each task once, so it stays exact
     when executors are lost.
     """
@@ -48,7 +55,8 @@ def write_layer(
         writer = writer.partitionBy(*partitions)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    writer.parquet(path)
+    with setting(df.sparkSession, ADVISORY_SIZE, file_target):
+        writer.parquet(path)
     return rows_of(written)
 
 

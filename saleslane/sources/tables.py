@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from saleslane.schema import define_schema
+from saleslane.session import setting
 
 # Partition columns that hold whole numbers.
 NUMBER_PARTITIONS = ("year", "month")
@@ -38,19 +36,6 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
     return spark.read.option("header", True).csv(path).columns
 
 
-@contextmanager
-def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
-
-
 def read_layer(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Parquet layer with its partition columns last.
 
@@ -59,7 +44,7 @@ def read_layer(spark: SparkSession, path: str, schema: StructType | None = None)
     """
     if schema is not None:
         return spark.read.schema(schema).parquet(path)
-    with _setting(spark, PARTITION_INFERENCE, "false"):
+    with setting(spark, PARTITION_INFERENCE, "false"):
         df = spark.read.parquet(path)
     numbers = {
         f.name: F.col(f.name).cast("int")
