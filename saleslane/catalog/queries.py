@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from saleslane.catalog.sales import (
     sales_clean,
+    sales_fact,
     sales_lines,
     sales_raw,
     sales_transformed,
@@ -35,7 +36,7 @@ from saleslane.operators.integrity import (
     orphan_keys,
     uniqueness_violations,
 )
-from saleslane.operators.metrics import stage_row_counts
+from saleslane.operators.metrics import filter_row_counts, stage_row_counts
 from saleslane.operators.missing import check_missing_pattern, missing_pattern
 from saleslane.operators.precheck import check_input
 from saleslane.operators.report import (
@@ -45,7 +46,13 @@ from saleslane.operators.report import (
     union_checks,
 )
 from saleslane.operators.score import check_quality_score, quality_score, score_by_rules
-from saleslane.operators.summaries import CUSTOMER, DAILY, PRODUCT, distinct_values
+from saleslane.operators.summaries import (
+    CUSTOMER,
+    DAILY,
+    PRODUCT,
+    customer_summary_of_lines,
+    distinct_values,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -146,7 +153,7 @@ def daily_sales_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("customer_summary")
 def customer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(
-        CUSTOMER.of(sales_transformed(spark, sf_dir)),
+        customer_summary_of_lines(sales_lines(spark, sf_dir), money_scale=2),
         total_spent=cents("total_spent"),
         avg_transaction_amount=exact_average("avg_transaction_amount", "total_transactions"),
     )
@@ -195,7 +202,7 @@ def duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("numeric_profile")
 def numeric_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sales = sales_transformed(spark, sf_dir)
+    sales = sales_fact(spark, sf_dir)
     summaries = {s.name: s.of(sales) for s in (CUSTOMER, PRODUCT)}
     profile = generate_data_profile(sales, "transformed_sales")
     for name, summary in summaries.items():
@@ -336,7 +343,7 @@ def input_precheck(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sales = sales_transformed(spark, sf_dir)
+    sales = sales_fact(spark, sf_dir)
     tables = {"transformed_sales": sales} | {s.name: s.of(sales) for s in (DAILY, CUSTOMER, PRODUCT)}
     return quality_results(tables, PROCESSING_DATE, AS_OF).drop("check_timestamp")
 
@@ -358,16 +365,7 @@ def critical_report_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stage_row_counts")
 def row_counts_by_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sales = sales_transformed(spark, sf_dir)
-    lines = sales_lines(spark, sf_dir)
-    return stage_row_counts(
-        {
-            "raw": sales_raw(spark, sf_dir),
-            "processed": sales_clean(spark, sf_dir),
-            "transformed_sales": sales,
-            "daily_sales_summary": DAILY.of(lines),
-            "customer_summary": CUSTOMER.of(sales),
-            "product_summary": PRODUCT.of(lines),
-        }
-    )
-
+    sales = sales_fact(spark, sf_dir)
+    outputs = {"transformed_sales": sales} | {s.name: s.of(sales) for s in (DAILY, CUSTOMER, PRODUCT)}
+    cleaned = filter_row_counts(sales_raw(spark, sf_dir), usable_row(), "raw", "processed")
+    return cleaned.unionByName(stage_row_counts(outputs))

@@ -4,13 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from saleslane.operators.clean import clean_data
 from saleslane.operators.enrich import add_line_facts, transform_sales_data
+from saleslane.sources.sinks import staged
+
+
+_schemas: dict[str, StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table. Its footer is read for the schema once per process, not once per query."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def every(number: int, *columns: str) -> Column:
@@ -75,3 +84,8 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sales_transformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transform_sales_data(sales_clean(spark, sf_dir), money_scale=2)
+
+
+def sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transformed sales as a written table, as the quality checks find them."""
+    return staged(sales_transformed(spark, sf_dir), "transformed_sales")

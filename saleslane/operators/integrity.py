@@ -80,7 +80,9 @@ def orphan_keys(
     small enough.
     """
     parent_keys = parent_keys or keys
-    children = key_counts(df.dropna(subset=list(keys)), keys)
+    for key in keys:
+        df = df.where(quoted(key).isNotNull())
+    children = key_counts(df, keys)
     parents = parent.select(
         *[quoted(p).alias(f"_parent_{i}") for i, p in enumerate(parent_keys)]
     ).distinct()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -18,3 +18,13 @@ def stage_row_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
         for stage, df in stages.items()
     ]
     return reduce(DataFrame.unionByName, counts)
+
+
+def filter_row_counts(df: DataFrame, kept: Column, before: str, after: str) -> DataFrame:
+    """Number of rows before and after a filter, in one pass."""
+    counts = df.agg(F.count(F.lit(1)).alias("before"), F.count_if(kept).alias("after"))
+    rows = [
+        F.struct(F.lit(stage).alias("stage"), F.col(column).alias("row_count"))
+        for stage, column in ((before, "before"), (after, "after"))
+    ]
+    return counts.select(F.inline(F.array(*rows)))

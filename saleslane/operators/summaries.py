@@ -6,12 +6,14 @@ the shuffle as one row per map task.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from saleslane.functions.columns import SPEND_TIERS, spend_tier
+
 
 @dataclass(frozen=True)
 class Summary:
@@ -72,5 +74,24 @@ def create_aggregations(df: DataFrame) -> tuple[DataFrame, ...]:
     return tuple(summary.of(df) for summary in SUMMARIES)
 
 
+def customer_summary_of_lines(
+    lines: DataFrame,
+    tiers: Sequence[tuple[str, float]] = SPEND_TIERS,
+    money_scale: int | None = None,
+) -> DataFrame:
+    """The customer summary without the transformed fact.
+
+    Lines are read once and reach the shuffle as customer and region groups, so no line is
+    shuffled or joined. The window then runs over the groups, one row per region of a customer.
+    """
+    groups = replace(CUSTOMER, keys=("customer_id", "region")).of(lines)
+    total = F.sum("total_spent").over(Window.partitionBy("customer_id"))
+    tier = spend_tier(F.col("_total"), tiers, money_scale=money_scale)
+    columns = [*CUSTOMER.keys, *CUSTOMER.measures]
+    return (
+        groups.withColumn("_total", total).withColumn("customer_category", tier).select(*columns)
+    )
+
+
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()

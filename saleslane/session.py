@@ -9,12 +9,15 @@ from pyspark.sql import SparkSession
 
 # Cluster size, memory and the number of shuffle partitions belong to spark-submit;
 # only settings the jobs depend on are named here.
+# The last size lets adaptive execution hash a join side instead of sorting both sides, where
+# every measured partition of that side fits; it must not be below the file target of the sinks.
 JOB_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128MB",
 }
 
 
@@ -42,12 +45,13 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """Use the folder named in ``spark.checkpoint.dir``; set ``fallback`` only if none is."""
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """The shared folder for intermediate data, from the running session."""
+    return spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+
+
+def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> None:
+    """Let checkpoints go to the session's folder; name ``fallback`` only if it has none."""
     context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    folder = spark.conf.get("spark.checkpoint.dir", None) or fallback
-    context.setCheckpointDir(folder)
-    return folder
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(checkpoint_dir(spark) or fallback)

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from saleslane.session import setting
+from saleslane.session import checkpoint_dir, setting
 
-# Shuffled bytes per output file. Parquet packs them to about a third of this.
-FILE_TARGET = "512MB"
+# Shuffled bytes per output file.
+FILE_TARGET = "128MB"
 ADVISORY_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
@@ -63,3 +64,18 @@ def write_layer(
 def write_report(df: DataFrame, path: str) -> None:
     """Overwrite ``path`` with a report of few rows (checks, profiles, metrics) as one file."""
     df.coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once and go on from the written table, for plans that use it several times.
+
+    The table goes to the session's checkpoint folder, which all executors share; a lost
+    executor then costs a scan and not the work behind it. Without such a folder ``df`` is
+    returned as it is.
+    """
+    folder = checkpoint_dir(df.sparkSession)
+    if folder is None:
+        return df
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from saleslane.functions.columns import spend_tier
 from saleslane.operators.enrich import add_group_total, add_line_facts, transform_sales_data
-from saleslane.operators.summaries import create_aggregations
+from saleslane.operators.summaries import create_aggregations, customer_summary_of_lines
 
 
 def executed_plan(df):
@@ -214,6 +214,20 @@ def test_customer_with_two_regions_has_two_rows_and_one_tier(sales):
     assert (rows["North"].total_transactions, rows["South"].total_transactions) == (1, 0)
 
 
+def test_customer_summary_of_lines_is_the_same(sales):
+    rows = [
+        (i if i % 4 else None, f"C{i % 5}" if i % 7 else None, "P", i, 37.5, day, "a", region)
+        for i in range(1, 60)
+        for region in ("North", None, "")
+        for day in ("2024-01-01 00:00:00", None)
+    ]
+    lines = add_line_facts(sales(rows))
+    _, expected, _ = create_aggregations(transform_sales_data(sales(rows)))
+    actual = customer_summary_of_lines(lines)
+    assert actual.dtypes == expected.dtypes
+    assert sorted(map(repr, actual.collect())) == sorted(map(repr, expected.collect()))
+
+
 def test_nan_price_makes_premium(sales):
     df = sales([(1, "C", "P", 1, float("nan"), None, "a", "b")])
     row = transform_sales_data(df).first()

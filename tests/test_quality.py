@@ -38,6 +38,7 @@ from saleslane.operators.report import (
 )
 from saleslane.operators.score import check_quality_score, quality_score, score_by_rules
 from saleslane.schema import check_schema, quality_results_schema
+from saleslane.session import setting
 
 NAN = float("nan")
 
@@ -255,6 +256,17 @@ def test_composite_foreign_key(spark):
     assert [tuple(x) for x in orphan_keys(child, parent, ["n", "k"]).collect()] == [(1, "b", 1)]
 
 
+def test_foreign_key_join_reuses_the_shuffle_of_the_grouping(spark, capsys):
+    child = spark.range(100).select((F.col("id") % 7).alias("k"))
+    parent = spark.range(5).select(F.col("id").alias("p"))
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        check_foreign_key(child, parent, ["k"], ["p"]).explain()
+    plan = capsys.readouterr().out
+    # one exchange per side, before the join, and one for the single result row
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert plan.count("Exchange SinglePartition") == 1
+
+
 def test_uniqueness(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (1, None), (1, None), (2, "a")], "n int, k string")
     assert {tuple(x) for x in uniqueness_violations(df, ["n", "k"]).collect()} == {
