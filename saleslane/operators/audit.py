@@ -7,6 +7,7 @@ rows are then unfolded from that one row of measures.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 from datetime import datetime
 
@@ -73,50 +74,47 @@ class TableAudit:
 
     def results(self) -> DataFrame:
         """One row per checked column and one per rule."""
-        total = F.col("rows")
-        rows = []
-        for i, field in enumerate(self.checked):
-            missing = F.col(f"missing_{i}")
-            rows.append(
-                report_row(
-                    table_name=self.table_name,
-                    check_type="completeness",
-                    column_name=field.name,
-                    total_records=total,
-                    null_count=missing,
-                    completeness_rate=completeness_rate(total, missing),
-                )
-            )
-        for i, rule in enumerate(self.rules):
-            rows.append(
-                report_row(
-                    table_name=self.table_name,
-                    check_type=rule.check_type,
-                    check_name=rule.name,
-                    column_name=rule.column_name,
-                    rule=rule.text,
-                    failed_records=F.col(f"failed_{i}"),
-                )
-            )
-        return _unfold(self.measures, rows, check_schema().simpleString())
+        about = [("completeness", None, f.name, None) for f in self.checked]
+        about += [(r.check_type, r.name, r.column_name, r.text) for r in self.rules]
+        counts = [f"missing_{i}" for i in range(len(self.checked))]
+        counts += [f"failed_{i}" for i in range(len(self.rules))]
+
+        names = ["check_type", "check_name", "column_name", "rule"]
+        rows = _unfold(self.measures, names, about, "bigint", counts)
+        total, count = F.col("rows"), F.col("value")
+        complete = F.col("check_type") == "completeness"
+        return rows.select(
+            F.lit(self.table_name).alias("table_name"),
+            "check_type",
+            "check_name",
+            "column_name",
+            "rule",
+            F.when(complete, total).alias("total_records"),
+            F.when(complete, count).alias("null_count"),
+            F.when(~complete, count).alias("failed_records"),
+            F.when(complete, completeness_rate(total, count)).alias("completeness_rate"),
+        ).to(check_schema())
 
     def profile(self) -> DataFrame:
         """Long form: one row per numeric column, values as double."""
-        rows = [
-            F.struct(
-                F.lit(self.table_name).alias("table_name"),
-                F.lit(name).alias("column_name"),
-                F.col("rows").alias("total_records"),
-                F.lit(self.column_count).alias("column_count"),
-                F.col(f"min_{i}").cast("double").alias("min_val"),
-                F.col(f"max_{i}").cast("double").alias("max_val"),
-                F.col(f"avg_{i}").alias("avg_val"),
-                F.col(f"present_{i}").alias("non_null_count"),
-            )
-            for i, name in enumerate(self.profiled)
+        about = [(name,) for name in self.profiled]
+        value_type = "struct<min:double,max:double,avg:double,present:bigint>"
+        values = [
+            F.struct(f"min_{i}", f"max_{i}", f"avg_{i}", f"present_{i}").cast(value_type)
+            for i in range(len(self.profiled))
         ]
-        long = _unfold(self.measures, rows, profile_schema().simpleString())
-        return long.withColumn("profiled_at", F.current_timestamp())
+        rows = _unfold(self.measures, ["column_name"], about, value_type, values)
+        long = rows.select(
+            F.lit(self.table_name).alias("table_name"),
+            "column_name",
+            F.col("rows").alias("total_records"),
+            F.lit(self.column_count).alias("column_count"),
+            F.col("value.min").alias("min_val"),
+            F.col("value.max").alias("max_val"),
+            F.col("value.avg").alias("avg_val"),
+            F.col("value.present").alias("non_null_count"),
+        )
+        return long.to(profile_schema()).withColumn("profiled_at", F.current_timestamp())
 
     def wide_profile(self) -> DataFrame:
         """One row per table with ``<column>_min/_max/_avg/_non_null_count`` in native types."""
@@ -136,8 +134,24 @@ class TableAudit:
         return self.measures.select(*columns)
 
 
-def _unfold(measures: DataFrame, rows: Sequence[Column], row_type: str) -> DataFrame:
-    return measures.select(F.inline(F.array(*rows).cast(f"array<{row_type}>")))
+def _unfold(
+    measures: DataFrame,
+    names: Sequence[str],
+    about: Sequence[tuple[str | None, ...]],
+    value_type: str,
+    values: Sequence[Column | str],
+) -> DataFrame:
+    """One row per value: ``rows``, ``value``, and its description in the named text columns.
+
+    The descriptions go into the plan as one constant, so a table with hundreds of columns
+    still gets a small plan.
+    """
+    text = json.dumps([dict(zip(names, described, strict=True)) for described in about])
+    fields = ",".join(f"{name}:string" for name in names)
+    descriptions = F.from_json(F.lit(text), f"array<struct<{fields}>>")
+    found = F.array(*values).cast(f"array<{value_type}>")
+    pairs = F.arrays_zip(descriptions.alias("about"), found.alias("value"))
+    return measures.select("rows", F.inline(pairs)).select("rows", "about.*", "value")
 
 
 def check_rules(df: DataFrame, rules: Iterable[Rule], table_name: str = "unknown") -> DataFrame:

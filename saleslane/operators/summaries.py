@@ -17,12 +17,14 @@ from saleslane.functions.columns import SPEND_TIERS, spend_tier
 
 @dataclass(frozen=True)
 class Summary:
-    """``measures`` maps an output column to (aggregate, input column)."""
+    """``measures`` maps an output column to (aggregate, input column); ``few_rows`` says that
+    the number of rows in a partition folder is bounded, whatever the size of the input."""
 
     name: str
     keys: tuple[str, ...]
     measures: Mapping[str, tuple[str, str]]
     partitions: tuple[str, ...]
+    few_rows: bool = False
 
     def of(self, df: DataFrame) -> DataFrame:
         measures = [
@@ -42,6 +44,7 @@ DAILY = Summary(
         "avg_transaction_amount": ("avg", "total_amount"),
     },
     partitions=("region", "year", "month"),
+    few_rows=True,  # one per day of the month
 )
 # Spend is per region, while the tier comes from the customer's total over all regions.
 CUSTOMER = Summary(

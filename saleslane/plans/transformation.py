@@ -32,8 +32,9 @@ def run_transformation(
 
     fact = read_layer(spark, fact_path, transformed.schema)
     for summary in SUMMARIES:
+        path = f"{output_path}/{summary.name}"
         groups = write_layer(
-            summary.of(fact), f"{output_path}/{summary.name}", summary.partitions, rebalance
+            summary.of(fact), path, summary.partitions, rebalance, summary.few_rows
         )
         metrics.append(
             StageMetrics("transformation", summary.name, rows, groups, date, filters=False)

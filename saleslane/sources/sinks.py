@@ -12,6 +12,8 @@ from saleslane.session import checkpoint_dir, setting
 
 # Shuffled bytes per output file.
 FILE_TARGET = "128MB"
+# Tasks that share the folders of a table with few rows per folder.
+FOLDER_TASKS = 32
 ADVISORY_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
@@ -37,6 +39,7 @@ def write_layer(
     path: str,
     partitions: Sequence[str] = (),
     rebalance: bool = True,
+    few_rows: bool = False,
     file_target: str = FILE_TARGET,
     max_records_per_file: int | None = None,
 ) -> int:
@@ -45,10 +48,14 @@ def write_layer(
     Without rebalancing, every task writes a file into every partition folder it has rows for.
     Rebalancing brings rows of a folder together, while adaptive execution splits large folders
     and merges small ones to ``file_target``; a large folder is never held by one task.
+    Where folders hold a handful of rows each (``few_rows``), the time goes into creating files;
+    then folders are dealt out over a fixed number of tasks that are not merged into one.
     The count sits right below the write, where Spark counts each task once, so it stays exact
     when executors are lost.
     """
-    if partitions and rebalance:
+    if partitions and few_rows:
+        df = df.repartition(FOLDER_TASKS, *partitions)
+    elif partitions and rebalance:
         df = df.hint("rebalance", *partitions)
     df, written = counted(df, "written")
     writer = df.write.mode("overwrite")

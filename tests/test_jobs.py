@@ -11,7 +11,7 @@ from saleslane.plans.daily import run_day
 from saleslane.plans.ingestion import run_ingestion
 from saleslane.plans.quality import DATASETS, QualityFailure, run_quality
 from saleslane.plans.transformation import run_transformation
-from saleslane.sources.sinks import refuse_overlap, write_layer
+from saleslane.sources.sinks import FOLDER_TASKS, refuse_overlap, write_layer
 from saleslane.sources.tables import csv_header, layer_path, read_layer, read_sales_csv
 
 GOOD = [
@@ -120,6 +120,20 @@ def test_rebalance_splits_a_large_folder(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "split")).count() == 200000
 
 
+def test_folders_with_few_rows_are_dealt_out(spark, tmp_path):
+    df = spark.range(0, 600).selectExpr("id", "cast(id % 60 as int) as month", "'x' as region")
+    written, observed = str(tmp_path / "t"), []
+    spark.sparkContext.setJobGroup("deal", "deal")
+    assert write_layer(df, written, ["region", "month"], few_rows=True) == 600
+    tracker = spark.sparkContext.statusTracker()
+    for job in tracker.getJobIdsForGroup("deal"):
+        for stage in tracker.getJobInfo(job).stageIds:
+            info = tracker.getStageInfo(stage)
+            observed.append(info.numTasks if info else 0)
+    assert FOLDER_TASKS in observed
+    assert len(glob.glob(f"{written}/region=x/month=*/*.parquet")) == 60
+
+
 def test_records_per_file(spark, tmp_path):
     write_layer(spark.range(10), str(tmp_path / "t"), max_records_per_file=2)
     assert len(glob.glob(f"{tmp_path}/t/*.parquet")) >= 5
