@@ -46,7 +46,6 @@ def run_day(
     stages: Sequence[str] = STAGES,
     as_of=None,
     min_completeness: float | None = None,
-    rebalance: bool = True,
 ) -> DataFrame:
     """Run the chosen stages of one date in order; the first failure stops the run.
 
@@ -62,10 +61,10 @@ def run_day(
     metrics = []
     if "ingestion" in stages:
         validate_input(spark, raw, min_completeness)
-        done = run_ingestion(spark, raw, processed, date, rebalance)
+        done = run_ingestion(spark, raw, processed, date)
         metrics += save_metrics(spark, done, base, date)
     if "transformation" in stages:
-        done = run_transformation(spark, processed, transformed, date, rebalance)
+        done = run_transformation(spark, processed, transformed, date)
         metrics += save_metrics(spark, done, base, date)
     if "quality" in stages:
         run_quality(spark, transformed, date, as_of)

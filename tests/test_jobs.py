@@ -59,6 +59,24 @@ def test_ingestion(spark, write_csv, tmp_path):
     assert os.listdir(out) and glob.glob(f"{out}/region=North/*.parquet")
 
 
+def stage_tasks(spark, group):
+    """Number of tasks of each stage that the jobs of a group ran."""
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(job) for job in tracker.getJobIdsForGroup(group)]
+    stages = [tracker.getStageInfo(stage) for job in jobs for stage in job.stageIds]
+    return [stage.numTasks for stage in stages if stage]
+
+
+@pytest.mark.parametrize("rebalance", [True, False])
+def test_ingestion_is_one_pass(spark, write_csv, tmp_path, rebalance):
+    raw, out = write_csv(BAD + GOOD), str(tmp_path / "out")
+    spark.sparkContext.setJobGroup(f"ingest-{rebalance}", "")
+    (metrics,) = run_ingestion(spark, raw, out, "d", rebalance)
+    assert (metrics.rows_in, metrics.rows_out) == (7, 4)
+    assert len(stage_tasks(spark, f"ingest-{rebalance}")) == (3 if rebalance else 1)
+    assert sorted(x.id for x in read_layer(spark, out).collect()) == [1, 1, 2, 3]
+
+
 @pytest.mark.parametrize("rebalance", [True, False])
 def test_ingestion_of_nothing(spark, write_csv, tmp_path, rebalance):
     for folder, lines in (("raw1", []), ("raw2", BAD[1:])):
@@ -122,15 +140,10 @@ def test_rebalance_splits_a_large_folder(spark, tmp_path):
 
 def test_folders_with_few_rows_are_dealt_out(spark, tmp_path):
     df = spark.range(0, 600).selectExpr("id", "cast(id % 60 as int) as month", "'x' as region")
-    written, observed = str(tmp_path / "t"), []
+    written = str(tmp_path / "t")
     spark.sparkContext.setJobGroup("deal", "deal")
     assert write_layer(df, written, ["region", "month"], few_rows=True) == 600
-    tracker = spark.sparkContext.statusTracker()
-    for job in tracker.getJobIdsForGroup("deal"):
-        for stage in tracker.getJobInfo(job).stageIds:
-            info = tracker.getStageInfo(stage)
-            observed.append(info.numTasks if info else 0)
-    assert FOLDER_TASKS in observed
+    assert FOLDER_TASKS in stage_tasks(spark, "deal")
     assert len(glob.glob(f"{written}/region=x/month=*/*.parquet")) == 60
 
 
