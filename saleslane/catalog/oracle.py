@@ -9,7 +9,7 @@ from saleslane.catalog.queries import AS_OF, PROCESSING_DATE, URL_PATTERN
 # Fixed text: the sales table with its deterministic defects.
 SALES = """
 sales_raw AS (
- SELECT CAST(l_orderkey * 10 + l_linenumber AS INT) AS id,
+ SELECT l_orderkey * 10 + l_linenumber AS id,
   CASE WHEN (l_orderkey + l_linenumber) % 101 = 0 THEN NULL ELSE concat('CUST', CAST(o_custkey AS STRING)) END AS customer_id,
   CASE WHEN (l_orderkey + l_partkey) % 103 = 0 THEN NULL ELSE concat('PROD', CAST(l_partkey AS STRING)) END AS product_id,
   CAST(CASE WHEN (l_orderkey + l_suppkey) % 107 = 0 THEN -l_quantity WHEN (l_orderkey + l_suppkey) % 109 = 0 THEN 0 ELSE l_quantity END AS INT) AS quantity,
@@ -317,7 +317,7 @@ def oracle_queries() -> dict[str, str]:
                 check("(SELECT 1)", "sales_raw", "precheck", "missing_columns",
                       rule="all sales columns are present", failed="0"),
                 check("sales_raw", "sales_raw", "precheck", "empty_input", rule="input has rows",
-                      total="count(*)", failed="CAST(count(*) = 0 AS BIGINT)"),
+                      failed="CAST(count(*) = 0 AS BIGINT)"),
                 completeness("sales_raw", ["customer_id", "product_id"]),
             ]
         ),

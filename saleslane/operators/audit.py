@@ -72,12 +72,20 @@ class TableAudit:
         self.measures = self.measures.checkpoint(eager=True)
         return self
 
-    def results(self) -> DataFrame:
-        """One row per checked column and one per rule."""
+    def results(self, table_rules: Iterable[Rule] = ()) -> DataFrame:
+        """One row per checked column, one per rule, and one per rule on the table as a whole.
+
+        A table rule is a condition over the measures, such as the number of ``rows``; it counts
+        as one failed record.
+        """
+        table_rules = list(table_rules)
         about = [("completeness", None, f.name, None) for f in self.checked]
-        about += [(r.check_type, r.name, r.column_name, r.text) for r in self.rules]
-        counts = [f"missing_{i}" for i in range(len(self.checked))]
-        counts += [f"failed_{i}" for i in range(len(self.rules))]
+        about += [
+            (r.check_type, r.name, r.column_name, r.text) for r in [*self.rules, *table_rules]
+        ]
+        counts = [F.col(f"missing_{i}") for i in range(len(self.checked))]
+        counts += [F.col(f"failed_{i}") for i in range(len(self.rules))]
+        counts += [r.failed.cast("bigint") for r in table_rules]
 
         names = ["check_type", "check_name", "column_name", "rule"]
         rows = _unfold(self.measures, names, about, "bigint", counts)

@@ -39,6 +39,7 @@ def add_group_total(
     * all other rows are joined by shuffle. Each such key is small, or has a smaller share
       than each of the ``heavy_keys`` largest, and adaptive execution splits what is left.
 
+    ``df`` is read more than once, so it should be a table or staged, not a long plan.
     Without heavy keys the broadcast is empty and adaptive execution drops the first branch,
     so the rows are read once for the totals and once for the join.
     """

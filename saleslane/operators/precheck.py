@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleslane.operators.audit import TableAudit, report_row
+from saleslane.functions.rules import Rule
+from saleslane.operators.audit import TableAudit
 from saleslane.operators.clean import REQUIRED
-from saleslane.operators.report import union_checks
 from saleslane.schema import define_schema
 
 
@@ -26,25 +26,15 @@ def check_input(
 ) -> DataFrame:
     """Missing columns, emptiness and completeness of the required columns, in one pass."""
     present = [name for name in required if name in df.columns]
-    absent = [name for name in sales_columns() if name not in df.columns]
+    complete = set(df.columns).issuperset(sales_columns())
     audit = TableAudit(df.select(*present), table_name, profile=False)
-    schema_row = report_row(
-        table_name=table_name,
-        check_type="precheck",
-        check_name="missing_columns",
-        rule="all sales columns are present",
-        failed_records=F.lit(len(absent)),
-    )
-    empty_row = report_row(
-        table_name=table_name,
-        check_type="precheck",
-        check_name="empty_input",
-        rule="input has rows",
-        total_records=F.col("rows"),
-        failed_records=(F.col("rows") == 0).cast("bigint"),
-    )
-    input_rows = audit.measures.select(F.inline(F.array(schema_row, empty_row)))
-    return union_checks([input_rows, audit.results()])
+    return audit.results(
+        [
+            Rule("precheck", "missing_columns", "all sales columns are present", (),
+                 F.lit(not complete)),
+            Rule("precheck", "empty_input", "input has rows", (), F.col("rows") == 0),
+        ]
+    )
 
 
 def require_columns(found: Sequence[str], table_name: str = "raw") -> None:

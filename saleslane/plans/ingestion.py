@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql.types import StructType
 
 from saleslane.operators.clean import clean_data
 from saleslane.plans.stage import StageMetrics
@@ -18,15 +19,21 @@ OPEN_REGIONS = 32
 
 
 def run_ingestion(
-    spark: SparkSession, input_path: str, output_path: str, date: str, rebalance: bool = False
+    spark: SparkSession,
+    input_path: str,
+    output_path: str,
+    date: str,
+    rebalance: bool = False,
+    schema: StructType | None = None,
 ) -> list[StageMetrics]:
     """Clean one day of raw CSV and write it by region: one pass, no shuffle, no sort.
 
     ``rebalance=True`` shuffles the rows to fill larger files; it pays off for small inputs on
-    large clusters, where each split is small.
+    large clusters, where each split is small. ``schema`` replaces the sales schema, for example
+    where ids need more than an int.
     """
     refuse_overlap(input_path, output_path)
-    raw, read = counted(read_sales_csv(spark, input_path), "read")
+    raw, read = counted(read_sales_csv(spark, input_path, schema), "read")
     kept, usable = counted(clean_data(raw), "usable")
     with (
         setting(spark, "spark.sql.files.maxPartitionBytes", SPLIT_SIZE),

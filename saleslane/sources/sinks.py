@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Sequence
 
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 
 from saleslane.session import checkpoint_dir, setting
 
+log = logging.getLogger(__name__)
+
 # Shuffled bytes per output file.
 FILE_TARGET = "128MB"
 # Tasks that share the folders of a table with few rows per folder.
@@ -65,7 +68,9 @@ def write_layer(
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     with setting(df.sparkSession, ADVISORY_SIZE, file_target):
         writer.parquet(path)
-    return rows_of(written)
+    rows = rows_of(written)
+    log.info("wrote %d rows to %s", rows, path)
+    return rows
 
 
 def write_report(df: DataFrame, path: str) -> None:

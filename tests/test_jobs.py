@@ -4,6 +4,7 @@ import os
 import pytest
 from conftest import HEADER
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from saleslane.operators.enrich import transform_sales_data
 from saleslane.operators.precheck import InputRejected
@@ -11,6 +12,7 @@ from saleslane.plans.daily import run_day
 from saleslane.plans.ingestion import run_ingestion
 from saleslane.plans.quality import DATASETS, QualityFailure, run_quality
 from saleslane.plans.transformation import run_transformation
+from saleslane.schema import define_schema
 from saleslane.sources.sinks import FOLDER_TASKS, refuse_overlap, write_layer
 from saleslane.sources.tables import csv_header, layer_path, read_layer, read_sales_csv
 
@@ -77,6 +79,16 @@ def test_ingestion_is_one_pass(spark, write_csv, tmp_path, rebalance):
     assert sorted(x.id for x in read_layer(spark, out).collect()) == [1, 1, 2, 3]
 
 
+def test_ingestion_with_wide_ids(spark, write_csv, tmp_path):
+    raw, out = write_csv([GOOD[0].replace("1,", "9000000000,", 1)]), str(tmp_path / "out")
+    run_ingestion(spark, raw, out, "d")
+    assert read_layer(spark, out).first().id is None  # does not fit an int
+    wide = define_schema()
+    wide["id"].dataType = LongType()
+    run_ingestion(spark, raw, out, "d", schema=wide)
+    assert read_layer(spark, out).first().id == 9000000000
+
+
 @pytest.mark.parametrize("rebalance", [True, False])
 def test_ingestion_of_nothing(spark, write_csv, tmp_path, rebalance):
     for folder, lines in (("raw1", []), ("raw2", BAD[1:])):

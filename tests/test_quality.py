@@ -1,6 +1,9 @@
 import math
+from collections import Counter
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from saleslane.functions import rules as r
@@ -236,6 +239,43 @@ def test_type_range_format_and_business_rules(spark):
     assert checks["n_in_range"].rule == "1 <= n <= 10"
 
 
+def test_rule_texts_survive_quotes_and_backslashes(spark):
+    pattern = r"""^\d+"'é$"""
+    df = spark.createDataFrame([("1\"'é",), ("x",)], "code string")
+    row = check_rules(df, [r.matches("code", pattern)], "it's").first()
+    assert (row.failed_records, row.rule, row.table_name) == (1, f"code matches {pattern}", "it's")
+
+
+cell = st.one_of(st.none(), st.integers(-3, 3))
+number = st.one_of(st.none(), st.just(NAN), st.sampled_from([-1.5, 0.0, 2.25]))
+word = st.one_of(st.none(), st.sampled_from(["", "a", "NaN"]))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(cell, number, word), max_size=25))
+def test_audit_against_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, "id int, price double, name string")
+    audit = TableAudit(df, "t", [r.not_negative("price"), r.not_negative("id")])
+    checks = audit.results().collect()
+    missing = {x.column_name: x.null_count for x in checks if x.check_type == "completeness"}
+    gone = lambda v: v is None or (isinstance(v, float) and math.isnan(v))
+    assert missing == {
+        name: sum(gone(row[i]) for row in rows) for i, name in enumerate(("id", "price", "name"))
+    }
+    failed = {x.check_name: x.failed_records for x in checks if x.check_name}
+    assert failed == {
+        "negative_price": sum(p is not None and p < 0 for _, p, _ in rows),
+        "negative_id": sum(i is not None and i < 0 for i, _, _ in rows),
+    }
+    duplicates = check_referential_integrity(df).first().failed_records
+    assert duplicates == len(rows) - len({i for i, _, _ in rows})
+    repeated = uniqueness_violations(df, ["id", "name"]).collect()
+    counts = Counter((i, n) for i, _, n in rows)
+    assert {(x.id, x.name): x.row_count for x in repeated} == {
+        key: n for key, n in counts.items() if n > 1
+    }
+
+
 def test_foreign_key(spark):
     child = spark.createDataFrame([("a",), ("b",), ("b",), ("c",), (None,)], "k string")
     parent = spark.createDataFrame([("a",), ("a",), ("x",), (None,)], "id string")
@@ -337,6 +377,9 @@ def test_unreadable_dataset_row(spark):
 def test_precheck(dirty, sales):
     rows = by(check_input(dirty.drop("price"), "raw"), "check_type", "check_name", "column_name")
     assert rows[("precheck", "missing_columns", None)].failed_records == 1
+    assert by(check_input(dirty), "check_name", "column_name")[
+        ("missing_columns", None)
+    ].failed_records == 0
     assert rows[("precheck", "empty_input", None)].failed_records == 0
     assert rows[("completeness", None, "customer_id")].null_count == 1
     empty = by(check_input(sales([])), "check_name", "column_name")
