@@ -249,6 +249,7 @@ def oracle_queries() -> dict[str, str]:
         "transformed_sales": "SELECT * FROM transformed_sales",
         "daily_sales_summary": "SELECT * FROM daily_sales_summary",
         "customer_summary": "SELECT * FROM customer_summary",
+        "customer_summary_of_fact": "SELECT * FROM customer_summary",
         "product_summary": "SELECT * FROM product_summary",
         "completeness": completeness("sales_raw", RAW_COLUMNS),
         "validity_checks": union(validity("sales_raw", RAW_COLUMNS)),

@@ -159,6 +159,15 @@ def customer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("customer_summary_of_fact")
+def customer_summary_of_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shown(
+        CUSTOMER.of(sales_transformed(spark, sf_dir)),
+        total_spent=cents("total_spent"),
+        avg_transaction_amount=exact_average("avg_transaction_amount", "total_transactions"),
+    )
+
+
 @query("product_summary")
 def product_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(
