@@ -7,7 +7,7 @@ from pyspark.sql.types import StructType
 
 from saleslane.operators.clean import clean_data
 from saleslane.plans.stage import StageMetrics
-from saleslane.session import setting
+from saleslane.session import setting, shuffles_sized_for
 from saleslane.sources.sinks import counted, refuse_overlap, rows_of, write_layer
 from saleslane.sources.tables import read_sales_csv
 
@@ -36,6 +36,7 @@ def run_ingestion(
     raw, read = counted(read_sales_csv(spark, input_path, schema), "read")
     kept, usable = counted(clean_data(raw), "usable")
     with (
+        shuffles_sized_for(raw),
         setting(spark, "spark.sql.files.maxPartitionBytes", SPLIT_SIZE),
         setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_REGIONS)),
     ):

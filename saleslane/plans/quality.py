@@ -22,7 +22,7 @@ from saleslane.operators.report import (
 from saleslane.operators.summaries import SUMMARIES
 from saleslane.plans.transformation import TRANSFORMED
 from saleslane.schema import quality_results_schema
-from saleslane.session import ensure_checkpoint_dir
+from saleslane.session import ensure_checkpoint_dir, shuffles_sized_for
 from saleslane.sources.sinks import write_report
 from saleslane.sources.tables import read_layer
 
@@ -49,7 +49,8 @@ def audit_datasets(
         try:
             df = read_layer(spark, f"{input_path}/{name}")
             audit = audit_table(df, name, as_of).checkpointed()
-            duplicates = check_referential_integrity(df, name).checkpoint(eager=True)
+            with shuffles_sized_for(df):
+                duplicates = check_referential_integrity(df, name).checkpoint(eager=True)
         except (PySparkException, Py4JError) as error:
             log.warning("could not check %s: %s", name, error)
             checks.append(unreadable_dataset(spark, name))

@@ -7,6 +7,7 @@ from pyspark.sql import SparkSession
 from saleslane.operators.enrich import transform_sales_data
 from saleslane.operators.summaries import SUMMARIES
 from saleslane.plans.stage import StageMetrics
+from saleslane.session import shuffles_sized_for
 from saleslane.sources.sinks import refuse_overlap, write_layer
 from saleslane.sources.tables import read_layer
 
@@ -27,15 +28,17 @@ def run_transformation(
     rows_in = processed.count()  # answered from parquet footers, no column is read
     transformed = transform_sales_data(processed)
     fact_path = f"{output_path}/{TRANSFORMED}"
-    rows = write_layer(transformed, fact_path, TRANSFORMED_PARTITIONS, rebalance)
+    with shuffles_sized_for(processed):
+        rows = write_layer(transformed, fact_path, TRANSFORMED_PARTITIONS, rebalance)
     metrics = [StageMetrics("transformation", TRANSFORMED, rows_in, rows, date)]
 
     fact = read_layer(spark, fact_path, transformed.schema)
     for summary in SUMMARIES:
         path = f"{output_path}/{summary.name}"
-        groups = write_layer(
-            summary.of(fact), path, summary.partitions, rebalance, summary.few_rows
-        )
+        with shuffles_sized_for(fact):
+            groups = write_layer(
+                summary.of(fact), path, summary.partitions, rebalance, summary.few_rows
+            )
         metrics.append(
             StageMetrics("transformation", summary.name, rows, groups, date, filters=False)
         )

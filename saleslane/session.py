@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Cluster size, memory and the number of shuffle partitions belong to spark-submit;
 # only settings the jobs depend on are named here.
@@ -20,6 +20,12 @@ JOB_SETTINGS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128MB",
 }
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+# Bytes read per shuffle partition, and the most partitions a shuffle starts with: blocks grow
+# with map tasks times partitions, so very large inputs get larger partitions instead.
+SHUFFLE_TARGET = 256 * 1024**2
+MAX_SHUFFLE_PARTITIONS = 20_000
+
 
 def create_spark_session(
     app_name: str = "SalesLane", settings: Mapping[str, str] | None = None
@@ -45,6 +51,26 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
+@contextmanager
+def shuffles_sized_for(df: DataFrame, target: int = SHUFFLE_TARGET) -> Iterator[int]:
+    """Start the shuffles planned inside the block with partitions to suit the size of ``df``.
+
+    Adaptive execution merges partitions but cannot add any, so a fixed number that suits a small
+    day does not suit a large one. The number never falls below ``spark.sql.shuffle.partitions``,
+    and a number set by the user stays.
+    """
+    spark = df.sparkSession
+    configured = spark.conf.get(INITIAL_PARTITIONS, None)
+    if configured:
+        yield int(configured)
+        return
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    number = max(least, min(size // target, MAX_SHUFFLE_PARTITIONS))
+    with setting(spark, INITIAL_PARTITIONS, str(number)):
+        yield number
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder for intermediate data, from the running session."""
     return spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)

@@ -4,11 +4,14 @@ import pytest
 
 from saleslane.__main__ import arguments, main
 from saleslane.session import (
+    INITIAL_PARTITIONS,
     JOB_SETTINGS,
+    MAX_SHUFFLE_PARTITIONS,
     checkpoint_dir,
     create_spark_session,
     ensure_checkpoint_dir,
     setting,
+    shuffles_sized_for,
 )
 from saleslane.sources.sinks import staged
 
@@ -28,6 +31,25 @@ def test_setting_is_put_back(spark):
     assert spark.conf.get(key) == before
 
 
+def test_shuffles_follow_the_size_of_the_input(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100000).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert spark.conf.get(INITIAL_PARTITIONS, None) is None
+    with shuffles_sized_for(df) as number:
+        assert number == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with shuffles_sized_for(df, target=4096) as number:
+        assert 50 < number < 1000
+        assert spark.conf.get(INITIAL_PARTITIONS) == str(number)
+        plan = df.groupBy((df.id % 7).alias("k")).count()
+        assert f", {number})" in plan._jdf.queryExecution().executedPlan().toString()
+    with shuffles_sized_for(df, target=1) as number:
+        assert number == MAX_SHUFFLE_PARTITIONS
+    with setting(spark, INITIAL_PARTITIONS, "11"), shuffles_sized_for(df, target=1) as number:
+        assert number == 11
+    assert spark.conf.get(INITIAL_PARTITIONS, None) is None
+
+
 def test_checkpoints_go_to_the_folder_of_the_session(spark, tmp_path):
     fallback = str(tmp_path / "own")
     ensure_checkpoint_dir(spark, fallback)
