@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -9,10 +10,10 @@ from pyspark.sql import functions as F
 
 from saleslane.functions.columns import SPEND_TIERS, date_parts, line_amount, spend_tier
 
-# A customer with at least this many rows is worth the broadcast path ...
+# A customer is heavy with at least this many rows and this share of all rows. No more than
+# 1 / HEAVY_SHARE customers can have the share, which bounds what is broadcast.
 HEAVY_ROWS = 1_000_000
-# ... of which at most this many are taken, largest first. This bounds the broadcast.
-HEAVY_KEYS = 10_000
+HEAVY_SHARE = 0.005
 
 
 def add_line_facts(df: DataFrame) -> DataFrame:
@@ -26,7 +27,7 @@ def add_group_total(
     amount: str,
     total: str,
     heavy_rows: int = HEAVY_ROWS,
-    heavy_keys: int = HEAVY_KEYS,
+    heavy_share: float = HEAVY_SHARE,
 ) -> DataFrame:
     """Put the sum of ``amount`` over all rows of the same ``key`` on every row.
 
@@ -34,10 +35,10 @@ def add_group_total(
     rows of a key in one task; a key with a third of the table would never finish. Here the
     sums are aggregated before the shuffle and joined back:
 
-    * rows of heavy keys meet a broadcast of their totals and are not shuffled at all. The
-      broadcast holds at most ``heavy_keys`` rows whatever the size of the table;
-    * all other rows are joined by shuffle. Each such key is small, or has a smaller share
-      than each of the ``heavy_keys`` largest, and adaptive execution splits what is left.
+    * rows of heavy keys meet a broadcast of their totals and are not shuffled at all. Shares
+      add up to one, so the broadcast holds at most ``1 / heavy_share`` rows for any table;
+    * all other rows are joined by shuffle. Their keys have small shares, and adaptive execution
+      splits a partition that is still too large.
 
     ``df`` is read more than once, so it should be a table or staged, not a long plan.
     Without heavy keys the broadcast is empty and adaptive execution drops the first branch,
@@ -47,13 +48,15 @@ def add_group_total(
     totals = df.groupBy(F.col(key).alias("_key")).agg(
         F.sum(amount).alias(total), F.count(F.lit(1)).alias("_rows")
     )
-    # The key is unique, so the order is total and both uses below pick the same keys. The
-    # trailing sort column and the filter on _rows change no row: they keep the three
-    # aggregates alike after column pruning, so that Spark runs one and reuses its exchange.
+    # Every use of totals touches the sum and the count, needed or not. So column pruning leaves
+    # the aggregates alike, and Spark runs one and reuses its exchange.
+    whole = totals.agg(F.struct(F.sum("_rows").alias("rows"), F.sum(total).alias("sum"))).scalar()
     heavy = (
         totals.where(F.col("_rows") >= heavy_rows)
+        .where(F.col("_rows") >= whole["rows"] * heavy_share)
+        # the key is unique, so the order is total and both joins below see the same keys
         .orderBy(F.desc("_rows"), "_key", total)
-        .limit(heavy_keys)
+        .limit(math.floor(1 / heavy_share))
         .select("_key", total)
     )
     rest = totals.where(F.col("_rows") > 0).select("_key", total)
@@ -64,7 +67,7 @@ def add_group_total(
     return in_heavy.unionByName(in_rest).drop("_key")
 
 
-def add_customer_total(df: DataFrame, **limits: int) -> DataFrame:
+def add_customer_total(df: DataFrame, **limits: float) -> DataFrame:
     return add_group_total(df, "customer_id", "total_amount", "customer_total_spent", **limits)
 
 
@@ -81,7 +84,7 @@ def transform_sales_data(
     df: DataFrame,
     tiers: Sequence[tuple[str, float]] = SPEND_TIERS,
     money_scale: int | None = None,
-    **limits: int,
+    **limits: float,
 ) -> DataFrame:
     """The sales fact with every derived column.
 

@@ -72,7 +72,8 @@ LIMITS = [
     {},  # no heavy customer
     {"heavy_rows": 2},  # some
     {"heavy_rows": 1},  # all
-    {"heavy_rows": 1, "heavy_keys": 1},  # more than the broadcast may hold
+    {"heavy_rows": 1, "heavy_share": 0.3},  # those with a large share
+    {"heavy_rows": 1, "heavy_share": 1.0},  # one that is the whole table
 ]
 
 
@@ -135,6 +136,14 @@ def test_heavy_customer_is_not_shuffled(spark, tmp_path):
     assert "ReusedExchange" in plan  # the totals are aggregated once for both branches
 
 
+def test_many_rows_are_not_heavy_without_the_share(spark, tmp_path):
+    total = add_group_total(
+        skewed(spark, tmp_path), "k", "v", "total", heavy_rows=1000, heavy_share=0.5
+    )
+    assert "Union" not in executed_plan(total).split("Initial Plan")[0]
+    assert total.where("k = 'HOT' and total = 20000").count() == 10000
+
+
 def test_without_heavy_customer_one_branch_is_left(spark, tmp_path):
     total = add_group_total(skewed(spark, tmp_path), "k", "v", "total")
     final = executed_plan(total).split("Initial Plan")[0]

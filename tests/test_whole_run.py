@@ -103,7 +103,11 @@ def test_profiles(spark, run):
     }
 
 
-@pytest.mark.parametrize("limits", [{"heavy_rows": 45}, {"heavy_rows": 30, "heavy_keys": 40}])
+@pytest.mark.parametrize("limits", [
+        {"heavy_rows": 45, "heavy_share": 1e-4},
+        {"heavy_rows": 1, "heavy_share": 8e-4},
+    ],
+)
 def test_heavy_customers_give_the_same_totals(spark, sf_dir, con, limits):
     totals = transform_sales_data(sales_clean(spark, sf_dir), money_scale=2, **limits)
     shown = totals.withColumn("customer_total_spent", cents("customer_total_spent"))
