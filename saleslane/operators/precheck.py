@@ -44,8 +44,8 @@ def require_columns(found: Sequence[str], table_name: str = "raw") -> None:
 
 
 def require_rows(df: DataFrame, table_name: str = "raw") -> None:
-    """Reads until the first row only."""
-    if df.isEmpty():
+    """Reads until the first row only: head starts with one task, isEmpty with one per split."""
+    if not df.head(1):
         raise InputRejected(f"{table_name}: no rows")
 
 

@@ -386,7 +386,13 @@ def test_precheck(dirty, sales):
     assert empty[("empty_input", None)].failed_records == 1
 
     require_columns(dirty.columns)
+    spark = dirty.sparkSession
+    spark.sparkContext.setJobGroup("first-row", "")
     require_rows(dirty)
+    require_rows(spark.range(0, 1000, numPartitions=50))
+    tracker = spark.sparkContext.statusTracker()
+    last = tracker.getJobInfo(max(tracker.getJobIdsForGroup("first-row")))
+    assert [tracker.getStageInfo(s).numTasks for s in last.stageIds] == [1]
     require_completeness(dirty, 80)
     with pytest.raises(InputRejected, match="price"):
         require_columns(dirty.drop("price").columns)
