@@ -75,8 +75,8 @@ class TableAudit:
     def results(self, table_rules: Iterable[Rule] = ()) -> DataFrame:
         """One row per checked column, one per rule, and one per rule on the table as a whole.
 
-        A table rule is a condition over the measures, such as the number of ``rows``; it counts
-        as one failed record.
+        A table rule is a condition or a count over the measures, such as the number of ``rows``;
+        a true condition counts as one failed record.
         """
         table_rules = list(table_rules)
         about = [("completeness", None, f.name, None) for f in self.checked]

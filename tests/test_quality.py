@@ -375,8 +375,8 @@ def test_unreadable_dataset_row(spark):
 
 
 def test_precheck(dirty, sales):
-    rows = by(check_input(dirty.drop("price"), "raw"), "check_type", "check_name", "column_name")
-    assert rows[("precheck", "missing_columns", None)].failed_records == 1
+    rows = by(check_input(dirty.drop("price", "id"), "raw"), "check_type", "check_name", "column_name")
+    assert rows[("precheck", "missing_columns", None)].failed_records == 2
     assert by(check_input(dirty), "check_name", "column_name")[
         ("missing_columns", None)
     ].failed_records == 0
