@@ -16,6 +16,7 @@ from saleslane.catalog.sales import (
     sales_fact,
     sales_lines,
     sales_raw,
+    sales_totals,
     sales_transformed,
     table,
 )
@@ -29,6 +30,7 @@ from saleslane.operators.audit import (
     generate_data_profile,
 )
 from saleslane.operators.clean import keep_usable_rows, usable_row
+from saleslane.operators.enrich import add_customer_tier
 from saleslane.operators.integrity import (
     check_foreign_key,
     check_referential_integrity,
@@ -123,13 +125,13 @@ def distinct_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("customer_total_spent")
 def customer_total_spent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = sales_transformed(spark, sf_dir)
-    return totals.select("id", "customer_id", "total_amount", cents("customer_total_spent"))
+    return shown(sales_totals(spark, sf_dir), customer_total_spent=cents("customer_total_spent"))
 
 
 @query("customer_tier")
 def customer_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sales_transformed(spark, sf_dir).select("id", "customer_id", "customer_category")
+    tiers = add_customer_tier(sales_totals(spark, sf_dir), money_scale=2)
+    return tiers.select("id", "customer_id", "customer_category")
 
 
 @query("transformed_sales")

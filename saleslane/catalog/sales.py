@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from saleslane.operators.clean import clean_data
-from saleslane.operators.enrich import add_line_facts, transform_sales_data
+from saleslane.operators.enrich import (
+    add_customer_total,
+    add_line_facts,
+    transform_sales_data,
+)
 from saleslane.sources.sinks import staged
 
 
@@ -83,8 +87,16 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_line_facts(sales_clean(spark, sf_dir))
 
 
+def sales_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts and customer totals only.
+
+    The totals read their input more than once, so the joins behind it are staged.
+    """
+    lines = sales_lines(spark, sf_dir).select("id", "customer_id", "total_amount")
+    return add_customer_total(staged(lines, "amounts"))
+
+
 def sales_transformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The customer totals read their input more than once, so the joins behind it are staged."""
     return transform_sales_data(staged(sales_clean(spark, sf_dir), "sales"), money_scale=2)
 
 

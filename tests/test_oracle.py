@@ -19,3 +19,13 @@ def test_every_query_has_sql():
 def test_query(spark, sf_dir, con, name):
     df = entry_points.queries()[name](spark, sf_dir)
     assert differences(df, con, entry_points.oracle_sql()[name]) is None
+
+
+@pytest.mark.parametrize(
+    "name", ["customer_tier", "transformed_sales", "numeric_profile", "quality_results"]
+)
+def test_query_without_a_shared_folder(spark, sf_dir, con, name, monkeypatch):
+    """Where no checkpoint folder is named, nothing is staged and results are the same."""
+    monkeypatch.setattr("saleslane.sources.sinks.checkpoint_dir", lambda session: None)
+    df = entry_points.queries()[name](spark, sf_dir)
+    assert differences(df, con, entry_points.oracle_sql()[name]) is None
