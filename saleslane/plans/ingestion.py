@@ -32,7 +32,7 @@ def run_ingestion(
     large clusters, where each split is small. ``schema`` replaces the sales schema, for example
     where ids need more than an int.
     """
-    refuse_overlap(input_path, output_path)
+    refuse_overlap(spark, input_path, output_path)
     raw, read = counted(read_sales_csv(spark, input_path, schema), "read")
     kept, usable = counted(clean_data(raw), "usable")
     with (

@@ -23,7 +23,7 @@ def run_transformation(
     The join behind the customer totals runs once. Each summary scans only its own columns of
     the written table, and an executor lost meanwhile costs no more than those scans.
     """
-    refuse_overlap(input_path, output_path)
+    refuse_overlap(spark, input_path, output_path)
     processed = read_layer(spark, input_path)
     rows_in = processed.count()  # answered from parquet footers, no column is read
     transformed = transform_sales_data(processed)

@@ -6,7 +6,7 @@ import logging
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from saleslane.session import checkpoint_dir, setting
@@ -30,10 +30,17 @@ def rows_of(observation: Observation) -> int:
     return observation.get["rows"]
 
 
-def refuse_overlap(source: str, target: str) -> None:
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, so that two spellings of one folder are equal."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.makeQualified(target).toString().rstrip("/")
+
+
+def refuse_overlap(spark: SparkSession, source: str, target: str) -> None:
     """An overwrite clears the target first, so it must not hold the data being read."""
-    source, target = source.rstrip("/"), target.rstrip("/")
-    if source == target or source.startswith(target + "/") or target.startswith(source + "/"):
+    read, written = f"{qualified(spark, source)}/", f"{qualified(spark, target)}/"
+    if read.startswith(written) or written.startswith(read):
         raise ValueError(f"output {target} overlaps input {source}")
 
 

@@ -105,10 +105,15 @@ def test_overwrite_replaces_the_whole_layer(spark, write_csv, tmp_path):
 
 
 def test_output_inside_input_is_refused(spark, tmp_path):
-    for source, target in (("/a/b", "/a/b/"), ("/a/b", "/a/b/c"), ("/a/b/c", "/a/b")):
+    for source, target in (
+        ("/a/b", "/a/b/"),
+        ("/a/b", "/a/b/c"),
+        ("/a/b/c", "/a/b"),
+        ("file:/a/b", "/a//b"),
+    ):
         with pytest.raises(ValueError, match="overlaps"):
-            refuse_overlap(source, target)
-    refuse_overlap("/a/b", "/a/bc")
+            refuse_overlap(spark, source, target)
+    refuse_overlap(spark, "/a/b", "/a/bc")
     with pytest.raises(ValueError):
         run_ingestion(spark, str(tmp_path), str(tmp_path), "d")
 
