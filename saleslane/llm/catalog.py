@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleslane.llm import exact_topk, harmonic_packing, url_filters, warc
+from saleslane.llm import byte_bpe_tables, exact_topk, harmonic_packing, simhash_dedup, url_filters, warc
 from saleslane.llm.shared import fresh_path, ship_package, table
 
 # The rules of the URL query.
@@ -22,6 +22,10 @@ URL_RULES = (
 )
 
 
+def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), fresh_path(spark, "warc"))
 
@@ -35,6 +39,11 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(pages, URL_RULES).drop("url")
 
 
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return byte_bpe_tables.digests(table(spark, sf_dir, "documents"), ranks)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     packed = harmonic_packing.pack(table(spark, sf_dir, "documents"), tokenizer)
@@ -42,9 +51,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash_dedup": op1_simhash_dedup,
     "op2_warc": op2_warc,
     "op3_exact_topk": op3_exact_topk,
     "op4_url_filters": op4_url_filters,
+    "op7_byte_bpe": op7_byte_bpe,
     "op10_packing": op10_packing,
 }
 
