@@ -57,8 +57,9 @@ def with_record_types(
         payload(html).alias("payload"),
     ).withColumn("digest", F.sha1("payload"))
     long_enough = F.octet_length("payload") >= REVISIT_BYTES
-    # Equal digests of short payloads get no response, so a frequent short page is no hot key.
-    rows = rows.withColumn("shared_digest", F.when(long_enough, F.col("digest")))
+    # Short payloads find no response; each has a key of its own, so that none of them is hot.
+    own = F.concat(F.lit("page "), F.xxhash64("page_id", "uri").cast("string"))
+    rows = rows.withColumn("shared_digest", F.when(long_enough, F.col("digest")).otherwise(own))
     responses = (
         rows.where(long_enough & F.col("page_id").isNotNull())
         .groupBy("shared_digest")
@@ -301,7 +302,9 @@ def payloads_of(records: DataFrame) -> DataFrame:
         F.max("payload_bytes").alias("response_bytes"),
         F.max("payload_digest").alias("response_digest"),
     )
-    return records.join(response, "refers_to_id", "left").select(
+    # Responses have no refers_to_id; they go by their own id, as a null would be one hot key.
+    key = F.coalesce("refers_to_id", "record_id")
+    return records.withColumn("refers_to_id", key).join(response, "refers_to_id", "left").select(
         "page_id",
         F.when(is_revisit, F.col("response_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
         F.when(is_revisit, F.col("response_digest")).otherwise(F.col("payload_digest")).alias("payload_digest"),
