@@ -9,7 +9,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleslane.llm import byte_bpe_tables, exact_topk, harmonic_packing, simhash_dedup, url_filters, warc
+from saleslane.llm import (
+    byte_bpe_tables,
+    exact_topk,
+    harmonic_packing,
+    quality_classifier,
+    simhash_dedup,
+    toxicity,
+    url_filters,
+    warc,
+)
 from saleslane.llm.shared import fresh_path, ship_package, table
 
 # The rules of the URL query.
@@ -44,6 +53,16 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe_tables.digests(table(spark, sf_dir, "documents"), ranks)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.score_documents(docs, labels)
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_classifier.score_documents(docs, labels)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     packed = harmonic_packing.pack(table(spark, sf_dir, "documents"), tokenizer)
@@ -56,6 +75,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_topk": op3_exact_topk,
     "op4_url_filters": op4_url_filters,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_toxicity": op8_toxicity,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_packing": op10_packing,
 }
 
