@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Iterator
 from functools import cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -25,13 +27,16 @@ CAPACITY = 4096
 END_ID = 2
 # Below this length every length is a class of its own: the loss of a bin stays under it.
 SMALL = 64
-WORDS_IN_CACHE = 300_000
+WORDS_IN_CACHE = 800_000
+JOINED = 500
 BATCH_BYTES = 4 * 1024**2
 # Names of sequences: task number + 1 and bin; length and bin across tasks; the tail.
 BINS_PER_TASK = 2**40
 BINS_PER_CLASS = 2**26
 TAIL = 2**39
 
+LONE_STOP = re.compile(r"([a-zß-öø-ÿ])([.,])(?=[ \n])")
+
 PIECES = (
     "doc_id long, start long, length long, doc_tokens long, ids binary, "
     "part long, place long, sequence_id long, offset long"
@@ -87,24 +92,64 @@ def splits_at_spaces(path: str) -> bool:
     return apart and not any(x["lstrip"] or x["rstrip"] for x in spec["added_tokens"])
 
 
+def _words(text: str) -> list[str]:
+    """The text in parts that the vocabulary treats apart, in lower case where that folds alike.
+
+    Besides white space, a part ends before a dot or comma that stands alone behind a letter.
+    """
+    # Left as they are: capital sigma, whose small form depends on its place, and dotted capital I,
+    # whose small form is two characters.
+    if text.isascii() or not ("\u03a3" in text or "\u0130" in text or not is_normalized("NFC", text)):
+        text = text.lower()
+    return LONE_STOP.sub(r"\1 \2", text).replace("\n", " ").split(" ")
+
+
+def _is_plain(word: str) -> bool:
+    """Letters that stay one run of letters however the vocabulary normalises them."""
+    return word.isalpha() and word.lower().isalpha() and is_normalized("NFC", word)
+
+
 class WordEncoder:
     """Ids of whole texts, word by word; words seen before come from a bounded cache."""
 
     def __init__(self, path: str, most: int = WORDS_IN_CACHE):
-        self.path, self.most = path, most
+        self.tokenizer, self.most = _tokenizer(path), most
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, number in vocabulary.items():
+            self.ends[number] = token.endswith("</w>")
         self.known: dict[str, bytes] = {"": b""}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit numbers."""
-        words = [text.replace("\n", " ").split(" ") for text in texts]
-        new = list({word for line in words for word in line if word not in self.known})
+        lines = [_words(text) for text in texts]
+        words = set().union(*lines)
+        new = words.difference(self.known)
         if len(self.known) + len(new) > self.most:
             self.known = {"": b""}
-            new = list({word for line in words for word in line if word})
-        for word, ids in zip(new, _tokenizer(self.path).encode_batch(new, add_special_tokens=False), strict=True):
-            self.known[word] = np.array(ids.ids, "<u4").tobytes()
+            new = words - {""}
+        plain = sorted(word for word in new if _is_plain(word))
+        self._learn_plain(plain)
+        others = list(new.difference(plain))
+        encoded = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
+        for word, made in zip(others, encoded, strict=True):
+            self.known[word] = np.array(made.ids, "<u4").tobytes()
         known = self.known.__getitem__
-        return [b"".join(map(known, line)) for line in words]
+        return [b"".join(map(known, line)) for line in lines]
+
+    def _learn_plain(self, words: list[str]) -> None:
+        """Many at once, which is faster: the last token of each run of letters ends a word."""
+        for at in range(0, len(words), JOINED):
+            part = words[at : at + JOINED]
+            line = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)
+            ids = np.array(line[0].ids, "<u4")
+            cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            raw = ids.tobytes()
+            if len(cuts) != len(part):
+                raise ValueError("this vocabulary does not end every word with a token of its own")
+            self.known.update(
+                (word, raw[a:b]) for word, a, b in zip(part, [0, *cuts], cuts, strict=False)
+            )
 
 
 @cache
