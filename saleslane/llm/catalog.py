@@ -14,6 +14,7 @@ from saleslane.llm import (
     exact_topk,
     harmonic_packing,
     quality_classifier,
+    quality_rules,
     simhash_dedup,
     toxicity,
     url_filters,
@@ -48,6 +49,10 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(pages, URL_RULES).drop("url")
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.verdicts(table(spark, sf_dir, "documents"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return byte_bpe_tables.digests(table(spark, sf_dir, "documents"), ranks)
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
     "op3_exact_topk": op3_exact_topk,
     "op4_url_filters": op4_url_filters,
+    "op5_quality_rules": op5_quality_rules,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_toxicity": op8_toxicity,
     "op9_quality_classifier": op9_quality_classifier,
@@ -108,6 +114,68 @@ WITH v AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
 )
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
+""",
+    "op5_quality_rules": r"""
+WITH t AS (
+  SELECT row_number() OVER () AS row, doc_id, source AS host, coalesce(text, '') AS text
+  FROM documents
+), l AS (
+  SELECT row, doc_id, host, place, string_split(text, chr(10))[place] AS line
+  FROM (SELECT row, doc_id, host, text,
+    unnest(range(1, len(string_split(text, chr(10))) + 1)) AS place FROM t)
+), lw AS (
+  SELECT *, list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM l
+), full_lines AS (
+  SELECT *, lower(list_aggregate(words, 'string_agg', ' ')) AS norm FROM lw WHERE len(words) > 0
+), w AS (
+  SELECT row, place, unnest(words) AS word, unnest(range(len(words))) AS spot FROM full_lines
+), n AS (
+  SELECT row, word, row_number() OVER (PARTITION BY row ORDER BY place, spot) AS i FROM w
+), g AS (
+  SELECT row, i, word || ' ' || lead(word, 1) OVER q || ' ' || lead(word, 2) OVER q AS gram
+  FROM n WINDOW q AS (PARTITION BY row ORDER BY i)
+), twice AS (
+  SELECT row, i FROM (
+    SELECT row, i, count(*) OVER (PARTITION BY row, gram) AS c FROM g WHERE gram IS NOT NULL)
+  WHERE c > 1
+), covered AS (
+  SELECT row, count(DISTINCT j) AS n FROM (SELECT row, unnest([i, i + 1, i + 2]) AS j FROM twice)
+  GROUP BY row
+), words AS (
+  SELECT row, count(*) AS n_words, sum(length(word)) AS word_chars FROM n GROUP BY row
+), dup AS (
+  SELECT row, count(*) - count(DISTINCT line) AS n FROM full_lines GROUP BY row
+), b AS (
+  SELECT row, doc_id, host, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+    coalesce(dup.n, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words
+  FROM t LEFT JOIN words USING (row) LEFT JOIN dup USING (row) LEFT JOIN covered USING (row)
+), keyed AS (
+  SELECT row, host, len(words) AS size, ('0x' || substr(
+    md5(coalesce('=' || host, '') || chr(10) || norm), 1, 15))::BIGINT AS key
+  FROM full_lines
+), doc AS (
+  SELECT row, host, min(key) AS document FROM keyed GROUP BY row, host
+), hosts AS (
+  SELECT host, count(DISTINCT document) AS host_documents FROM doc GROUP BY host
+), frequent AS (
+  SELECT k.key, k.host
+  FROM keyed k JOIN doc USING (row) JOIN hosts h ON k.host IS NOT DISTINCT FROM h.host
+  GROUP BY k.key, k.host, host_documents
+  HAVING count(DISTINCT document) > 20 AND count(DISTINCT document) > 0.001 * host_documents
+), removed AS (
+  SELECT row, sum(size) AS n FROM keyed WHERE key IN (SELECT key FROM frequent) GROUP BY row
+), judged AS (
+  SELECT b.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    coalesce(n, 0) AS n_removed
+  FROM b LEFT JOIN removed USING (row)
+)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
+  n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
+  n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+  NOT base_failed AND n_words - n_removed >= 0.3 * n_words AS kept
+FROM judged
 """,
     "op4_url_filters": """
 WITH u AS (
