@@ -16,6 +16,7 @@ from saleslane.llm import (
     quality_classifier,
     quality_rules,
     simhash_dedup,
+    substring_dedup,
     toxicity,
     url_filters,
     warc,
@@ -53,6 +54,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return byte_bpe_tables.digests(table(spark, sf_dir, "documents"), ranks)
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_topk": op3_exact_topk,
     "op4_url_filters": op4_url_filters,
     "op5_quality_rules": op5_quality_rules,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_toxicity": op8_toxicity,
     "op9_quality_classifier": op9_quality_classifier,
