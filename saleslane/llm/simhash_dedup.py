@@ -192,6 +192,26 @@ def links_between(distinct: DataFrame, most: int = MAX_DISTANCE) -> DataFrame:
     return dealt.groupBy("prefix").applyInArrow(work, "node bigint, next bigint")
 
 
+def classes_of(rows: DataFrame, most: int = MAX_DISTANCE) -> DataFrame:
+    """(fp, component_id, survivor) for every fingerprint of ``rows`` (fp, doc_id, uid).
+
+    ``component_id`` is the smallest id that links reach, and ``survivor`` the ``uid`` of a row that has
+    it: the least, if several have. Of rows without ids alone, the least ``uid`` survives.
+    """
+    # nulls come last: a row without an id is first only where there is no other
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid"))
+    # Equal fingerprints are one node, however many documents share it.
+    nodes = stored(rows.groupBy("fp").agg(first.alias("first")), "nodes")
+    rooted = roots(links_between(nodes.select("fp"), most)).withColumnRenamed("node", "fp")
+    named = stored(
+        nodes.join(rooted, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "named"
+    )
+    smallest = named.groupBy("root").agg(F.min("first").alias("first"))
+    return named.select("fp", "root").join(smallest, "root").select(
+        "fp", F.col("first.doc_id").alias("component_id"), F.col("first.uid").alias("survivor")
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     most: int = MAX_DISTANCE,
@@ -210,20 +230,37 @@ def near_duplicates(
         docs.select(
             F.col(id_col).cast("long").alias("doc_id"),
             fingerprint_column(text_col, words_in_shingle).alias("fp"),
+            F.lit(0).cast("long").alias("uid"),
         ),
         "fingerprints",
     )
-    # Equal fingerprints are one node, however many documents share it.
-    nodes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
-    rooted = roots(links_between(nodes.select("fp"), most))
-    named = stored(
-        nodes.join(rooted.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-            "root", F.coalesce("root", "fp")
-        ),
-        "named",
-    )
-    smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = stored(named.join(smallest, "root").select("fp", "component_id"), "classes")
+    classes = stored(classes_of(marked, most), "classes")
     return marked.join(classes, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def survivors(
+    docs: DataFrame,
+    most: int = MAX_DISTANCE,
+    words_in_shingle: int = SHINGLE_WORDS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` that stay: of every component one, that with the smallest id.
+
+    Rows are numbered as they are stored, so that of repeated rows, or rows without ids, one stays.
+    """
+    marked = stored(
+        docs.select(
+            F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+            F.col(id_col).cast("long").alias("doc_id"),
+            fingerprint_column(text_col, words_in_shingle).alias("fp"),
+            F.monotonically_increasing_id().alias("uid"),
+        ),
+        "fingerprints",
+    )
+    classes = stored(classes_of(marked.select("fp", "doc_id", "uid"), most), "classes")
+    # one row for each class: the shuffle of the documents is by a key that none of them share
+    winners = classes.select(F.col("survivor").alias("uid")).distinct()
+    return marked.join(winners, "uid", "left_semi").select("row.*")
