@@ -7,20 +7,19 @@ from dataclasses import dataclass
 import numpy as np
 
 
-def class_prior(positive: np.ndarray, unlabelled: np.ndarray, least_share: float = 0.05) -> float:
-    """An upper bound on the share of positives among the unlabelled, from 0/1 features alone.
+def class_prior(positive: np.ndarray, unlabelled: np.ndarray, least_share: float = 0.25) -> float:
+    """The share of positives among the unlabelled, estimated from 0/1 features alone.
 
     No region can hold fewer unlabelled rows than the positives' part of it, so the share is at most
-    U(region) / P(region) for any region. Features, and their absence, are the regions; those with few
-    positives are left out, and counts are raised by two standard errors against chance.
+    U(region) / P(region) for any region, and equal to it where only positives are. Features, and
+    their absence, are the regions; small ones, whose ratio is noisy, are left out.
     """
     ratios = [1.0]
     for p, u in ((positive, unlabelled), (1 - positive, 1 - unlabelled)):
         share_p = p.mean(axis=0, dtype=np.float64)
         share_u = u.mean(axis=0, dtype=np.float64)
-        error = 2 * np.sqrt(share_u * (1 - share_u) / max(1, len(u)))
-        usable = share_p >= least_share
-        ratios.append(float(((share_u + error) / np.maximum(share_p, 1e-9))[usable].min(initial=1.0)))
+        ratio = share_u / np.maximum(share_p, 1e-9)
+        ratios.append(float(ratio[share_p >= least_share].min(initial=1.0)))
     return float(np.clip(min(ratios), 0.01, 0.99))
 
 
@@ -37,42 +36,79 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
+def refined_prior(
+    positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 2, **how
+) -> float:
+    """The same bound for regions that a model has found: what it scores above most positives.
+
+    A model learns from one half of the positives, and the other half sets the regions: above its
+    first, second and third quartile. Both halves take turns, and the middle of the bounds is taken. The
+    model itself may start from a ``prior`` that is too low, as only its order of the rows counts.
+    """
+    halves = positive[::2], positive[1::2]
+    if not len(halves[1]):
+        return prior
+    for _ in range(steps):
+        bounds = []
+        for learned, other in (halves, halves[::-1]):
+            model = train(learned, unlabelled, prior, **how)
+            g_p, g_u = model.decision(other), model.decision(unlabelled)
+            for edge in np.quantile(g_p, (0.25, 0.5, 0.75)):
+                share_p, share_u = ((g > edge).mean() + (g == edge).mean() / 2 for g in (g_p, g_u))
+                bounds.append(share_u / max(share_p, 1e-9))
+        prior = float(np.clip(np.median(bounds), 0.01, 0.99))
+    return prior
+
+
+def _logistic(g_p: np.ndarray, g_u: np.ndarray, prior: float) -> tuple:
+    """Risk on negatives, and slopes: of positives as such, of positives and unlabelled as negatives."""
+    risk = np.logaddexp(0, g_u).mean() - prior * np.logaddexp(0, g_p).mean()
+    return risk, -sigmoid(-g_p), sigmoid(g_p), sigmoid(g_u)
+
+
+def _sigmoid(g_p: np.ndarray, g_u: np.ndarray, prior: float) -> tuple:
+    at_p, at_u = sigmoid(g_p), sigmoid(g_u)
+    slope_p = at_p * (1 - at_p)
+    return at_u.mean() - prior * at_p.mean(), -slope_p, slope_p, at_u * (1 - at_u)
+
+
+LOSSES = {"logistic": _logistic, "sigmoid": _sigmoid}
+
+
 def train(
     positive: np.ndarray,
     unlabelled: np.ndarray,
     prior: float,
-    rounds: int = 400,
-    batch: int = 512,
+    loss: str = "logistic",
+    rounds: int = 500,
     rate: float = 0.05,
-    decay: float = 1e-4,
-    seed: int = 7,
+    decay: float = 1e-6,
 ) -> Linear:
-    """Minimise the non-negative risk with the logistic loss l(g) = log(1 + exp(-g)).
+    """Minimise the non-negative risk with loss l(g): log(1 + exp(-g)), or sigmoid(-g).
 
     The risk is prior * E_p[l(g)] + max(0, E_u[l(-g)] - prior * E_p[l(-g)]). Where the second part, the
-    estimated risk on negatives, turns negative on a batch, the step goes up its gradient instead,
-    which undoes the overfitting that made it negative. Adam with a fixed seed: the same rows in
-    the same order give the same model, whose sigmoid estimates the probability of a positive.
+    estimated risk on negatives, turns negative, the step goes up its gradient instead, which
+    undoes the overfitting that made it negative. Adam over all rows: the same rows in the same order
+    give the same model. The logistic loss takes positives that are few; the sigmoid loss is bounded,
+    so that no row can outweigh others where positives are most.
     """
-    rng = np.random.default_rng(seed)
     width = positive.shape[1] if len(positive) else unlabelled.shape[1]
-    theta = np.zeros(width + 1, np.float64)
-    first, second = np.zeros_like(theta), np.zeros_like(theta)
+    theta = np.zeros(width + 1, np.float32)
     if not len(positive) or not len(unlabelled):
-        return Linear(theta[:-1].astype(np.float32), 0.0)
+        return Linear(theta[:-1], 0.0)
+    first, second = np.zeros_like(theta), np.zeros_like(theta)
+    p, u = positive.astype(np.float32), unlabelled.astype(np.float32)
     for t in range(1, rounds + 1):
-        p = positive[rng.integers(0, len(positive), batch)].astype(np.float64)
-        u = unlabelled[rng.integers(0, len(unlabelled), batch)].astype(np.float64)
         g_p, g_u = p @ theta[:-1] + theta[-1], u @ theta[:-1] + theta[-1]
-        negative_risk = np.logaddexp(0, g_u).mean() - prior * np.logaddexp(0, g_p).mean()
-        grad_negative = _gradient(u, sigmoid(g_u)) - prior * _gradient(p, sigmoid(g_p))
-        grad_positive = -prior * _gradient(p, sigmoid(-g_p))
+        negative_risk, as_positive, p_as_negative, u_as_negative = LOSSES[loss](g_p, g_u, prior)
+        grad_negative = _gradient(u, u_as_negative) - prior * _gradient(p, p_as_negative)
+        grad_positive = prior * _gradient(p, as_positive)
         grad = grad_positive + grad_negative if negative_risk >= 0 else -grad_negative
         grad[:-1] += decay * theta[:-1]
         first = 0.9 * first + 0.1 * grad
         second = 0.999 * second + 0.001 * grad**2
         theta -= rate * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-8)
-    return Linear(theta[:-1].astype(np.float32), float(theta[-1]))
+    return Linear(theta[:-1], float(theta[-1]))
 
 
 def _gradient(rows: np.ndarray, slope: np.ndarray) -> np.ndarray:

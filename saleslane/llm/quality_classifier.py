@@ -18,14 +18,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saleslane.llm.labelled import held_out, training_sample
-from saleslane.llm.nnpu import Linear, class_prior, sigmoid, train
+from saleslane.llm.nnpu import Linear, class_prior, refined_prior, sigmoid, train
 from saleslane.llm.shared import payload
 
 # Bounds of what the model is fitted on; scoring reads every document.
-POSITIVES = 3000
-UNLABELLED = 6000
-RANGES = 16
+POSITIVES = 6000
+UNLABELLED = 12000
 LEAST_SCORE = 0.3
+# Where a measure is split: finely at both ends, where bad texts are.
+SHARES = (0.01, 0.02, 0.04, 0.06, 0.08, 0.1, 0.15, 0.3, 0.5, 0.7, 0.85, 0.9, 0.94, 0.97, 0.99)
+RANGES = len(SHARES) + 1
+# The first model takes this part of the bound that single ranges give.
+START = 0.7
+LEARNING = {"loss": "sigmoid", "rounds": 400, "decay": 1e-4}
 
 LETTER, CAPITAL, DIGIT, MARK, SYMBOL, STOP, BANG = range(1, 8)
 MEASURES = (
@@ -128,11 +133,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Model:
     edges = np.zeros((len(MEASURES), RANGES - 1))
     if not positive.any() or positive.all():
         return Model(edges, Linear(np.zeros(len(MEASURES) * RANGES, np.float32), 0.0), 1.0)
-    steps = np.arange(1, RANGES) / RANGES
-    edges = np.quantile(values[~positive], steps, axis=0).T
+    edges = np.quantile(values[~positive], SHARES, axis=0).T
     p, u = ranged(values[positive], edges), ranged(values[~positive], edges)
-    prior = class_prior(p, u)
-    return Model(edges, train(p, u, prior), prior)
+    prior = refined_prior(p, u, START * class_prior(p, u), **LEARNING)
+    return Model(edges, train(p, u, prior, **LEARNING), prior)
 
 
 def score_column(docs: DataFrame, model: Model, text: str = "text") -> Column:

@@ -24,9 +24,14 @@ from saleslane.llm.shared import payload
 # Bounds of what the model is fitted on; scoring reads every document.
 POSITIVES = 2000
 UNLABELLED = 4000
-VOCABULARY = 1024
+VOCABULARY = 512
 PREFIXES = (3, 4, 5)
-LEAST_POSITIVES = 5
+LEAST_POSITIVES = 4
+LEAST_SHARE = 0.02
+# In standard errors; by chance none of a hundred thousand features lies so far off.
+LEAST_LIFT = 5.0
+# Features this frequent among positives bound the share of positives among all.
+FREQUENT = 0.05
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -73,19 +78,29 @@ def vocabulary(sample: DataFrame, most: int = VOCABULARY) -> list[str]:
         )
 
     sizes = dict(sample.groupBy("positive").count().collect())
+    of_p, of_u = max(1, sizes.get(True, 0)), max(1, sizes.get(False, 0))
     counted = sample.mapInArrow(count, "feature string, positives long, others long")
-    p = F.sum("positives") / max(1, sizes.get(True, 0))
-    u = F.sum("others") / max(1, sizes.get(False, 0))
-    # how far the share among positives lies above that among all, in standard errors
-    lift = (p - u) / F.sqrt(u * (1 - u) + F.lit(1 / max(1, sizes.get(False, 0))))
-    chosen = (
+    p, u = F.sum("positives"), F.sum("others")
+    # how far the share among positives lies above that among all, in standard errors of chance
+    pooled = (p + u) / (of_p + of_u)
+    error = F.sqrt(F.greatest(pooled * (1 - pooled), F.lit(0.0)) * (1 / of_p + 1 / of_u))
+    rows = (
         counted.groupBy("feature")
-        .agg(F.sum("positives").alias("positives"), lift.alias("lift"))
-        .where(F.col("positives") >= LEAST_POSITIVES)
+        .agg(p.alias("positives"), u.alias("others"), ((p / of_p - u / of_u) / error).alias("lift"))
+        .where(
+            (F.col("positives") >= max(LEAST_POSITIVES, LEAST_SHARE * of_p))
+            & (F.col("lift") >= LEAST_LIFT)
+        )
         .orderBy(F.col("lift").desc(), "feature")
         .limit(most)
+        .collect()
     )
-    return [row["feature"] for row in chosen.select("feature").collect()]
+    # No feature is rarer among all than the share of positives allows, and marks come near to that
+    # bound: at least half of the texts that show them are positive.
+    share = np.array([(row["positives"] / of_p, (row["others"] + 1) / of_u) for row in rows]).reshape(-1, 2)
+    frequent = share[share[:, 0] >= FREQUENT]
+    bound = (frequent[:, 1] / frequent[:, 0]).min(initial=1.0)
+    return [row["feature"] for row, (p, u) in zip(rows, share, strict=True) if bound * p >= u / 2]
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
