@@ -12,11 +12,12 @@ import gzip
 import uuid
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleslane.llm.shared import payload
+from saleslane.llm.shared import payload, stored
 
 VERSION = b"WARC/1.1"
 END = "\r\n\r\n"
@@ -27,6 +28,7 @@ SEGMENT_BYTES = 16 * 1024
 CHUNK_BYTES = 4 * 1024
 RECORDS_PER_ARCHIVE = 2000
 REVISIT_BYTES = 1000
+ROWS_IN_BATCH = 256
 HTTP_HEAD = (
     b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
     b"Transfer-Encoding: chunked\r\n\r\n"
@@ -206,16 +208,22 @@ def parse_archive(data: bytes) -> Iterator[dict]:
 
 
 def _parsed(archives: DataFrame, segmented: bool) -> DataFrame:
-    """Records of the archives: either those in segments, or the whole ones."""
+    """Records of the archives: those in segments, or the whole ones with payloads for blocks."""
     schema = _arrow_schema()
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch["content"]:
-                rows = [
-                    row for row in parse_archive(content.as_py())
-                    if (row["number"] is not None) == segmented
-                ]
+                rows: list[dict] = []
+                for row in parse_archive(content.as_py()):
+                    if (row["number"] is not None) != segmented:
+                        continue
+                    if not segmented:
+                        row["block"] = http_payload(row["block"])
+                    rows.append(row)
+                    if len(rows) == ROWS_IN_BATCH:
+                        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                        rows = []
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     return archives.mapInArrow(parse, PARSED)
@@ -267,16 +275,15 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     empty payload. Broken records stop the job with CorruptRecord.
     """
     archives = spark.read.format("binaryFile").load(path).select("content")
-    names = ["record_id", "record_type", "page_id", "uri", "refers_to_id", "digest", "block"]
-    records = _parsed(archives, False).select(*names).unionByName(
-        reassembled(_parsed(archives, True)).select(*names)
-    )
+    names = ["record_id", "record_type", "page_id", "uri", "refers_to_id", "digest"]
 
     @F.pandas_udf("binary")
-    def decoded(blocks):
+    def decoded(blocks: pd.Series) -> pd.Series:
         return blocks.map(http_payload)
 
-    return records.withColumn("payload", decoded("block")).drop("block")
+    whole = _parsed(archives, False).select(*names, F.col("block").alias("payload"))
+    joined = reassembled(_parsed(archives, True)).select(*names, decoded("block").alias("payload"))
+    return whole.unionByName(joined)
 
 
 def http_payload(block: bytes) -> bytes:
@@ -315,8 +322,6 @@ def payloads_of(records: DataFrame) -> DataFrame:
 
 def round_trip(pages: DataFrame, path: str) -> DataFrame:
     """Write ``pages`` to ``path``, read them back, and describe every record; see `payloads_of`."""
-    from saleslane.llm.shared import stored
-
     write_archives(with_record_types(pages), path)
     read = read_archives(pages.sparkSession, path)
     slim = stored(
