@@ -14,6 +14,8 @@ def class_prior(positive: np.ndarray, unlabelled: np.ndarray, least_share: float
     U(region) / P(region) for any region, and equal to it where only positives are. Features, and
     their absence, are the regions; small ones, whose ratio is noisy, are left out.
     """
+    if not len(positive) or not len(unlabelled):
+        return 0.99
     ratios = [1.0]
     for p, u in ((positive, unlabelled), (1 - positive, 1 - unlabelled)):
         share_p = p.mean(axis=0, dtype=np.float64)

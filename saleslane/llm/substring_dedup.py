@@ -126,7 +126,7 @@ def deduplicated(
     id are judged one by one and lose nothing to one another.
     """
     rows = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text_col), F.lit(0).alias("_")).alias("_row"),
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text_col)).alias("_row"),
         F.col(id_col).cast("long").alias("_id"),
         payload(text_col).alias("_text"),
     )

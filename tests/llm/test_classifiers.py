@@ -1,0 +1,135 @@
+import os
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from saleslane.llm import nnpu, quality_classifier, toxicity
+from saleslane.llm.labelled import training_sample
+from saleslane.llm.shared import table
+
+CHECK = os.path.join(os.environ.get("TESTDATA_DIR", "/root/testdata"), "check_s")
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def is_held_out(doc_id):
+    return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 5 == 0
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    """(doc_id, text, quality, toxic): prose, a tenth with bad words, a sixth shouted or repeated."""
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8))) for _ in range(3000)]
+    rows = []
+    for i in range(1500):
+        words = [rng.choice(vocabulary) for _ in range(rng.randint(30, 300))]
+        toxic, junk = rng.random() < 0.1, rng.random() < 1 / 6
+        if junk:
+            words = [w.upper() + "!!" for w in words] if i % 2 else [w for w in words[:9] for _ in range(20)]
+        if toxic:
+            for _ in range(3):
+                words.insert(rng.randrange(len(words)), rng.choice(["zorkish", "zorkly", "quuxer"]))
+        rows.append((i, " ".join(words), int(not junk), int(toxic)))
+    return rows
+
+
+def tables(spark, documents, corpus, clashing=False):
+    docs = documents([(i, text) for i, text, _, _ in corpus], clashing)
+    labels = spark.createDataFrame([(i, q, t) for i, _, q, t in corpus if i % 3], LABELS)
+    return docs, labels
+
+
+def accuracy(rows, corpus, place):
+    truth = {row[0]: row[place] for row in corpus}
+    held = [r for r in rows if r["held_out"]]
+    assert all(r["held_out"] == is_held_out(r["doc_id"]) for r in rows)
+    of = lambda label: [r["predicted"] == label for r in held if truth[r["doc_id"]] == label]
+    return np.mean(of(1)), np.mean(of(0))
+
+
+def test_toxicity(spark, documents, corpus):
+    found = toxicity.score_documents(*tables(spark, documents, corpus, clashing=True)).collect()
+    caught, left_alone = accuracy(found, corpus, 3)
+    assert caught >= 0.9 and left_alone >= 0.99
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in found)
+
+
+def test_quality(spark, documents, corpus):
+    found = quality_classifier.score_documents(*tables(spark, documents, corpus)).collect()
+    kept, caught = accuracy(found, corpus, 2)
+    assert kept >= 0.98 and caught >= 0.8
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in found)
+
+
+@pytest.mark.skipif(not os.path.isdir(CHECK), reason="no larger tables")
+def test_accuracy_on_the_larger_tables(spark):
+    labels = table(spark, CHECK, "labels")
+    for module, label, floors in ((toxicity, "toxic", (0.9, 0.995)), (quality_classifier, "quality", (0.99, 0.85))):
+        df = module.score_documents(table(spark, CHECK, "documents"), labels).join(labels, "doc_id")
+        counts = df.where("held_out").groupBy(label, "predicted").count().collect()
+        n = {(r[label], r["predicted"]): r["count"] for r in counts}
+        for value, floor in zip((1, 0), floors, strict=True):
+            right, wrong = n.get((value, value), 0), n.get((value, 1 - value), 0)
+            assert right / (right + wrong) >= floor, (label, n)
+
+
+@pytest.mark.parametrize("module", [toxicity, quality_classifier])
+def test_odd_rows(spark, documents, corpus, module):
+    rows = [(i, text) for i, text, _, _ in corpus]
+    odd = [(None, "zorkish words"), (9001, None), (9002, ""), (9003, "x " * 60_000), (7, rows[7][1]), (7, "other")]
+    labels = [(i, q, t) for i, _, q, t in corpus if i % 3] + [(None, 1, 1), (9001, 1, None), (2, None, None)]
+    labels += [(77777, 1, 1), (4, 0, 0), (4, 1, 1), (4, 1, 1)]
+    found = module.score_documents(documents(rows + odd), spark.createDataFrame(labels, LABELS)).collect()
+    assert len(found) == len(rows) + len(odd)
+    assert all(0 <= r["score"] <= 1 for r in found)
+    assert not next(r for r in found if r["doc_id"] is None)["held_out"]
+
+
+@pytest.mark.parametrize("module", [toxicity, quality_classifier])
+def test_without_labels_or_documents(spark, documents, module):
+    docs, none = documents([(1, "a b"), (2, None)]), spark.createDataFrame([], LABELS)
+    found = module.score_documents(docs, none).collect()
+    assert sorted(r["doc_id"] for r in found) == [1, 2]
+    if module is toxicity:
+        assert not any(r["predicted"] for r in found)
+    else:
+        assert all(r["predicted"] for r in found)
+    labels = spark.createDataFrame([(1, 1, 1)], LABELS)
+    assert module.score_documents(documents([]), labels).collect() == []
+    assert len(module.score_documents(docs, labels).collect()) == 2
+
+
+def test_held_out_labels_do_not_count(spark, documents, corpus):
+    docs, labels = tables(spark, documents, corpus)
+    sample = training_sample(docs, labels, "toxic", 50, 100).collect()
+    assert not any(is_held_out(r["doc_id"]) for r in sample)
+    assert sum(r["positive"] for r in sample) == 50
+    assert sum(not r["positive"] for r in sample) == 100
+    flipped = labels.selectExpr(
+        "doc_id", "quality",
+        "if(crc32(cast(cast(doc_id as string) as binary)) % 5 = 0, 1 - toxic, toxic) as toxic",
+    )
+    assert [toxicity.fit(docs, x).linear.bias for x in (labels, flipped)][0] == pytest.approx(
+        toxicity.fit(docs, flipped).linear.bias
+    )
+
+
+def test_risk_learns_from_positives_and_unlabelled_alone():
+    rng = np.random.default_rng(0)
+    truth = rng.random(4000) < 0.3
+    rows = (rng.random((4000, 6)) < np.where(truth[:, None], 0.8, 0.1)).astype(np.uint8)
+    more = (rng.random((1000, 6)) < 0.8).astype(np.uint8)
+    for loss in nnpu.LOSSES:
+        model = nnpu.train(more, rows, 0.3, loss=loss)
+        assert ((model.decision(rows) > 0) == truth).mean() > 0.95
+    assert nnpu.refined_prior(more, rows, 0.2, loss="sigmoid") == pytest.approx(0.3, abs=0.04)
+    assert nnpu.class_prior(more, rows) >= 0.28
+
+
+def test_risk_without_rows():
+    none, some = np.zeros((0, 3), np.uint8), np.ones((5, 3), np.uint8)
+    for p, u in ((none, some), (some, none), (none, none)):
+        assert nnpu.train(p, u, 0.5).bias == 0
+    assert nnpu.class_prior(none, some) <= 1

@@ -1,0 +1,69 @@
+import math
+import random
+
+import numpy as np
+import pytest
+
+from saleslane.llm import exact_topk
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def brute(rows, k=20):
+    usable = [
+        (i, tuple(math.floor(64 * float(np.float32(x))) for x in v))
+        for i, v in rows
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    out = set()
+    for at, (query, q) in enumerate(usable):
+        if query % 20:
+            continue
+        scored = [
+            (-sum(a * b for a, b in zip(q, v, strict=True)), i)
+            for other, (i, v) in enumerate(usable)
+            if other != at and len(v) == len(q)
+        ]
+        best = sorted(scored)[:k]
+        out |= {(query, rank, i, -score) for rank, (score, i) in enumerate(best, 1)}
+    return out
+
+
+def result(df, **how):
+    return set(map(tuple, exact_topk.top_k(df, **how).collect()))
+
+
+def test_cases(spark):
+    rng = random.Random(1)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(8)]) for i in range(120)]
+    rows += [(i, [0.25] * 8) for i in range(200, 260)]  # ties
+    rows += [(40, rows[40][1]), (300, None), (320, [1.0, None]), (340, [float("nan")] * 8)]
+    rows += [(360, [float("inf")] * 8), (380, []), (381, []), (400, [1.0, 2.0]), (None, [0.5] * 8)]
+    rows += [(-20, [0.1] * 8), (-21, [-0.999] * 8)]
+    assert result(spark.createDataFrame(rows, SCHEMA)) == brute(rows)
+    wide = [(*row, "x", "y") for row in rows]
+    assert result(spark.createDataFrame(wide, SCHEMA + ", rank string, query_id string")) == brute(rows)
+
+
+def test_fewer_candidates_and_empty(spark):
+    assert result(spark.createDataFrame([(0, [1.0])], SCHEMA)) == set()
+    assert result(spark.createDataFrame([], SCHEMA)) == set()
+    assert result(spark.createDataFrame([(0, [1.0]), (20, [1.0])], SCHEMA)) == {
+        (0, 1, 20, 4096), (20, 1, 0, 4096)
+    }
+
+
+def test_many_cells_and_merges(spark, monkeypatch):
+    rng = random.Random(2)
+    rows = [(i, [rng.choice([-0.5, 0.0, 0.5]) for _ in range(4)]) for i in range(900)]
+    for name, value in {"SHARD_ROWS": 7, "BLOCK_ROWS": 5, "SHARDS_PER_CELL": 2, "FAN_IN": 2}.items():
+        monkeypatch.setattr(exact_topk, name, value)
+    assert result(spark.createDataFrame(rows, SCHEMA).repartition(6)) == brute(rows)
+
+
+def test_tile_uses_whole_numbers_where_floats_are_inexact():
+    queries, vectors = np.array([[2**29 + 1]]), np.array([[2**29 - 1], [2**29]])
+    places, scores = exact_topk.tile_best(queries, vectors, 2)
+    assert sorted(scores[0].tolist()) == [2**58 - 1, 2**58 + 2**29]
+    with pytest.raises(OverflowError):
+        exact_topk.tile_best(np.array([[2**40]]), np.array([[2**40]]), 1)

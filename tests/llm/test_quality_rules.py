@@ -1,0 +1,120 @@
+import random
+from collections import defaultdict
+
+import pytest
+from llm.brute import rules, words
+
+from saleslane.llm import quality_rules
+from saleslane.llm.stages import quality_rules_stage
+
+NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+
+def prose(rng, count):
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(count))
+
+
+def test_measures(documents):
+    rng = random.Random(1)
+    texts = [None, "", " \n\t", "one", "a b", "a b c", "a b c a b c", "a b c d a b c", "é漢 #$ \x1c|<>&"]
+    texts += ["x\ny\nx\n\n \n x", "l\r\nl\r\nl", "w " * 200, "p q " * 100, prose(rng, 40_000)]
+    texts += [" ".join(rng.choice("ab") for _ in range(60)) for _ in range(20)]
+    rows = [(i, text) for i, text in enumerate(texts)] + [(None, "a b c"), (3, "one")]
+    for clashing in (False, True):
+        found = quality_rules.verdicts(documents(rows, clashing)).collect()
+        assert len(found) == len(rows)
+        for row in found:
+            text = texts[row["doc_id"]] if row["doc_id"] is not None else "a b c"
+            measured = rules(text)
+            assert tuple(row[name] for name in NAMES) == measured, repr(text)
+            failed = measured[0] < 50 or 100 * measured[4] > 50 * measured[0]
+            assert row["base_failed"] == failed
+            assert row["kept"] == (not failed)
+
+
+def corpus(rng):
+    """Documents of two hosts: own prose, boilerplate, copies of one text, and nothing but boilerplate."""
+    boilerplate = [prose(rng, 30) for _ in range(3)]
+    copied = "\n".join(prose(rng, 20) for _ in range(4))
+    rows = []
+    for i in range(90):
+        lines = [prose(rng, 40) for _ in range(3)]
+        rows.append((i, "\n".join([*lines, "  " + boilerplate[i % 2].upper()]), "a"))
+    rows += [(100 + i, copied, "a") for i in range(40)]
+    rows += [(200 + i, copied.replace(copied[:5], f"edit{i}", 1), "a") for i in range(40)]
+    rows += [(300 + i, "\n".join([boilerplate[0], boilerplate[1], prose(rng, 2)]), "a") for i in range(5)]
+    rows += [(400, "\n".join([boilerplate[0], boilerplate[1]]), "b")]
+    return rows, boilerplate
+
+
+def test_boilerplate_depletes_but_copies_do_not(documents):
+    rows, _ = corpus(random.Random(7))
+    rejected = {
+        r["doc_id"] for r in quality_rules.verdicts(documents(rows)).collect() if not r["kept"]
+    }
+    assert rejected == {300, 301, 302, 303, 304}
+
+
+def plainly_judged(rows):
+    """The verdict by loops: boilerplate has over 20 documents, told apart by their least key."""
+    import hashlib
+
+    def key(host, line):
+        name = ("" if host is None else "=" + host) + "\n" + " ".join(words(line)).lower()
+        return int(hashlib.md5(name.encode()).hexdigest()[:15], 16)
+
+    lines = [[(key(h, x), len(words(x))) for x in (t or "").split("\n") if words(x)] for _, t, h in rows]
+    documents, hosts = defaultdict(set), defaultdict(set)
+    for (_, _, host), own in zip(rows, lines, strict=True):
+        if own:
+            hosts[host].add(min(own)[0])
+            for k, _ in own:
+                documents[host, k].add(min(own)[0])
+    out = []
+    for (doc_id, text, host), own in zip(rows, lines, strict=True):
+        measured = rules(text)
+        gone = sum(n for k, n in own if len(documents[host, k]) > max(20, 0.001 * len(hosts[host])))
+        failed = measured[0] < 50 or 100 * measured[4] > 50 * measured[0]
+        out.append((doc_id, not failed and measured[0] - gone >= 0.3 * measured[0]))
+    return sorted(out)
+
+
+def test_against_loops(documents):
+    rows, boilerplate = corpus(random.Random(8))
+    rows += [(500 + i, boilerplate[2] + "\n" + f"tail{i} " * 2, None) for i in range(30)]
+    rows += [(600, boilerplate[2] + "\n" + boilerplate[2], None), (600, boilerplate[2], None)]
+    found = [(r["doc_id"], r["kept"]) for r in quality_rules.verdicts(documents(rows)).collect()]
+    assert sorted(found) == plainly_judged(rows)
+
+
+def test_stage_removes_lines_and_documents(spark, documents):
+    rows, boilerplate = corpus(random.Random(9))
+    docs = documents(rows, clashing=True)
+    kept = quality_rules_stage(spark, docs, "").collect()
+    assert quality_rules_stage(spark, docs, "").columns == docs.columns
+    assert len(kept) == len(rows) - 5
+    by_id = {r["doc_id"]: r for r in kept}
+    assert all(boilerplate[0].upper() not in r["text"] for i, r in by_id.items() if i < 90)
+    assert all(r["n_chars"] == len(r["text"]) for r in kept)
+    assert by_id[400]["text"] == "\n".join(boilerplate[:2])
+
+
+def test_empty(spark, documents):
+    assert quality_rules.verdicts(documents([])).collect() == []
+    assert quality_rules_stage(spark, documents([]), "").collect() == []
+
+
+def test_plan_has_no_python(documents, capsys):
+    df = quality_rules.verdicts(documents([(1, "a b c")]))
+    df.explain()
+    plan = capsys.readouterr().out
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+@pytest.mark.parametrize("removed", [None, []])
+def test_texts_without_such_lines_stay(spark, removed):
+    from pyspark.sql import functions as F
+
+    row = spark.createDataFrame([("h", " a \n\nb", removed)], "host string, text string, keys array<long>")
+    made = row.select(quality_rules.without_lines(F.col("host"), F.col("text"), F.col("keys"))).first()
+    assert made[0] == " a \n\nb"

@@ -1,0 +1,86 @@
+import random
+import re
+
+import pytest
+
+from saleslane.llm.catalog import URL_RULES
+from saleslane.llm.url_filters import Automaton, Rule, judge_urls
+
+COLUMNS = ["page_id", "host", "path", "rule", "verdict"]
+
+
+def plain(url, rules=URL_RULES, default="allow"):
+    rest = url.partition("://")[2] if url else ""
+    host, path = re.match(r"([^/?#]*)([^?#]*)", rest).groups()
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    fits = [
+        r for r in rules if ("." + host).endswith("." + r.host) and path.startswith(r.path)
+    ]
+    best = max(fits, key=lambda r: (len(r.name), len(r.host)), default=None)
+    return host, path, best and best.name, best.verdict if best else default
+
+
+URLS = [
+    None, "", "no scheme", "http://", "://x.com/", "http://com", "http://com/", "HTTP://A.COM/b",
+    "https://www.example.com/en/1", "https://m.example.com/en/", "https://example.com/en",
+    "https://notexample.com/en/1", "http://x.net/es/?a", "http://x.net/es?/es/", "http://net/fr/#",
+    "http://org/x.com/", "http://x.org/.com/en/", "http://x.com:80/", "http://É.net/fr/x",
+    "http://a.com?x=http://b.net/es/", "a://b://net/es/", "http://x.com/é漢\n/en/",
+    "http://k.example.com/en/" + "y" * 20_000,
+]
+
+
+def test_cases(spark):
+    rows = [(i, url) for i, url in enumerate(URLS)] + [(0, URLS[8]), (None, URLS[8])]
+    expected = sorted(((i, *plain(url)) for i, url in rows), key=str)
+    made = judge_urls(spark.createDataFrame(rows, "page_id long, url string"), URL_RULES)
+    assert sorted(map(tuple, made.select(COLUMNS).collect()), key=str) == expected
+    wide = spark.createDataFrame(
+        [(*r, "x", 1, "z") for r in rows], "page_id long, url string, host string, rule int, other string"
+    )
+    made = judge_urls(wide, URL_RULES)
+    assert sorted(map(tuple, made.select(COLUMNS).collect()), key=str) == expected
+    assert "other" in made.columns
+
+
+def test_empty_and_no_rules(spark):
+    empty = spark.createDataFrame([], "page_id long, url string")
+    assert judge_urls(empty, URL_RULES).collect() == []
+    one = spark.createDataFrame([(1, "http://a.com/")], "page_id long, url string")
+    row = judge_urls(one, [], default="block").first()
+    assert (row["rule"], row["verdict"]) == (None, "block")
+
+
+def test_many_rules_need_many_words(spark):
+    rng = random.Random(4)
+    label = lambda: rng.choice(["a", "b", "cc", "news"])
+    rules = [
+        Rule(".".join(label() for _ in range(rng.randint(1, 3))), "/" + label() * rng.randint(0, 2), rng.choice(["allow", "block"]))
+        for _ in range(60)
+    ]
+    rules = list({rule.name: rule for rule in rules}.values())
+    urls = [
+        "http://" + ".".join(label() for _ in range(rng.randint(1, 5))) + rng.choice(["", "/"]) + label() * rng.randint(0, 3)
+        for _ in range(300)
+    ]
+    rows = judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules)
+    found = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in rows.collect()}
+    assert found == {i: plain(url, rules) for i, url in enumerate(urls)}
+
+
+@pytest.mark.parametrize(
+    ("glob", "yes", "no"),
+    [
+        ("a*b", ["ab", "axxb", "abb"], ["a/b", "ba", "abc"]),
+        ("a**b", ["ab", "a/x/b"], ["a", "b"]),
+        ("*x*", ["x", "axb", "xx"], ["/x", ""]),
+        ("**", ["", "/", "anything"], []),
+        ("", [""], ["a"]),
+        ("a***", ["a", "a/"], [""]),
+        ("y" * 200 + "*z", ["y" * 200 + "z", "y" * 250 + "z"], ["y" * 199 + "z"]),
+    ],
+)
+def test_globs(glob, yes, no):
+    automaton = Automaton.of(["q" * 40, glob])
+    found = automaton.matches([x.encode() for x in (*yes, *no)])[:, 1].tolist()
+    assert found == [True] * len(yes) + [False] * len(no)
