@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from saleslane.catalog.queries import AS_OF, PROCESSING_DATE, URL_PATTERN
+from saleslane.catalog.queries import AS_OF, PROCESSING_DATE, TABLES, URL_PATTERN
 
 # Fixed text: the sales table with its deterministic defects.
 SALES = """
@@ -65,39 +65,52 @@ product_summary AS (
 """
 
 # Columns of the checked tables.
-RAW_COLUMNS = "id customer_id product_id quantity price transaction_date category region".split()
+RAW_COLUMNS = [
+    "id", "customer_id", "product_id", "quantity", "price", "transaction_date", "category", "region",
+]
 COLUMNS = {
     "transformed_sales": [
-        *RAW_COLUMNS,
-        *"total_amount year month day customer_total_spent customer_category".split(),
+        "id", "customer_id", "product_id", "quantity", "price", "transaction_date", "category",
+        "region", "total_amount", "year", "month", "day", "customer_total_spent",
+        "customer_category",
     ],
-    "daily_sales_summary": (
-        "year month day region daily_revenue daily_transactions avg_transaction_amount".split()
-    ),
-    "customer_summary": (
-        "customer_id customer_category region total_spent total_transactions "
-        "avg_transaction_amount last_purchase_date"
-    ).split(),
-    "product_summary": (
-        "product_id category region total_quantity_sold total_revenue total_orders avg_price"
-    ).split(),
-    "orders": (
-        "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority".split()
-    ),
-    "lineitem": (
-        "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax "
-        "l_returnflag l_linestatus l_shipdate"
-    ).split(),
-    "events": "event_id ts user_id event_type value props".split(),
-    "documents": "doc_id text lang source n_chars".split(),
-    "labels": "doc_id quality toxic".split(),
-    "conversations": "conv_id turn role text".split(),
-    "pages": "page_id url html".split(),
-}
+    "daily_sales_summary": [
+        "year", "month", "day", "region", "daily_revenue", "daily_transactions",
+        "avg_transaction_amount",
+    ],
+    "customer_summary": [
+        "customer_id", "customer_category", "region", "total_spent", "total_transactions",
+        "avg_transaction_amount", "last_purchase_date",
+    ],
+    "product_summary": [
+        "product_id", "category", "region", "total_quantity_sold", "total_revenue",
+        "total_orders", "avg_price",
+    ],
+    "region": ["r_regionkey", "r_name"],
+    "nation": ["n_nationkey", "n_name", "n_regionkey"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+    "orders": [
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+        "o_orderpriority",
+    ],
+    "lineitem": [
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+    ],
+    "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+    "documents": ["doc_id", "text", "lang", "source", "n_chars"],
+    "embeddings": ["vec_id", "embedding", "label"],
+    "pages": ["page_id", "url", "html"],
+    "benchmark": ["item_id", "text"],
+    "labels": ["doc_id", "quality", "toxic"],
+    "conversations": ["conv_id", "turn", "role", "text"],
+}
 DOUBLES = {
     "price", "total_amount", "customer_total_spent", "daily_revenue", "avg_transaction_amount",
-    "total_spent", "total_revenue", "avg_price", "o_totalprice", "l_quantity", "l_extendedprice",
-    "l_discount", "l_tax", "value",
+    "total_spent", "total_revenue", "avg_price", "c_acctbal", "s_acctbal", "p_retailprice",
+    "o_totalprice", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "value",
 }
 
 
@@ -180,6 +193,19 @@ def duplicates(table: str) -> str:
     )
 
 
+def counts(
+    stage: str, output: str, source: str, target: str, filters: bool, malformed: str = "NULL"
+) -> str:
+    """Rows that a stage reads and writes, and, where it filters rows, how many it drops."""
+    rows_in, rows_out = (f"(SELECT count(*) FROM {x})" for x in (source, target))
+    rejected = f"{rows_in} - {rows_out}" if filters else "NULL"
+    return (
+        f"SELECT '{stage}' AS stage, '{output}' AS output, {rows_in} AS rows_in,"
+        f" {rows_out} AS rows_out, CAST({rejected} AS BIGINT) AS rows_rejected,"
+        f" CAST({malformed} AS BIGINT) AS rows_malformed, '{PROCESSING_DATE}' AS processing_date"
+    )
+
+
 def sales_query(body: str) -> str:
     return f"WITH {SALES}\n{body}"
 
@@ -266,9 +292,21 @@ def oracle_queries() -> dict[str, str]:
                      "customer_total_spent"],
                     14,
                 ),
-                profile("customer_summary", ["total_spent", "total_transactions"], 6),
                 profile(
-                    "product_summary", ["total_quantity_sold", "total_revenue", "total_orders"], 6
+                    "daily_sales_summary",
+                    ["year", "month", "day", "daily_revenue", "daily_transactions",
+                     "avg_transaction_amount"],
+                    7,
+                ),
+                profile(
+                    "customer_summary",
+                    ["total_spent", "total_transactions", "avg_transaction_amount"],
+                    7,
+                ),
+                profile(
+                    "product_summary",
+                    ["total_quantity_sold", "total_revenue", "total_orders", "avg_price"],
+                    7,
                 ),
             ]
         ),
@@ -319,6 +357,8 @@ def oracle_queries() -> dict[str, str]:
                       rule="all sales columns are present", failed="0"),
                 check("sales_raw", "sales_raw", "precheck", "empty_input", rule="input has rows",
                       failed="CAST(count(*) = 0 AS BIGINT)"),
+                check("(SELECT 1)", "sales_raw", "precheck", "mismatched_files",
+                      rule="every file has the sales columns in order", failed="0"),
                 completeness("sales_raw", ["customer_id", "product_id"]),
             ]
         ),
@@ -326,13 +366,16 @@ def oracle_queries() -> dict[str, str]:
         "failed_checks": f"SELECT * FROM ({report_rows()})"
         " WHERE failed_records > 0 OR completeness_rate < 95",
         "critical_failures": f"SELECT * FROM ({report_rows()}) WHERE failed_records > 100",
+        "scan_sales_csv": "SELECT * FROM sales_raw",
+        "layer_round_trip": "SELECT * FROM sales_clean",
         "stage_row_counts": union(
             [
-                f"SELECT '{stage}' AS stage, count(*) AS row_count FROM {source}"
-                for stage, source in (
-                    ("raw", "sales_raw"), ("processed", "sales_clean"),
-                    *((t, t) for t in REPORT_TABLES),
-                )
+                counts("ingestion", "processed", "sales_raw", "sales_clean", True, "0"),
+                counts("transformation", "transformed_sales", "sales_clean", "sales_clean", True),
+                *(
+                    counts("transformation", name, "sales_clean", name, False)
+                    for name in ("daily_sales_summary", "customer_summary", "product_summary")
+                ),
             ]
         ),
     }
@@ -340,8 +383,7 @@ def oracle_queries() -> dict[str, str]:
         "completeness_by_table": union(
             [
                 completeness(table, COLUMNS[table])
-                for table in ("orders", "lineitem", "events", "documents", "labels",
-                              "conversations", "pages")
+                for table in TABLES
             ]
         ),
         "type_validation": failing(

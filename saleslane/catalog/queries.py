@@ -7,18 +7,23 @@ and averages as cents over rows. Both are exact, hence equal in any engine.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleslane.catalog.sales import (
+    report_tables,
     sales_clean,
-    sales_fact,
+    sales_files,
     sales_lines,
     sales_raw,
     sales_totals,
     sales_transformed,
+    scratch,
     table,
+    wide_schema,
 )
 from saleslane.functions.rules import business_rule, castable, in_range, matches
 from saleslane.operators.audit import (
@@ -38,7 +43,6 @@ from saleslane.operators.integrity import (
     orphan_keys,
     uniqueness_violations,
 )
-from saleslane.operators.metrics import filter_row_counts, stage_row_counts
 from saleslane.operators.missing import check_missing_pattern, missing_pattern
 from saleslane.operators.precheck import check_input
 from saleslane.operators.report import (
@@ -52,9 +56,14 @@ from saleslane.operators.summaries import (
     CUSTOMER,
     DAILY,
     PRODUCT,
+    Summary,
     customer_summary_of_lines,
     distinct_values,
 )
+from saleslane.plans.ingestion import run_ingestion
+from saleslane.plans.stage import metrics_table
+from saleslane.plans.transformation import run_transformation
+from saleslane.sources.tables import mismatched_files, read_layer, read_sales_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +72,10 @@ AS_OF = "2026-01-01 00:00:00"
 PROCESSING_DATE = "2026-01-01"
 URL_PATTERN = "^https://[a-z0-9.-]+/"
 LINE_KEY = ["l_orderkey", "l_linenumber"]
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
 
 QUERIES: dict[str, Query] = {}
 
@@ -80,9 +93,16 @@ def cents(column: str) -> Column:
 
 
 def exact_average(average: str, rows: str) -> Column:
+    """The average as cents over ``rows``, the number of values that went into it."""
     return (F.round(F.col(average) * F.col(rows), 2) / F.col(rows)).alias(average)
 
 
+def counting(summary: Summary, average: str) -> Summary:
+    """The summary with the number of values behind its average as ``_values``."""
+    _, column = summary.measures[average]
+    return replace(summary, measures={**summary.measures, "_values": ("count", column)})
+
+
 def shown(df: DataFrame, **replaced: Column) -> DataFrame:
     return df.withColumns(replaced)
 
@@ -130,7 +150,7 @@ def customer_total_spent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("customer_tier")
 def customer_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tiers = add_customer_tier(sales_totals(spark, sf_dir), money_scale=2)
+    tiers = add_customer_tier(sales_totals(spark, sf_dir))
     return tiers.select("id", "customer_id", "customer_category")
 
 
@@ -143,40 +163,50 @@ def transformed_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- summaries -------------------------------------------------------------------------------
 
 
-@query("daily_sales_summary")
-def daily_sales_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+def daily(lines: DataFrame) -> DataFrame:
+    average = "avg_transaction_amount"
     return shown(
-        DAILY.of(sales_lines(spark, sf_dir)),
+        counting(DAILY, average).of(lines),
         daily_revenue=cents("daily_revenue"),
-        avg_transaction_amount=exact_average("avg_transaction_amount", "daily_transactions"),
-    )
+        avg_transaction_amount=exact_average(average, "_values"),
+    ).drop("_values")
+
+
+def by_customer(df: DataFrame) -> DataFrame:
+    average = "avg_transaction_amount"
+    return shown(
+        df, total_spent=cents("total_spent"), avg_transaction_amount=exact_average(average, "_values")
+    ).drop("_values")
+
+
+def by_product(lines: DataFrame) -> DataFrame:
+    return shown(
+        counting(PRODUCT, "avg_price").of(lines),
+        total_revenue=cents("total_revenue"),
+        avg_price=exact_average("avg_price", "_values"),
+    ).drop("_values")
+
+
+@query("daily_sales_summary")
+def daily_sales_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily(sales_lines(spark, sf_dir))
 
 
 @query("customer_summary")
 def customer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(
-        customer_summary_of_lines(sales_lines(spark, sf_dir), money_scale=2),
-        total_spent=cents("total_spent"),
-        avg_transaction_amount=exact_average("avg_transaction_amount", "total_transactions"),
-    )
+    summary = counting(CUSTOMER, "avg_transaction_amount")
+    return by_customer(customer_summary_of_lines(sales_lines(spark, sf_dir), summary=summary))
 
 
 @query("customer_summary_of_fact")
 def customer_summary_of_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(
-        CUSTOMER.of(sales_transformed(spark, sf_dir)),
-        total_spent=cents("total_spent"),
-        avg_transaction_amount=exact_average("avg_transaction_amount", "total_transactions"),
-    )
+    summary = counting(CUSTOMER, "avg_transaction_amount")
+    return by_customer(summary.of(sales_transformed(spark, sf_dir)))
 
 
 @query("product_summary")
 def product_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(
-        PRODUCT.of(sales_lines(spark, sf_dir)),
-        total_revenue=cents("total_revenue"),
-        avg_price=exact_average("avg_price", "total_orders"),
-    )
+    return by_product(sales_lines(spark, sf_dir))
 
 
 # --- checks of one table ----------------------------------------------------------------------
@@ -189,8 +219,7 @@ def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("completeness_by_table")
 def completeness_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ["orders", "lineitem", "events", "documents", "labels", "conversations", "pages"]
-    return union_checks([check_data_completeness(table(spark, sf_dir, n), n) for n in names])
+    return union_checks([check_data_completeness(table(spark, sf_dir, n), n) for n in TABLES])
 
 
 @query("validity_checks")
@@ -213,14 +242,11 @@ def duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("numeric_profile")
 def numeric_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sales = sales_fact(spark, sf_dir)
-    summaries = {s.name: s.of(sales) for s in (CUSTOMER, PRODUCT)}
-    profile = generate_data_profile(sales, "transformed_sales")
-    for name, summary in summaries.items():
-        kept = [c for c in summary.columns if not c.startswith("avg_")]
-        profile = profile.unionByName(generate_data_profile(summary.select(kept), name))
+    """All four tables, every numeric column, averages included."""
+    tables = report_tables(spark, sf_dir)
+    profiles = [generate_data_profile(df, name) for name, df in tables.items()]
     return shown(
-        profile,
+        reduce(DataFrame.unionByName, profiles),
         min_val=cents("min_val"),
         max_val=cents("max_val"),
         avg_val=exact_average("avg_val", "non_null_count"),
@@ -347,15 +373,16 @@ def uniqueness_violation_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("input_precheck")
 def input_precheck(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return check_input(sales_raw(spark, sf_dir), "sales_raw")
+    path = sales_files(spark, sf_dir, "precheck")
+    raw = read_sales_csv(spark, path, wide_schema())
+    return check_input(raw, "sales_raw", bad_files=len(mismatched_files(spark, path)))
 
 
 # --- the report and its gates -------------------------------------------------------------------
 
 
 def report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sales = sales_fact(spark, sf_dir)
-    tables = {"transformed_sales": sales} | {s.name: s.of(sales) for s in (DAILY, CUSTOMER, PRODUCT)}
+    tables = report_tables(spark, sf_dir)
     return quality_results(tables, PROCESSING_DATE, AS_OF).drop("check_timestamp")
 
 
@@ -374,9 +401,37 @@ def critical_report_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return critical_failures(report(spark, sf_dir))
 
 
+# --- through the files ------------------------------------------------------------------------
+
+
+def without_zone(df: DataFrame) -> DataFrame:
+    """Times as the test tables have them."""
+    times = [name for name, kind in df.dtypes if kind == "timestamp"]
+    return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in times})
+
+
+@query("scan_sales_csv")
+def scan_sales_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw sales written as CSV and read with the fixed schema."""
+    path = sales_files(spark, sf_dir, "scan")
+    return without_zone(read_sales_csv(spark, path, wide_schema()))
+
+
+@query("layer_round_trip")
+def layer_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned layer as ingestion writes it by region, read back."""
+    raw = sales_files(spark, sf_dir, "layer")
+    layer = f"{scratch(spark, 'layer')}/processed"
+    run_ingestion(spark, raw, layer, PROCESSING_DATE, schema=wide_schema())
+    return without_zone(read_layer(spark, layer).drop("processed_at"))
+
+
 @query("stage_row_counts")
-def row_counts_by_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sales = sales_fact(spark, sf_dir)
-    outputs = {"transformed_sales": sales} | {s.name: s.of(sales) for s in (DAILY, CUSTOMER, PRODUCT)}
-    cleaned = filter_row_counts(sales_raw(spark, sf_dir), usable_row(), "raw", "processed")
-    return cleaned.unionByName(stage_row_counts(outputs))
+def stage_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the jobs count on their writes, from CSV files to the four tables."""
+    raw = sales_files(spark, sf_dir, "counts")
+    layers = [f"{scratch(spark, 'counts')}/{name}" for name in ("processed", "transformed")]
+    schema = wide_schema()
+    done = run_ingestion(spark, raw, layers[0], PROCESSING_DATE, schema=schema)
+    done += run_transformation(spark, *layers, PROCESSING_DATE, schema=schema)
+    return metrics_table(spark, done)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from saleslane.operators.clean import clean_data
 from saleslane.operators.enrich import (
@@ -12,8 +15,9 @@ from saleslane.operators.enrich import (
     add_line_facts,
     transform_sales_data,
 )
-from saleslane.sources.sinks import staged
-
+from saleslane.operators.summaries import CUSTOMER, DAILY, PRODUCT, customer_summary_of_lines
+from saleslane.schema import define_schema
+from saleslane.session import shared_folder
 
 _schemas: dict[str, StructType] = {}
 
@@ -88,18 +92,59 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Amounts and customer totals only.
-
-    The totals read their input more than once, so the joins behind it are staged.
-    """
+    """Amounts and customer totals only; the totals are aggregated before they meet the lines."""
     lines = sales_lines(spark, sf_dir).select("id", "customer_id", "total_amount")
-    return add_customer_total(staged(lines, "amounts"))
+    return add_customer_total(lines)
 
 
 def sales_transformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transform_sales_data(staged(sales_clean(spark, sf_dir), "sales"), money_scale=2)
+    return transform_sales_data(sales_clean(spark, sf_dir))
+
+
+def report_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The fact and its summaries, each by the plan that reads least.
+
+    Only the fact needs the totals on its rows: the summaries come from the lines, and the customer
+    summary takes its tier from its own groups.
+    """
+    lines = sales_lines(spark, sf_dir)
+    return {
+        "transformed_sales": sales_transformed(spark, sf_dir),
+        DAILY.name: DAILY.of(lines),
+        CUSTOMER.name: customer_summary_of_lines(lines),
+        PRODUCT.name: PRODUCT.of(lines),
+    }
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A folder for queries that write: in the session's checkpoint folder, which executors share.
+
+    Each run of a query replaces what the last one wrote there. A session that runs in one process
+    may do without such a folder; then a temporary one is made once.
+    """
+    shared = shared_folder(spark)
+    if shared is None:
+        if not spark.conf.get("spark.master").startswith("local["):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+        shared = _local_folder()
+    return f"{shared.rstrip('/')}/saleslane-{name}"
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="saleslane-")
+
+
+def sales_files(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The raw sales as CSV files with a header each, as the daily job finds them."""
+    path = f"{scratch(spark, name)}/raw"
+    sales_raw(spark, sf_dir).write.mode("overwrite").csv(path, header=True)
+    return path
 
 
-def sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The transformed sales as a written table, as the quality checks find them."""
-    return staged(sales_transformed(spark, sf_dir), "transformed_sales")
+def wide_schema() -> StructType:
+    """The sales schema with ids that hold the order keys of large tables."""
+    fields = [
+        StructField(f.name, LongType()) if f.name == "id" else f for f in define_schema().fields
+    ]
+    return StructType(fields)

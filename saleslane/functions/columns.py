@@ -11,6 +11,8 @@ from pyspark.sql.types import DoubleType, FloatType, StructField, StructType
 # Spend tiers, highest first; a total must be above the bound.
 SPEND_TIERS = (("Premium", 10000.0), ("Gold", 5000.0), ("Silver", 1000.0))
 LOWEST_TIER = "Bronze"
+# Totals are compared with the bounds in cents.
+MONEY_SCALE = 2
 
 # Type names that count as numeric when a table is profiled.
 PROFILED_TYPES = ("int", "bigint", "float", "double")
@@ -33,17 +35,22 @@ def spend_tier(
     total: Column,
     tiers: Sequence[tuple[str, float]] = SPEND_TIERS,
     lowest: str = LOWEST_TIER,
-    money_scale: int | None = None,
+    money_scale: int | None = MONEY_SCALE,
 ) -> Column:
     """Tier of a customer total; a null total falls to the lowest tier.
 
-    Sums of doubles depend on the order of addition. ``money_scale=2`` compares totals
-    rounded to cents, so that a customer exactly on a bound gets the same tier every run.
+    Sums of doubles depend on the order of addition. Totals are compared rounded to
+    ``money_scale`` places, so that a customer exactly on a bound gets the same tier every run;
+    None compares them as they are.
     """
     compared = total if money_scale is None else F.round(total, money_scale)
-    # coalesce of single-branch cases: the first tier whose bound is passed wins
-    passed = [F.when(compared > bound, F.lit(name)) for name, bound in tiers]
-    return F.coalesce(*passed, F.lit(lowest))
+    if not tiers:
+        return F.lit(lowest)
+    (name, bound), *others = tiers
+    tier = F.when(compared > bound, name)
+    for name, bound in others:
+        tier = tier.when(compared > bound, name)
+    return tier.otherwise(lowest)
 
 
 def is_missing(field: StructField) -> Column:

@@ -34,6 +34,11 @@ def report_row(**values: Column | str | None) -> Column:
     return F.struct(*fields)
 
 
+def kept(few: DataFrame) -> DataFrame:
+    """The same rows without their plan; for a single aggregated row, which the driver can hold."""
+    return few.sparkSession.createDataFrame(few.collect(), few.schema)
+
+
 class TableAudit:
     """Measures of one table, and the report rows drawn from them."""
 
@@ -67,9 +72,9 @@ class TableAudit:
             ]
         return found
 
-    def checkpointed(self) -> TableAudit:
-        """Run the scan now and keep the one row of measures in the checkpoint folder."""
-        self.measures = self.measures.checkpoint(eager=True)
+    def measured(self) -> TableAudit:
+        """Run the scan now and go on from its one row of measures."""
+        self.measures = kept(self.measures)
         return self
 
     def results(self, table_rules: Iterable[Rule] = ()) -> DataFrame:

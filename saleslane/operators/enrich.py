@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleslane.functions.columns import SPEND_TIERS, date_parts, line_amount, spend_tier
+from saleslane.functions.columns import MONEY_SCALE, SPEND_TIERS, date_parts, line_amount, spend_tier
 
 # A customer is heavy with at least this many rows and this share of all rows. No more than
 # 1 / HEAVY_SHARE customers can have the share, which bounds what is broadcast.
@@ -40,7 +40,8 @@ def add_group_total(
     * all other rows are joined by shuffle. Their keys have small shares, and adaptive execution
       splits a partition that is still too large.
 
-    ``df`` is read more than once, so it should be a table or staged, not a long plan.
+    The result does not depend on the limits, only the plan does: a heavy key beyond the bound of the
+    broadcast stays in the other branch. ``df`` is read more than once, so it should be a table.
     Without heavy keys the broadcast is empty and adaptive execution drops the first branch,
     so the rows are read once for the totals and once for the join.
     """
@@ -74,7 +75,7 @@ def add_customer_total(df: DataFrame, **limits: float) -> DataFrame:
 def add_customer_tier(
     df: DataFrame,
     tiers: Sequence[tuple[str, float]] = SPEND_TIERS,
-    money_scale: int | None = None,
+    money_scale: int | None = MONEY_SCALE,
 ) -> DataFrame:
     tier = spend_tier(F.col("customer_total_spent"), tiers, money_scale=money_scale)
     return df.withColumn("customer_category", tier)
@@ -83,7 +84,7 @@ def add_customer_tier(
 def transform_sales_data(
     df: DataFrame,
     tiers: Sequence[tuple[str, float]] = SPEND_TIERS,
-    money_scale: int | None = None,
+    money_scale: int | None = MONEY_SCALE,
     **limits: float,
 ) -> DataFrame:
     """The sales fact with every derived column.

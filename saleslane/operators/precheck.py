@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleslane.functions.rules import Rule
 from saleslane.operators.audit import TableAudit
 from saleslane.operators.clean import REQUIRED
 from saleslane.schema import define_schema
+from saleslane.sources.tables import mismatched_files
 
 
 class InputRejected(ValueError):
@@ -22,25 +23,38 @@ def sales_columns() -> list[str]:
 
 
 def check_input(
-    df: DataFrame, table_name: str = "raw", required: Sequence[str] = REQUIRED
+    df: DataFrame,
+    table_name: str = "raw",
+    required: Sequence[str] = REQUIRED,
+    bad_files: int | None = None,
 ) -> DataFrame:
-    """Missing columns, emptiness and completeness of the required columns, in one pass."""
+    """Missing columns, emptiness and completeness of the required columns, in one pass.
+
+    ``bad_files`` is the number of files with another header, where the input comes from files.
+    """
     present = [name for name in required if name in df.columns]
     absent = len(set(sales_columns()).difference(df.columns))
     audit = TableAudit(df.select(*present), table_name, profile=False)
     all_columns = "all sales columns are present"
-    return audit.results(
-        [
-            Rule("precheck", "missing_columns", all_columns, (), F.lit(absent)),
-            Rule("precheck", "empty_input", "input has rows", (), F.col("rows") == 0),
-        ]
-    )
-
-
-def require_columns(found: Sequence[str], table_name: str = "raw") -> None:
-    absent = [name for name in sales_columns() if name not in found]
-    if absent:
-        raise InputRejected(f"{table_name}: columns missing: {', '.join(absent)}")
+    rules = [
+        Rule("precheck", "missing_columns", all_columns, (), F.lit(absent)),
+        Rule("precheck", "empty_input", "input has rows", (), F.col("rows") == 0),
+    ]
+    if bad_files is not None:
+        text = "every file has the sales columns in order"
+        rules.append(Rule("precheck", "mismatched_files", text, (), F.lit(bad_files)))
+    return audit.results(rules)
+
+
+def require_headers(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None
+) -> None:
+    """Refuse files whose header lacks columns or has them in another order, naming the files."""
+    bad = mismatched_files(spark, path, columns)
+    if bad:
+        files = "; ".join(f"{file} has {', '.join(header)}" for file, header in bad)
+        expected = ", ".join(columns or sales_columns())
+        raise InputRejected(f"{path}: columns must be {expected}, but {files}")
 
 
 def require_rows(df: DataFrame, table_name: str = "raw") -> None:

@@ -12,7 +12,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from saleslane.functions.columns import SPEND_TIERS, spend_tier
+from saleslane.functions.columns import MONEY_SCALE, SPEND_TIERS, spend_tier
 
 
 @dataclass(frozen=True)
@@ -80,17 +80,19 @@ def create_aggregations(df: DataFrame) -> tuple[DataFrame, ...]:
 def customer_summary_of_lines(
     lines: DataFrame,
     tiers: Sequence[tuple[str, float]] = SPEND_TIERS,
-    money_scale: int | None = None,
+    money_scale: int | None = MONEY_SCALE,
+    summary: Summary | None = None,
 ) -> DataFrame:
     """The customer summary without the transformed fact.
 
     Lines are read once and reach the shuffle as customer and region groups, so no line is
     shuffled or joined. The window then runs over the groups, one row per region of a customer.
     """
-    groups = replace(CUSTOMER, keys=("customer_id", "region")).of(lines)
+    summary = summary or CUSTOMER
+    groups = replace(summary, keys=("customer_id", "region")).of(lines)
     total = F.sum("total_spent").over(Window.partitionBy("customer_id"))
     tier = spend_tier(F.col("_total"), tiers, money_scale=money_scale)
-    columns = [*CUSTOMER.keys, *CUSTOMER.measures]
+    columns = [*summary.keys, *summary.measures]
     return (
         groups.withColumn("_total", total).withColumn("customer_category", tier).select(*columns)
     )

@@ -5,27 +5,38 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from saleslane.operators.precheck import require_columns, require_completeness, require_rows
+from saleslane.functions.columns import MONEY_SCALE
+from saleslane.operators.precheck import require_completeness, require_headers, require_rows
 from saleslane.plans.ingestion import run_ingestion
 from saleslane.plans.quality import run_quality
 from saleslane.plans.stage import StageMetrics, metrics_table
 from saleslane.plans.transformation import run_transformation
 from saleslane.sources.sinks import write_report
-from saleslane.sources.tables import csv_header, layer_path, read_sales_csv
+from saleslane.sources.tables import layer_path, read_sales_csv
 
 STAGES = ("ingestion", "transformation", "quality")
 
 
-def validate_input(spark: SparkSession, path: str, min_completeness: float | None = None) -> None:
-    """Refuse raw input with missing columns or no rows.
+def validate_input(
+    spark: SparkSession,
+    path: str,
+    min_completeness: float | None = None,
+    schema: StructType | None = None,
+    by_position: bool = False,
+    allow_empty: bool = False,
+) -> None:
+    """Refuse raw input whose files have other columns or another order, or that has no rows.
 
-    Both need only the first line of a file. ``min_completeness`` also checks the key columns,
+    Both need only the first lines of the files. ``min_completeness`` also checks the key columns,
     which takes a pass over the whole input.
     """
-    require_columns(csv_header(spark, path), path)
-    raw = read_sales_csv(spark, path)
-    require_rows(raw, path)
+    if not by_position:
+        require_headers(spark, path, schema and schema.fieldNames())
+    raw = read_sales_csv(spark, path, schema)
+    if not allow_empty:
+        require_rows(raw, path)
     if min_completeness is not None:
         require_completeness(raw, min_completeness, table_name=path)
 
@@ -46,9 +57,17 @@ def run_day(
     stages: Sequence[str] = STAGES,
     as_of=None,
     min_completeness: float | None = None,
+    schema: StructType | None = None,
+    money_scale: int | None = MONEY_SCALE,
+    by_position: bool = False,
+    allow_empty: bool = False,
+    allow_unreadable: bool = False,
 ) -> DataFrame:
     """Run the chosen stages of one date in order; the first failure stops the run.
 
+    A day in which no row is usable gives empty tables; ``allow_empty`` lets a day without any row
+    pass too. The other options are those of the jobs.
+
     Returns the row counts of the written outputs, which are also saved per stage in the
     ``run_metrics`` folder of the date. The session is left running.
     """
@@ -60,12 +79,15 @@ def run_day(
     )
     metrics = []
     if "ingestion" in stages:
-        validate_input(spark, raw, min_completeness)
-        done = run_ingestion(spark, raw, processed, date)
+        validate_input(spark, raw, min_completeness, schema, by_position, allow_empty)
+        # the headers have been checked
+        done = run_ingestion(spark, raw, processed, date, schema=schema, by_position=True)
         metrics += save_metrics(spark, done, base, date)
     if "transformation" in stages:
-        done = run_transformation(spark, processed, transformed, date)
+        done = run_transformation(
+            spark, processed, transformed, date, schema=schema, money_scale=money_scale
+        )
         metrics += save_metrics(spark, done, base, date)
     if "quality" in stages:
-        run_quality(spark, transformed, date, as_of)
+        run_quality(spark, transformed, date, as_of, allow_unreadable, schema)
     return metrics_table(spark, metrics)

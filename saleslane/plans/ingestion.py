@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from saleslane.operators.clean import clean_data
+from saleslane.operators.precheck import require_headers
 from saleslane.plans.stage import StageMetrics
 from saleslane.session import setting, shuffles_sized_for
 from saleslane.sources.sinks import counted, refuse_overlap, rows_of, write_layer
-from saleslane.sources.tables import read_sales_csv
+from saleslane.sources.tables import MALFORMED, read_sales_csv
 
 # Bytes of raw text per task on large inputs. A task writes one file per region, so larger
 # splits mean larger files; what a task buffers while writing is bounded by its split.
@@ -25,24 +27,37 @@ def run_ingestion(
     date: str,
     rebalance: bool = False,
     schema: StructType | None = None,
+    by_position: bool = False,
 ) -> list[StageMetrics]:
     """Clean one day of raw CSV and write it by region: one pass, no shuffle, no sort.
 
     ``rebalance=True`` shuffles the rows to fill larger files; it pays off for small inputs on
     large clusters, where each split is small. ``schema`` replaces the sales schema, for example
-    where ids need more than an int.
+    where ids need more than an int. Files whose header has other columns, or another order, are
+    refused before anything is written; ``by_position`` binds them by position instead. Lines
+    with a cell that does not fit, or with too few cells, are counted as malformed.
     """
     refuse_overlap(spark, input_path, output_path)
-    raw, read = counted(read_sales_csv(spark, input_path, schema), "read")
-    kept, usable = counted(clean_data(raw), "usable")
+    if not by_position:
+        require_headers(spark, input_path, schema and schema.fieldNames())
+    lines = read_sales_csv(spark, input_path, schema, keep_malformed=True)
+    read = Observation("read")
+    raw = lines.observe(
+        read,
+        F.count(F.lit(1)).alias("rows"),
+        F.count(MALFORMED).alias("malformed"),
+    )
+    kept, usable = counted(clean_data(raw.drop(MALFORMED)), "usable")
     with (
         shuffles_sized_for(raw),
         setting(spark, "spark.sql.files.maxPartitionBytes", SPLIT_SIZE),
         setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_REGIONS)),
     ):
         rows_out = write_layer(kept, output_path, ["region"], rebalance)
-    rows_in = rows_of(read)
+    rows_in, malformed = read.get["rows"], read.get["malformed"]
     if rows_of(usable) != rows_out:
         # Before a shuffle, a task that ran again after a lost executor is counted twice.
-        rows_in = read_sales_csv(spark, input_path).count()
-    return [StageMetrics("ingestion", "processed", rows_in, rows_out, date)]
+        rows_in, malformed = lines.agg(F.count(F.lit(1)), F.count(MALFORMED)).first()
+    return [
+        StageMetrics("ingestion", "processed", rows_in, rows_out, date, rows_malformed=malformed)
+    ]

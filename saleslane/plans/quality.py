@@ -8,7 +8,9 @@ from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from saleslane.operators.audit import kept
 from saleslane.operators.integrity import check_referential_integrity
 from saleslane.operators.report import (
     audit_table,
@@ -20,9 +22,9 @@ from saleslane.operators.report import (
     unreadable_dataset,
 )
 from saleslane.operators.summaries import SUMMARIES
-from saleslane.plans.transformation import TRANSFORMED
+from saleslane.plans.transformation import TRANSFORMED, known_schemas
 from saleslane.schema import quality_results_schema
-from saleslane.session import ensure_checkpoint_dir, shuffles_sized_for
+from saleslane.session import shuffles_sized_for
 from saleslane.sources.sinks import write_report
 from saleslane.sources.tables import read_layer
 
@@ -31,33 +33,47 @@ log = logging.getLogger(__name__)
 DATASETS = (TRANSFORMED, *(summary.name for summary in SUMMARIES))
 
 
+# Error conditions of a table that is absent or broken; any other error ends the job.
+UNREADABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER")
+
+
 class QualityFailure(RuntimeError):
-    """Critical checks failed, or no table could be checked."""
+    """Critical checks failed, or a table could not be checked."""
+
+
+def is_unreadable(error: Exception) -> bool:
+    """Whether a table cannot be read, as against a job that failed or lost its executors."""
+    condition = error.getCondition() if isinstance(error, PySparkException) else None
+    text = condition or str(error)
+    return any(name in text for name in UNREADABLE)
 
 
 def audit_datasets(
-    spark: SparkSession, input_path: str, as_of=None
-) -> tuple[DataFrame, list[DataFrame]]:
-    """Check rows of all datasets, and one profile per dataset that could be checked.
+    spark: SparkSession, input_path: str, as_of=None, schema: StructType | None = None
+) -> tuple[DataFrame, list[DataFrame], list[str]]:
+    """Check rows of all datasets, the profiles of those that could be checked, and the other names.
 
-    Each dataset is scanned at once, and its row of measures kept in the checkpoint folder:
-    an unreadable dataset does not hide the others, and writing two reports costs one scan.
+    Each dataset is scanned at once, and its row of measures kept on the driver: an unreadable
+    dataset does not hide the others, and writing two reports costs one scan.
     """
-    ensure_checkpoint_dir(spark, f"{input_path}/_checkpoints")
-    checks, profiles = [], []
+    schemas = known_schemas(schema)
+    checks, profiles, unreadable = [], [], []
     for name in DATASETS:
         try:
-            df = read_layer(spark, f"{input_path}/{name}")
-            audit = audit_table(df, name, as_of).checkpointed()
+            df = read_layer(spark, f"{input_path}/{name}", if_empty=schemas[name])
+            audit = audit_table(df, name, as_of).measured()
             with shuffles_sized_for(df):
-                duplicates = check_referential_integrity(df, name).checkpoint(eager=True)
+                duplicates = kept(check_referential_integrity(df, name))
         except (PySparkException, Py4JError) as error:
+            if not is_unreadable(error):
+                raise
             log.warning("could not check %s: %s", name, error)
             checks.append(unreadable_dataset(spark, name))
+            unreadable.append(name)
             continue
         checks += [audit.results(), duplicates]
         profiles.append(audit.profile())
-    return union_checks(checks), profiles
+    return union_checks(checks), profiles, unreadable
 
 
 def gate(results: DataFrame) -> None:
@@ -70,12 +86,21 @@ def gate(results: DataFrame) -> None:
         raise QualityFailure(f"Critical data quality issues found: {counts.critical} checks failed")
 
 
-def run_quality(spark: SparkSession, input_path: str, date: str, as_of=None) -> DataFrame:
+def run_quality(
+    spark: SparkSession,
+    input_path: str,
+    date: str,
+    as_of=None,
+    allow_unreadable: bool = False,
+    schema: StructType | None = None,
+) -> DataFrame:
     """Check the four tables under ``input_path`` and return the failed checks.
 
-    Report and profiles are both saved before the gate may stop the run.
+    Report and profiles are both saved before the gate may stop the run. It stops on critical
+    failures and on tables that could not be checked; ``allow_unreadable`` goes on without those,
+    as long as one table could be checked. ``schema`` is the raw one where it is not the sales schema.
     """
-    checks, profiles = audit_datasets(spark, input_path, as_of)
+    checks, profiles, unreadable = audit_datasets(spark, input_path, as_of, schema)
     results_path = f"{input_path}/quality_results"
     write_report(stamp(checks, date), results_path)
     if not profiles:
@@ -85,7 +110,8 @@ def run_quality(spark: SparkSession, input_path: str, date: str, as_of=None) ->
         all_profiles = all_profiles.unionByName(profile)
     write_report(all_profiles, f"{input_path}/data_profiles")
 
+    if unreadable and not allow_unreadable:
+        raise QualityFailure(f"could not be checked: {', '.join(unreadable)}")
     results = read_layer(spark, results_path, quality_results_schema())
     gate(results)
     return failed_checks(results)
-

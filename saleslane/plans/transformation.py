@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql.types import StructType
 
+from saleslane.functions.columns import MONEY_SCALE
 from saleslane.operators.enrich import transform_sales_data
 from saleslane.operators.summaries import SUMMARIES
 from saleslane.plans.stage import StageMetrics
+from saleslane.schema import processed_schema
 from saleslane.session import shuffles_sized_for
 from saleslane.sources.sinks import refuse_overlap, write_layer
 from saleslane.sources.tables import read_layer
@@ -15,18 +18,35 @@ TRANSFORMED = "transformed_sales"
 TRANSFORMED_PARTITIONS = ("region", "year", "month")
 
 
+def known_schemas(raw: StructType | None = None) -> dict[str, StructType]:
+    """Schemas of the transformed tables, for those that hold no row to infer them from."""
+    spark = SparkSession.active()
+    fact = transform_sales_data(spark.createDataFrame([], processed_schema(raw)))
+    tables = {TRANSFORMED: fact} | {summary.name: summary.of(fact) for summary in SUMMARIES}
+    return {name: df.schema for name, df in tables.items()}
+
+
 def run_transformation(
-    spark: SparkSession, input_path: str, output_path: str, date: str, rebalance: bool = True
+    spark: SparkSession,
+    input_path: str,
+    output_path: str,
+    date: str,
+    rebalance: bool = True,
+    schema: StructType | None = None,
+    money_scale: int | None = MONEY_SCALE,
 ) -> list[StageMetrics]:
     """Write the sales fact, then the summaries from the written fact.
 
+    ``schema`` is the raw one where it is not the sales schema; it tells the columns of a day without
+    usable rows. ``money_scale`` is the precision at which totals are compared with tier bounds.
+
     The join behind the customer totals runs once. Each summary scans only its own columns of
     the written table, and an executor lost meanwhile costs no more than those scans.
     """
     refuse_overlap(spark, input_path, output_path)
-    processed = read_layer(spark, input_path)
+    processed = read_layer(spark, input_path, if_empty=processed_schema(schema))
     rows_in = processed.count()  # answered from parquet footers, no column is read
-    transformed = transform_sales_data(processed)
+    transformed = transform_sales_data(processed, money_scale=money_scale)
     fact_path = f"{output_path}/{TRANSFORMED}"
     with shuffles_sized_for(processed):
         rows = write_layer(transformed, fact_path, TRANSFORMED_PARTITIONS, rebalance)

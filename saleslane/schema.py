@@ -48,6 +48,7 @@ STAGE_METRIC_COLUMNS = {
     "rows_in": "long",
     "rows_out": "long",
     "rows_rejected": "long",
+    "rows_malformed": "long",
     "processing_date": "string",
 }
 
@@ -64,6 +65,13 @@ def define_schema() -> StructType:
     return _nullable(SALES_COLUMNS)
 
 
+def processed_schema(raw: StructType | None = None) -> StructType:
+    """Columns of the cleaned layer; its partition column comes last."""
+    fields = [f for f in raw or define_schema() if f.name != "region"]
+    schema = StructType(fields).add("processed_at", "timestamp")
+    return schema.add("region", "string")
+
+
 def check_schema() -> StructType:
     return _nullable(CHECK_COLUMNS)
 

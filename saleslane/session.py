@@ -7,6 +7,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from saleslane.jvm import estimated_bytes
+
 # Cluster size, memory and the number of shuffle partitions belong to spark-submit;
 # only settings the jobs depend on are named here.
 # The last size lets adaptive execution hash a join side instead of sorting both sides, where
@@ -21,10 +23,16 @@ JOB_SETTINGS = {
 }
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-# Bytes read per shuffle partition, and the most partitions a shuffle starts with: blocks grow
-# with map tasks times partitions, so very large inputs get larger partitions instead.
-SHUFFLE_TARGET = 256 * 1024**2
-MAX_SHUFFLE_PARTITIONS = 20_000
+SKEW_THRESHOLD = "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"
+SKEW_FACTOR = "spark.sql.adaptive.skewJoin.skewedPartitionFactor"
+MIB = 1024**2
+# Bytes read per shuffle partition. Blocks grow with map tasks times partitions, so beyond this many
+# partitions they get larger, up to the most that a task should sort.
+SHUFFLE_TARGET = 256 * MIB
+MANY_PARTITIONS = 25_000
+LARGEST_TARGET = 1024 * MIB
+# Partitions this many times the median, and larger than the target, are split in joins.
+SPLIT_FROM = "2.0"
 
 
 def create_spark_session(
@@ -39,7 +47,10 @@ def create_spark_session(
 
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    """Set one option for the plans made inside the block, then put the old value back."""
+    """Set one option for the plans made inside the block, then put the old value back.
+
+    Options belong to the session: two jobs at a time need ``spark.newSession()`` each.
+    """
     before = spark.conf.get(key, None)
     spark.conf.set(key, value)
     try:
@@ -51,33 +62,46 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
+def partitions_for(size: int, target: int = SHUFFLE_TARGET) -> tuple[int, int]:
+    """(number of shuffle partitions, bytes in each) for an input of ``size`` bytes.
+
+    The number grows with the bytes, without a limit: by ``target`` each up to MANY_PARTITIONS, then
+    with larger partitions, and from LARGEST_TARGET on again in proportion.
+    """
+    each = min(max(target, size // MANY_PARTITIONS), max(target, LARGEST_TARGET))
+    return max(1, -(-size // each)), each
+
+
 @contextmanager
 def shuffles_sized_for(df: DataFrame, target: int = SHUFFLE_TARGET) -> Iterator[int]:
     """Start the shuffles planned inside the block with partitions to suit the size of ``df``.
 
     Adaptive execution merges partitions but cannot add any, so a fixed number that suits a small
     day does not suit a large one. The number never falls below ``spark.sql.shuffle.partitions``,
-    and a number set by the user stays.
+    and a number set by the user stays. Where joins split skewed partitions follows the size too.
     """
     spark = df.sparkSession
     configured = spark.conf.get(INITIAL_PARTITIONS, None)
     if configured:
         yield int(configured)
         return
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    number = max(least, min(size // target, MAX_SHUFFLE_PARTITIONS))
-    with setting(spark, INITIAL_PARTITIONS, str(number)):
+    number, each = partitions_for(estimated_bytes(df) or 0, target)
+    number = max(int(spark.conf.get("spark.sql.shuffle.partitions")), number)
+    with (
+        setting(spark, INITIAL_PARTITIONS, str(number)),
+        setting(spark, SKEW_THRESHOLD, f"{each}b"),
+        setting(spark, SKEW_FACTOR, SPLIT_FROM),
+    ):
         yield number
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared folder for intermediate data, from the running session."""
-    return spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder for intermediate data that the session names; all executors share it."""
+    return spark.conf.get("spark.checkpoint.dir", None)
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> None:
-    """Let checkpoints go to the session's folder; name ``fallback`` only if it has none."""
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(checkpoint_dir(spark) or fallback)
+def parallelism(spark: SparkSession) -> int:
+    """Tasks that the cluster can run at once, as far as the session knows."""
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    context = getattr(spark, "_sc", None)
+    return max(least, context.defaultParallelism) if context is not None else least

@@ -3,20 +3,18 @@
 from __future__ import annotations
 
 import logging
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from saleslane.session import checkpoint_dir, setting
+from saleslane.jvm import qualified
+from saleslane.session import parallelism, setting
 
 log = logging.getLogger(__name__)
 
 # Shuffled bytes per output file.
 FILE_TARGET = "128MB"
-# Tasks that share the folders of a table with few rows per folder.
-FOLDER_TASKS = 32
 ADVISORY_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
@@ -30,13 +28,6 @@ def rows_of(observation: Observation) -> int:
     return observation.get["rows"]
 
 
-def qualified(spark: SparkSession, path: str) -> str:
-    """The path with its scheme, so that two spellings of one folder are equal."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files.makeQualified(target).toString().rstrip("/")
-
-
 def refuse_overlap(spark: SparkSession, source: str, target: str) -> None:
     """An overwrite clears the target first, so it must not hold the data being read."""
     read, written = f"{qualified(spark, source)}/", f"{qualified(spark, target)}/"
@@ -59,12 +50,12 @@ def write_layer(
     Rebalancing brings rows of a folder together, while adaptive execution splits large folders
     and merges small ones to ``file_target``; a large folder is never held by one task.
     Where folders hold a handful of rows each (``few_rows``), the time goes into creating files;
-    then folders are dealt out over a fixed number of tasks that are not merged into one.
+    then folders are dealt out over all tasks that the cluster runs at once, not merged into one.
     The count sits right below the write, where Spark counts each task once, so it stays exact
     when executors are lost.
     """
     if partitions and few_rows:
-        df = df.repartition(FOLDER_TASKS, *partitions)
+        df = df.repartition(parallelism(df.sparkSession), *partitions)
     elif partitions and rebalance:
         df = df.hint("rebalance", *partitions)
     df, written = counted(df, "written")
@@ -83,18 +74,3 @@ def write_layer(
 def write_report(df: DataFrame, path: str) -> None:
     """Overwrite ``path`` with a report of few rows (checks, profiles, metrics) as one file."""
     df.coalesce(1).write.mode("overwrite").parquet(path)
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and go on from the written table, for plans that use it several times.
-
-    The table goes to the session's checkpoint folder, which all executors share; a lost
-    executor then costs a scan and not the work behind it. Without such a folder ``df`` is
-    returned as it is.
-    """
-    folder = checkpoint_dir(df.sparkSession)
-    if folder is None:
-        return df
-    path = f"{folder}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
@@ -11,6 +14,7 @@ from saleslane.session import setting
 
 # Partition columns that hold whole numbers.
 NUMBER_PARTITIONS = ("year", "month")
+WHOLE_FILES = str(2**62)
 PARTITION_INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
 
@@ -19,33 +23,93 @@ def layer_path(base: str, layer: str, date: str) -> str:
     return f"{base.rstrip('/')}/{layer}/{date}"
 
 
+# Column that holds the text of a line with a cell that does not fit, or with too few cells.
+MALFORMED = "_malformed"
+
+
 def read_sales_csv(
-    spark: SparkSession, path: str, schema: StructType | None = None, infer: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: StructType | None = None,
+    infer: bool = False,
+    keep_malformed: bool = False,
 ) -> DataFrame:
     """CSV with a header line. Columns bind by position to the schema (the sales schema by
-    default); a cell that does not fit becomes null. ``infer`` reads the types from the data
-    instead, which costs an extra pass."""
+    default); a cell that does not fit becomes null. ``mismatched_files`` tells which files have
+    another order. ``infer`` reads the types from the data instead, which costs an extra pass;
+    ``keep_malformed`` adds the text of lines that do not fit as column MALFORMED."""
     reader = spark.read.option("header", True)
     if infer:
         return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema or define_schema()).csv(path)
+    schema = StructType(list((schema or define_schema()).fields))
+    if keep_malformed:
+        schema = schema.add(MALFORMED, StringType())
+        reader = reader.option("columnNameOfCorruptRecord", MALFORMED)
+    return reader.schema(schema).csv(path)
 
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of the header line; reads no further than that."""
+    """Column names of the header line of one file; reads no further than that."""
     return spark.read.option("header", True).csv(path).columns
 
 
-def read_layer(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def mismatched_files(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, most: int = 20
+) -> list[tuple[str, list[str]]]:
+    """(file, header) of up to ``most`` files whose header does not begin with ``columns`` in order.
+
+    One task for each file reads its first lines and stops. The first line that is not blank is the header; files without one have no
+    rows and are not listed. Names are compared without regard to case, as Spark does.
+    """
+    expected = [name.lower() for name in columns or define_schema().fieldNames()]
+
+    def headers(batches: Iterator) -> Iterator:
+        import csv
+
+        import pyarrow
+
+        for batch in batches:
+            for line, file in zip(batch[0], batch[1], strict=True):
+                text = line.as_py().lstrip("\ufeff").strip()
+                if not text:
+                    continue
+                names = [x.strip() for x in next(csv.reader([text]))]
+                if [x.lower() for x in names[: len(expected)]] != expected:
+                    found = {"file": [file.as_py()], "header": [names]}
+                    yield pyarrow.RecordBatch.from_pydict(found)
+                return  # the rest of the file is not read
+
+    # a file is one split, and shares its task with no other
+    with (
+        setting(spark, "spark.sql.files.maxPartitionBytes", WHOLE_FILES),
+        setting(spark, "spark.sql.files.openCostInBytes", WHOLE_FILES),
+    ):
+        lines = spark.read.text(path).select("value", "_metadata.file_path")
+        found = lines.mapInArrow(headers, "file string, header array<string>").take(most)
+    return sorted((row["file"], row["header"]) for row in found)
+
+
+def read_layer(
+    spark: SparkSession,
+    path: str,
+    schema: StructType | None = None,
+    if_empty: StructType | None = None,
+) -> DataFrame:
     """Parquet layer with its partition columns last.
 
     Partition values keep their text (region ``007`` stays ``007``); year and month are
-    numbers. With a schema, nothing is inferred and no footer is read for it.
+    numbers. With a schema, nothing is inferred and no footer is read for it. A partitioned layer
+    without rows has no files to infer from; it is read with the schema ``if_empty``.
     """
     if schema is not None:
         return spark.read.schema(schema).parquet(path)
-    with setting(spark, PARTITION_INFERENCE, "false"):
-        df = spark.read.parquet(path)
+    try:
+        with setting(spark, PARTITION_INFERENCE, "false"):
+            df = spark.read.parquet(path)
+    except AnalysisException as error:
+        if if_empty is None or error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return spark.read.schema(if_empty).parquet(path)
     numbers = {
         f.name: F.col(f.name).cast("int")
         for f in df.schema

@@ -19,11 +19,13 @@ def executed_plan(df):
 def test_line_amount_and_date_parts(sample):
     rows = {r.id: r for r in transform_sales_data(sample).collect()}
     assert {i: r.total_amount for i, r in rows.items()} == pytest.approx(
-        {1: 21.0, 2: 25.0, 3: 47.25, 4: 10.5, 5: 16.5}
+        {11: 6.0, 12: 10.0, 13: 1.5, 14: 0.25, 15: 20.0}
     )
-    assert {(r.year, r.month, r.day) for r in rows.values()} == {(2024, 1, 1)}
+    assert [(r.year, r.month, r.day) for _, r in sorted(rows.items())] == [
+        (2023, 3, 5), (2023, 3, 5), (2023, 3, 6), (2023, 4, 1), (2023, 4, 2)
+    ]
     totals = {r.customer_id: r.customer_total_spent for r in rows.values()}
-    assert totals == pytest.approx({"CUST001": 68.25, "CUST002": 41.5, "CUST003": 10.5})
+    assert totals == pytest.approx({"c1": 7.5, "c2": 30.0, "c3": 0.25})
     assert {r.customer_category for r in rows.values()} == {"Bronze"}
 
 
@@ -56,7 +58,7 @@ def test_tier_bounds_are_strict(spark):
 def test_tier_on_rounded_total(spark):
     df = spark.createDataFrame([(1000.0000000001,)], "total double")
     row = df.select(
-        spend_tier(F.col("total")).alias("raw"),
+        spend_tier(F.col("total"), money_scale=None).alias("raw"),
         spend_tier(F.col("total"), money_scale=2).alias("rounded"),
     ).first()
     assert (row.raw, row.rounded) == ("Silver", "Bronze")
@@ -203,11 +205,15 @@ def test_summaries(sample):
         "product_id", "category", "region",
         "total_quantity_sold", "total_revenue", "total_orders", "avg_price",
     ]
-    by_region = {r.region: (r.daily_revenue, r.daily_transactions) for r in daily.collect()}
-    assert by_region == {"North": (68.25, 2), "South": (41.5, 2), "East": (10.5, 1)}
-    assert customer.where("customer_id = 'CUST002'").first().total_transactions == 2
+    by_day = {(r.region, r.month, r.day): r.daily_revenue for r in daily.collect()}
+    assert by_day == {
+        ("Coast", 3, 5): 6.0, ("Coast", 3, 6): 1.5, ("Hills", 3, 5): 10.0,
+        ("Hills", 4, 2): 20.0, ("Plain", 4, 1): 0.25,
+    }
+    assert {r.daily_transactions for r in daily.collect()} == {1}
+    assert customer.where("customer_id = 'c2'").first().total_transactions == 2
     sold = {(r.product_id, r.region): r.total_quantity_sold for r in product.collect()}
-    assert sold[("PROD001", "North")] == 2 and sold[("PROD001", "East")] == 1
+    assert sold[("p7", "Coast")] == 4 and sold[("p8", "Hills")] == 15
 
 
 def test_customer_with_two_regions_has_two_rows_and_one_tier(sales):

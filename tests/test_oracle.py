@@ -24,11 +24,24 @@ def test_query(spark, sf_dir, con, name):
     assert differences(df, con, entry_points.oracle_sql()[name]) is None
 
 
-@pytest.mark.parametrize(
-    "name", ["customer_tier", "transformed_sales", "numeric_profile", "quality_results"]
-)
+@pytest.mark.parametrize("name", ["layer_round_trip", "stage_row_counts"])
 def test_query_without_a_shared_folder(spark, sf_dir, con, name, monkeypatch):
-    """Where no checkpoint folder is named, nothing is staged and results are the same."""
-    monkeypatch.setattr("saleslane.sources.sinks.checkpoint_dir", lambda session: None)
+    """A session in one process may name no folder that executors share."""
+    monkeypatch.setattr("saleslane.catalog.sales.shared_folder", lambda session: None)
     df = entry_points.queries()[name](spark, sf_dir)
     assert differences(df, con, entry_points.oracle_sql()[name]) is None
+
+
+THROUGH_FILES = ("input_precheck", "scan_sales_csv", "layer_round_trip", "stage_row_counts")
+
+
+def test_making_a_query_runs_no_job(spark, sf_dir):
+    """Query functions only describe; the four that go through files on purpose are left out."""
+    spark.sparkContext.setJobGroup("describe", "describe")
+    for name in QUERIES:
+        if name not in THROUGH_FILES:
+            QUERIES[name](spark, sf_dir)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getJobInfo(job).stageIds for job in tracker.getJobIdsForGroup("describe")]
+    # reading the schema of a table takes one task
+    assert all(tracker.getStageInfo(s).numTasks <= 1 for ids in stages for s in ids)

@@ -28,7 +28,6 @@ from saleslane.operators.missing import check_missing_pattern, missing_pattern
 from saleslane.operators.precheck import (
     InputRejected,
     check_input,
-    require_columns,
     require_completeness,
     require_rows,
 )
@@ -385,7 +384,6 @@ def test_precheck(dirty, sales):
     empty = by(check_input(sales([])), "check_name", "column_name")
     assert empty[("empty_input", None)].failed_records == 1
 
-    require_columns(dirty.columns)
     spark = dirty.sparkSession
     spark.sparkContext.setJobGroup("first-row", "")
     require_rows(dirty)
@@ -394,8 +392,6 @@ def test_precheck(dirty, sales):
     last = tracker.getJobInfo(max(tracker.getJobIdsForGroup("first-row")))
     assert [tracker.getStageInfo(s).numTasks for s in last.stageIds] == [1]
     require_completeness(dirty, 80)
-    with pytest.raises(InputRejected, match="price"):
-        require_columns(dirty.drop("price").columns)
     with pytest.raises(InputRejected, match="no rows"):
         require_rows(sales([]))
     with pytest.raises(InputRejected, match="customer_id 80.00%"):

@@ -1,19 +1,19 @@
-import os
-
 import pytest
 
+from saleslane import jvm
 from saleslane.__main__ import arguments, main
 from saleslane.session import (
     INITIAL_PARTITIONS,
     JOB_SETTINGS,
-    MAX_SHUFFLE_PARTITIONS,
-    checkpoint_dir,
+    LARGEST_TARGET,
+    SHUFFLE_TARGET,
+    SKEW_FACTOR,
+    SKEW_THRESHOLD,
     create_spark_session,
-    ensure_checkpoint_dir,
+    partitions_for,
     setting,
     shuffles_sized_for,
 )
-from saleslane.sources.sinks import staged
 
 
 def test_session_settings(spark):
@@ -43,34 +43,41 @@ def test_shuffles_follow_the_size_of_the_input(spark, tmp_path):
         assert spark.conf.get(INITIAL_PARTITIONS) == str(number)
         plan = df.groupBy((df.id % 7).alias("k")).count()
         assert f", {number})" in plan._jdf.queryExecution().executedPlan().toString()
-    with shuffles_sized_for(df, target=1) as number:
-        assert number == MAX_SHUFFLE_PARTITIONS
     with setting(spark, INITIAL_PARTITIONS, "11"), shuffles_sized_for(df, target=1) as number:
         assert number == 11
     assert spark.conf.get(INITIAL_PARTITIONS, None) is None
 
 
-def test_checkpoints_go_to_the_folder_of_the_session(spark, tmp_path):
-    fallback = str(tmp_path / "own")
-    ensure_checkpoint_dir(spark, fallback)
-    assert "own" not in checkpoint_dir(spark)
-    assert not os.path.exists(fallback)
+def test_partitions_hold_for_a_hundred_terabytes():
+    number, each = partitions_for(100 * 10**12)
+    assert each <= LARGEST_TARGET and number * each >= 100 * 10**12
+    assert partitions_for(200 * 10**12)[0] == pytest.approx(2 * number, rel=0.01)
+    assert partitions_for(10**12) == (-(-(10**12) // SHUFFLE_TARGET), SHUFFLE_TARGET)
+    sizes = [10**k for k in range(18)]
+    numbers = [partitions_for(size)[0] for size in sizes]
+    assert numbers == sorted(numbers) and numbers[0] == 1
+
 
+def test_plan_for_a_hundred_terabytes(spark, monkeypatch):
+    monkeypatch.setattr("saleslane.session.estimated_bytes", lambda df: 100 * 10**12)
+    df = spark.range(10)
+    before = spark.conf.get(SKEW_THRESHOLD), spark.conf.get(SKEW_FACTOR)
+    with shuffles_sized_for(df) as number:
+        assert number == partitions_for(100 * 10**12)[0]
+        plan = df.groupBy((df.id % 7).alias("k")).count()
+        assert f", {number})" in plan._jdf.queryExecution().executedPlan().toString()
+        assert spark.conf.get(SKEW_THRESHOLD) == f"{LARGEST_TARGET}b"
+        assert spark.conf.get(SKEW_FACTOR) == "2.0"
+    assert (spark.conf.get(SKEW_THRESHOLD), spark.conf.get(SKEW_FACTOR)) == before
 
-def test_staged_table_is_cut_from_its_lineage(spark, tmp_path, capsys):
-    df = spark.range(10).selectExpr("id", "id % 3 as k").groupBy("k").count()
-    back = staged(df, "counts")
-    assert back.dtypes == df.dtypes
-    assert sorted(back.collect()) == sorted(df.collect())
-    back.explain()
-    plan = capsys.readouterr().out
-    assert "Exchange" not in plan and "FileScan parquet" in plan
 
+def test_without_handles_of_the_jvm(spark):
+    class Remote:
+        """A session or frame as over Spark Connect."""
 
-def test_staged_without_a_shared_folder_is_lazy(spark, monkeypatch):
-    monkeypatch.setattr("saleslane.sources.sinks.checkpoint_dir", lambda session: None)
-    df = spark.range(3)
-    assert staged(df, "t") is df
+    assert jvm.estimated_bytes(Remote()) is None
+    assert jvm.qualified(Remote(), "/a/b/") == "/a/b"
+    assert jvm.qualified(spark, "/a//b") == jvm.qualified(spark, "file:/a/b")
 
 
 def test_command_line(spark, write_csv, tmp_path, capsys):

@@ -1,6 +1,9 @@
 """A daily run over all test sales, from CSV files to the reports, against SQL on the same tables."""
 
+import os
+
 import pytest
+from conftest import TESTDATA
 from oracle_compare import connect, differences
 from pyspark.sql import functions as F
 
@@ -103,6 +106,21 @@ def test_profiles(spark, run):
     }
 
 
+def test_run_on_the_larger_tables(spark, tmp_path):
+    """There some customers' totals lie at a bound of the tiers; query and job agree with SQL."""
+    folder = f"{TESTDATA}/sf0.1"
+    if not os.path.isdir(folder):
+        pytest.skip(f"no test tables in {folder}")
+    base = str(tmp_path)
+    sales_raw(spark, folder).write.csv(layer_path(base, "raw", DATE), header=True)
+    run_day(spark, base, DATE, ["ingestion", "transformation"])
+    fact = read_layer(spark, f"{layer_path(base, 'transformed', DATE)}/transformed_sales")
+    counts = fact.groupBy("customer_category").count().collect()
+    sql = "SELECT customer_category, count(*) FROM transformed_sales GROUP BY 1"
+    expected = connect(folder).execute(sales_query(sql)).fetchall()
+    assert sorted(tuple(r) for r in counts) == sorted(expected)
+
+
 @pytest.mark.parametrize("limits", [
         {"heavy_rows": 45, "heavy_share": 1e-4},
         {"heavy_rows": 1, "heavy_share": 8e-4},
