@@ -28,7 +28,7 @@ END_ID = 2
 # Below this length every length is a class of its own: the loss of a bin stays under it.
 SMALL = 64
 WORDS_IN_CACHE = 1_200_000
-JOINED = 500
+JOINED = 50
 BATCH_BYTES = 4 * 1024**2
 # Names of sequences: task number + 1 and bin; length and bin across tasks; the tail.
 BINS_PER_TASK = 2**40
