@@ -56,11 +56,11 @@ def audit_datasets(
     Each dataset is scanned at once, and its row of measures kept on the driver: an unreadable
     dataset does not hide the others, and writing two reports costs one scan.
     """
-    schemas = known_schemas(schema)
     checks, profiles, unreadable = [], [], []
     for name in DATASETS:
         try:
-            df = read_layer(spark, f"{input_path}/{name}", if_empty=schemas[name])
+            path = f"{input_path}/{name}"
+            df = read_layer(spark, path, if_empty=lambda name=name: known_schemas(schema)[name])
             audit = audit_table(df, name, as_of).measured()
             with shuffles_sized_for(df):
                 duplicates = kept(check_referential_integrity(df, name))

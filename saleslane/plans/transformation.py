@@ -44,7 +44,7 @@ def run_transformation(
     the written table, and an executor lost meanwhile costs no more than those scans.
     """
     refuse_overlap(spark, input_path, output_path)
-    processed = read_layer(spark, input_path, if_empty=processed_schema(schema))
+    processed = read_layer(spark, input_path, if_empty=lambda: processed_schema(schema))
     rows_in = processed.count()  # answered from parquet footers, no column is read
     transformed = transform_sales_data(processed, money_scale=money_scale)
     fact_path = f"{output_path}/{TRANSFORMED}"

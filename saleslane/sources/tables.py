@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -93,13 +93,13 @@ def read_layer(
     spark: SparkSession,
     path: str,
     schema: StructType | None = None,
-    if_empty: StructType | None = None,
+    if_empty: Callable[[], StructType] | None = None,
 ) -> DataFrame:
     """Parquet layer with its partition columns last.
 
     Partition values keep their text (region ``007`` stays ``007``); year and month are
     numbers. With a schema, nothing is inferred and no footer is read for it. A partitioned layer
-    without rows has no files to infer from; it is read with the schema ``if_empty``.
+    without rows has no files to infer from; it is read with the schema that ``if_empty`` gives.
     """
     if schema is not None:
         return spark.read.schema(schema).parquet(path)
@@ -109,7 +109,7 @@ def read_layer(
     except AnalysisException as error:
         if if_empty is None or error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
-        return spark.read.schema(if_empty).parquet(path)
+        return spark.read.schema(if_empty()).parquet(path)
     numbers = {
         f.name: F.col(f.name).cast("int")
         for f in df.schema

@@ -302,7 +302,7 @@ def test_day_without_usable_rows(spark, tmp_path, write_csv, lines):
         (name, 0.0) for name in DATASETS
     }
     for name, schema in known_schemas().items():
-        back = read_layer(spark, f"{transformed}/{name}", if_empty=schema)
+        back = read_layer(spark, f"{transformed}/{name}", if_empty=lambda schema=schema: schema)
         assert back.count() == 0
         assert sorted(back.dtypes) == sorted((f.name, f.dataType.simpleString()) for f in schema)
 
@@ -317,7 +317,7 @@ def test_wide_schema_through_the_day(spark, tmp_path, write_csv):
     assert sorted(x.id for x in fact.collect()) == [2, 3, 9000000000]
     write_csv(BAD[1:], "raw/e")
     run_day(spark, str(tmp_path), "e", schema=wide)
-    empty = read_layer(spark, f"{tmp_path}/transformed/e/transformed_sales", if_empty=known_schemas(wide)[DATASETS[0]])
+    empty = read_layer(spark, f"{tmp_path}/transformed/e/transformed_sales", if_empty=lambda: known_schemas(wide)[DATASETS[0]])
     assert dict(empty.dtypes)["id"] == "bigint"
 
 
