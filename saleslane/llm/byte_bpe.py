@@ -30,7 +30,8 @@ LONG_PIECE = 64
 # 's 't 'm 'd (ENDING), 're 've (R or V, then E), 'll (L twice).
 SPACE, WHITE, LETTER, NUMBER, OTHER, APOSTROPHE, ENDING, R, V, L, E, END = range(12)
 # States: what the piece that is open now is.
-BEGIN, IN_SPACE, IN_WHITE, IN_LETTERS, IN_NUMBERS, IN_OTHER, QUOTE, QUOTE_R, QUOTE_V, QUOTE_L, DONE = range(11)
+BEGIN, IN_SPACE, IN_WHITE, IN_LETTERS, IN_NUMBERS, IN_OTHER = range(6)
+QUOTE, QUOTE_R, QUOTE_V, QUOTE_L, DONE = range(6, 11)
 STATES, CLASSES = 11, 12
 HERE, BEFORE = 1, 2  # a piece begins at this character; one begins at the character before
 
@@ -49,7 +50,8 @@ def automaton() -> tuple[np.ndarray, np.ndarray]:
         begun = opened.get(state, HERE)
         for kind in range(CLASSES):
             if kind == END:
-                step[state, kind], mark[state, kind] = BEGIN, HERE | (BEFORE if state in pending else 0)
+                step[state, kind] = BEGIN
+                mark[state, kind] = HERE | (BEFORE if state in pending else 0)
             elif kind in (SPACE, WHITE):
                 step[state, kind] = IN_SPACE if kind == SPACE else IN_WHITE
                 mark[state, kind] = 0 if state in (IN_SPACE, IN_WHITE) else begun
@@ -89,8 +91,8 @@ def classes() -> np.ndarray:
     white = [9, 10, 11, 12, 13, 0x20, 0x85, 0xA0, 0x1680, 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
     table[white + list(range(0x2000, 0x200B))] = WHITE
     table[ord(" ")], table[ord("'")] = SPACE, APOSTROPHE
-    for letter, kind in {"s": ENDING, "t": ENDING, "m": ENDING, "d": ENDING, "r": R, "v": V, "l": L, "e": E}.items():
-        table[ord(letter)] = kind
+    table[[ord(letter) for letter in "stmd"]] = ENDING
+    table[[ord(letter) for letter in "rvle"]] = [R, V, L, E]
     return table
 
 
@@ -164,7 +166,7 @@ class Vocabulary:
         return cls(ranks, blob, np.cumsum(lengths) - lengths, lengths)
 
     def merged(self, piece: bytes) -> list[int]:
-        """The ids of a piece: the pair of least rank is merged, the leftmost first, until none is left."""
+        """The ids of a piece: pairs are merged, that of least rank first and the leftmost of those."""
         if piece in self.ranks:
             return [self.ranks[piece]]
         if len(piece) >= LONG_PIECE:
@@ -285,7 +287,9 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def in_parts(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def in_parts(
+    batches: Iterable[pa.RecordBatch], column: str
+) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """The batches in parts of about BATCH_BYTES, with their texts; a text is never cut."""
     for batch in batches:
         sizes = np.cumsum(pc.binary_length(batch[column]).to_numpy(zero_copy_only=False))

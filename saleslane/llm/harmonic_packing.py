@@ -99,7 +99,8 @@ def _words(text: str) -> list[str]:
     """
     # Left as they are: capital sigma, whose small form depends on its place, and dotted capital I,
     # whose small form is two characters.
-    if text.isascii() or not ("\u03a3" in text or "\u0130" in text or not is_normalized("NFC", text)):
+    odd = "\u03a3" in text or "\u0130" in text
+    if text.isascii() or (not odd and is_normalized("NFC", text)):
         text = text.lower()
     return LONE_STOP.sub(r"\1 \2", text).replace("\n", " ").split(" ")
 
@@ -244,9 +245,8 @@ def pack(
     """
     pieces = stored(pieces_of(docs, tokenizer, capacity, id_col, text_col), "pieces")
     in_bin = F.col("sequence_id").isNotNull()
-    return (
-        pieces.where(in_bin).select(*PLACED).unionByName(_placed_over(pieces.where(~in_bin), capacity))
-    )
+    over = _placed_over(pieces.where(~in_bin), capacity)
+    return pieces.where(in_bin).select(*PLACED).unionByName(over)
 
 
 def _placed_over(over: DataFrame, capacity: int) -> DataFrame:
@@ -260,7 +260,8 @@ def _placed_over(over: DataFrame, capacity: int) -> DataFrame:
         (F.sum("pieces").over(by_part) - F.col("pieces")).alias("before"),
         F.sum("pieces").over(Window.partitionBy("length")).alias("all_pieces"),
     )
-    placed = over.join(numbered, ["part", "length"]).withColumn("number", F.col("before") + F.col("place"))
+    placed = over.join(numbered, ["part", "length"])
+    placed = placed.withColumn("number", F.col("before") + F.col("place"))
     number = F.col("number")
     placed = placed.withColumn("bin", F.floor(number / per_bin))
     full = F.col("bin") < F.floor(F.col("all_pieces") / per_bin)

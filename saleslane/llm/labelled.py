@@ -39,6 +39,7 @@ def training_sample(
     others = _first_by_hash(docs.where(usable).select("doc_id").distinct(), unlabelled, 2)
     ids = chosen.unionByName(others.withColumn("positive", F.lit(False)))
     # at most positives + unlabelled ids of 9 bytes: a bounded broadcast
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id")
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    rows = texts.join(F.broadcast(ids), "doc_id")
     kept = rows.groupBy("doc_id", "positive").agg(F.min("text").alias("text"))
     return stored(kept, f"sample-{label}")

@@ -118,8 +118,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Model:
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [measures(text or "") for text in batch["text"].to_pylist()]
+            lists = pa.array(rows, pa.list_(pa.float64()))
             yield pa.record_batch(
-                {"doc_id": batch["doc_id"], "positive": batch["positive"], "values": pa.array(rows, pa.list_(pa.float64()))}
+                {"doc_id": batch["doc_id"], "positive": batch["positive"], "values": lists}
             )
 
     # a dozen numbers for each text of the bounded sample

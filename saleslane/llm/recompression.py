@@ -62,7 +62,9 @@ def words_of(texts: list[bytes]) -> Words:
     return Words(names, begins, ends, np.searchsorted(begins, text_begins))
 
 
-def _word_names(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, factors: np.ndarray) -> np.ndarray:
+def _word_names(
+    data: np.ndarray, begins: np.ndarray, ends: np.ndarray, factors: np.ndarray
+) -> np.ndarray:
     """The sum of a word's bytes, each times a number for its place, and of its length."""
     lengths = ends - begins
     heads = np.cumsum(lengths) - lengths
@@ -155,7 +157,8 @@ def pairs_named(level: Level, number: int) -> Level:
     last = np.where(~coin & ~linked[1:], np.maximum(last, level.end + 1), last)
     first = np.where(coin & ~linked[:-1], np.minimum(first, level.begin - 1), first)
     keep = ~joined
-    pair = mixed(level.names * U(0x9FB21C651E98DF25) + mixed(level.names[after] ^ U(0x6A09E667F3BCC909)))
+    second = mixed(level.names[after] ^ U(0x6A09E667F3BCC909))
+    pair = mixed(level.names * U(0x9FB21C651E98DF25) + second)
     names = np.where(joins, pair, level.names)[keep]
     end = np.where(joins, level.end[after], level.end)[keep]
     return Level(names, level.begin[keep], end, first[keep], last[keep], level.text[keep])

@@ -127,7 +127,8 @@ def meet(fps: np.ndarray, flips: np.ndarray, prefix_bits: int, most: int) -> tup
     for apart in range(most // 2 + 1):
         for of in (0, 1):
             if apart in distances(of, most):
-                near += [(v, r, np.full(len(v), apart, np.int8)) for v, r in variants(of, apart, every)]
+                made = variants(of, apart, every)
+                near += [(v, r, np.full(len(v), apart, np.int8)) for v, r in made]
     if not near:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     value, row, apart = (np.concatenate(x) for x in zip(*near, strict=True))
@@ -165,12 +166,11 @@ def links_between(distinct: DataFrame, most: int = MAX_DISTANCE) -> DataFrame:
     prefix_bits = min(max(LEAST_PREFIX_BITS, prefix_bits), BITS // 2)
 
     def masks(parity: int) -> Column:
-        kind = "array<struct<mask: bigint, flips: int>>"
-        made = ", ".join(
-            f"struct({_signed(m)}L, {n})" if _signed(m) != -(1 << 63) else f"struct(bigint('-9223372036854775808'), {n})"
-            for m, n in _masks(prefix_bits, parity, most)
-        )
-        return F.expr(f"cast(array({made}) as {kind})")
+        ways = [
+            F.struct(F.lit(_signed(mask)).cast("long").alias("mask"), F.lit(flips).alias("flips"))
+            for mask, flips in _masks(prefix_bits, parity, most)
+        ]
+        return F.array(*ways)
 
     odd = F.bit_count("fp") % 2 == 1
     dealt = distinct.select(

@@ -55,9 +55,10 @@ def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Repeated stretches go; a text that loses words keeps the others, joined by one space."""
     ship_package(spark)
     rows = substring_dedup.deduplicated(docs)
-    whole = F.struct(*(F.col(f"_row.`{c}`") for c in docs.columns if c != "text"), F.col("_text").cast("string").alias("text"))
-    rows = rows.withColumn("row", whole)
-    return _with_text(rows, docs, F.col("kept").cast("string"), F.col("n_removed") > 0)
+    others = [F.col(f"_row.`{c}`") for c in docs.columns if c != "text"]
+    row = F.struct(*others, F.col("_text").cast("string").alias("text"))
+    kept, lost = F.col("kept").cast("string"), F.col("n_removed") > 0
+    return _with_text(rows.withColumn("row", row), docs, kept, lost)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,8 +26,10 @@ from saleslane.llm.shared import payload, stored
 
 WINDOW = 50
 BATCH_BYTES = 1024**2
-BLOCKS = "doc_id long, key long, content long, first int, count int"
-WINDOWS = "doc_id long, key long, content long, first int"
+# A row is known by its id and the hash of its text, as ids may be repeated.
+ROW = ["doc_id", "mark"]
+BLOCKS = "doc_id long, mark long, key long, content long, first int, count int"
+WINDOWS = "doc_id long, mark long, key long, content long, first int"
 
 
 def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -39,7 +41,7 @@ def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 def blocks(docs: DataFrame, size: int) -> DataFrame:
-    """BLOCKS of every row of ``docs`` (doc_id, text as bytes); places count words from 0."""
+    """BLOCKS of every row of ``docs`` (doc_id, mark, text as bytes); places count words from 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -48,7 +50,7 @@ def blocks(docs: DataFrame, size: int) -> DataFrame:
                 made = blocks_of(words, Hashes(words.names), size)
                 yield pa.record_batch(
                     {
-                        "doc_id": part["doc_id"].to_numpy(zero_copy_only=False)[made.text],
+                        **{name: part[name].take(pa.array(made.text)) for name in ROW},
                         "key": made.key.view(np.int64),
                         "content": made.content.view(np.int64),
                         "first": made.first.astype(np.int32),
@@ -60,7 +62,7 @@ def blocks(docs: DataFrame, size: int) -> DataFrame:
 
 
 def windows(open_blocks: DataFrame, size: int) -> DataFrame:
-    """WINDOWS of the blocks in ``opened`` of every row (doc_id, text, opened)."""
+    """WINDOWS of the blocks in ``opened`` of every row (doc_id, mark, text, opened)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -70,21 +72,19 @@ def windows(open_blocks: DataFrame, size: int) -> DataFrame:
                 rows = lists.flatten()
                 text = np.repeat(np.arange(len(part)), pc.list_value_length(lists).to_numpy())
                 first, count, key = (
-                    rows.field(name).to_numpy(zero_copy_only=False) for name in ("first", "count", "key")
+                    rows.field(name).to_numpy(zero_copy_only=False)
+                    for name in ("first", "count", "key")
                 )
                 text, key, at = (np.repeat(x, count) for x in (text, key, first))
                 at = at + np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
                 begin = words.offsets[text] + at
-                # blocks of another row with the same id may reach beyond this one
-                inside = begin + size <= words.offsets[text + 1]
-                content = Hashes(words.names).of(begin[inside], begin[inside] + size)
-                ids = part["doc_id"].to_numpy(zero_copy_only=False)
+                content = Hashes(words.names).of(begin, begin + size)
                 yield pa.record_batch(
                     {
-                        "doc_id": ids[text[inside]],
-                        "key": key[inside],
+                        **{name: part[name].take(pa.array(text)) for name in ROW},
+                        "key": key,
                         "content": content.view(np.int64),
-                        "first": at[inside].astype(np.int32),
+                        "first": at.astype(np.int32),
                     }
                 )
 
@@ -117,9 +117,9 @@ def _cut_column(text: str, begins: Column, ends: Column) -> Column:
 def deduplicated(
     docs: DataFrame, size: int = WINDOW, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """All columns of ``docs`` but the text within ``_row``, and ``_id``, ``_text``, ``n_words``, ``n_removed``, ``kept``.
+    """(_row, _id, _text, n_words, n_removed, kept) of every row of ``docs``.
 
-    A word goes if it lies in a window of ``size`` words that also begins in a document with a smaller
+    ``_row`` holds all columns but the text, which is ``_text`` in bytes. A word goes if it lies in a window of ``size`` words that also begins in a document with a smaller
     id. Windows are judged on the texts as they came in. ``kept`` has the other words, joined by one
     space. A null text has no words; texts shorter than a window lose nothing. Rows without an id
     have no smaller or larger one: they lose nothing and nothing is lost to them. Rows that repeat an
@@ -130,22 +130,21 @@ def deduplicated(
         F.col(id_col).cast("long").alias("_id"),
         payload(text_col).alias("_text"),
     )
-    named = rows.where(F.col("_id").isNotNull()).select(F.col("_id").alias("doc_id"), F.col("_text").alias("text"))
+    rows = rows.withColumn("_mark", F.xxhash64("_text"))
+    names = [F.col(f"_{old}").alias(new) for old, new in (("id", "doc_id"), ("mark", "mark"), ("text", "text"))]
+    named = rows.where(F.col("_id").isNotNull()).select(*names)
     every = stored(blocks(named, size), "blocks")
     shared = stored(_shared(every), "shared")
-    marked = stored(
-        rows.join(_per_document(shared, size), F.col("_id") == F.col("doc_id"), "left").drop("doc_id"),
-        "marked",
-    )
+    same_row = (F.col("_id") == F.col("doc_id")) & (F.col("_mark") == F.col("mark"))
+    found = _per_document(shared, size)
+    marked = stored(rows.join(found, same_row, "left").drop(*ROW), "marked")
     is_open = F.coalesce(F.size("opened"), F.lit(0)) > 0
-    found = _repeated_windows(
-        marked.where(is_open).select(F.col("_id").alias("doc_id"), F.col("_text").alias("text"), "opened"),
-        size,
-    )
-    compared = marked.where(is_open).join(found, F.col("_id") == F.col("doc_id"), "left").drop("doc_id")
-    all_rows = marked.where(~is_open).withColumn("windows", F.lit(None).cast("array<int>")).unionByName(compared)
-    none = F.array().cast("array<int>")
-    spans, own = F.coalesce("spans", F.array().cast("array<struct<begin:int,end:int>>")), F.coalesce("windows", none)
+    found = _repeated_windows(marked.where(is_open).select(*names, "opened"), size)
+    compared = marked.where(is_open).join(found, same_row, "left").drop(*ROW)
+    others = marked.where(~is_open).withColumn("windows", F.lit(None).cast("array<int>"))
+    all_rows = others.unionByName(compared)
+    spans = F.coalesce("spans", F.array().cast("array<struct<begin:int,end:int>>"))
+    own = F.coalesce("windows", F.array().cast("array<int>"))
     made = _cut_column(
         "_text",
         F.concat(spans["begin"], own),
@@ -155,7 +154,7 @@ def deduplicated(
 
 
 def _shared(every: DataFrame) -> DataFrame:
-    """(doc_id, first, count, key, opened) of blocks that are repeats, or that may hold some.
+    """(doc_id, mark, first, count, key, opened) of blocks that are repeats, or that may hold some.
 
     ``opened`` blocks are to be compared window by window; the others are repeats as a whole.
     """
@@ -169,28 +168,31 @@ def _shared(every: DataFrame) -> DataFrame:
         .where(F.col("owner") < F.col("_last"))
         .drop("_last")
     )
-    met = stored(every.join(keys, "key").where(F.col("differs") | (F.col("doc_id") > F.col("owner"))), "met")
+    of_use = F.col("differs") | (F.col("doc_id") > F.col("owner"))
+    met = stored(every.join(keys, "key").where(of_use), "met")
     whole = met.where(~F.col("differs")).withColumn("opened", F.lit(False))
     several = met.where(F.col("differs")).drop("owner")
     owners = several.groupBy("key", "content").agg(F.min("doc_id").alias("owner"))
-    opened = several.join(owners, ["key", "content"]).withColumn("opened", F.col("doc_id") == F.col("owner"))
-    columns = ["doc_id", "first", "count", "key", "opened"]
+    opened = several.join(owners, ["key", "content"]).withColumn(
+        "opened", F.col("doc_id") == F.col("owner")
+    )
+    columns = [*ROW, "first", "count", "key", "opened"]
     return whole.select(*columns).unionByName(opened.select(*columns))
 
 
 def _per_document(shared: DataFrame, size: int) -> DataFrame:
-    """(doc_id, spans, opened): no more for a document than it has blocks."""
+    """(doc_id, mark, spans, opened): no more for a document than it has blocks."""
     span = F.struct(
         F.col("first").alias("begin"), (F.col("first") + F.col("count") + (size - 1)).alias("end")
     )
-    return shared.groupBy("doc_id").agg(
+    return shared.groupBy(*ROW).agg(
         F.collect_set(F.when(~F.col("opened"), span)).alias("spans"),
         F.collect_set(F.when(F.col("opened"), F.struct("first", "count", "key"))).alias("opened"),
     )
 
 
 def _repeated_windows(open_blocks: DataFrame, size: int) -> DataFrame:
-    """(doc_id, windows): first words of windows that begin in a smaller document too."""
+    """(doc_id, mark, windows): first words of windows that begin in a smaller document too."""
     every = stored(windows(open_blocks, size), "windows")
     owners = (
         every.groupBy("key", "content")
@@ -201,7 +203,7 @@ def _repeated_windows(open_blocks: DataFrame, size: int) -> DataFrame:
     return (
         every.join(owners, ["key", "content"])
         .where(F.col("doc_id") > F.col("owner"))
-        .groupBy("doc_id")
+        .groupBy(*ROW)
         .agg(F.collect_set("first").alias("windows"))
     )
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saleslane.llm.labelled import training_sample
+from saleslane.llm.labelled import held_out, training_sample
 from saleslane.llm.nnpu import Linear, class_prior, sigmoid, train
 from saleslane.llm.shared import payload
 
@@ -47,7 +47,7 @@ def features_of(text: str) -> set[str]:
 
 @dataclass
 class Model:
-    """``place`` is the number of a feature; ``shift`` puts the boundary at a score of 0.5."""
+    """``place`` is the number of a feature."""
 
     place: dict[str, int]
     linear: Linear
@@ -66,7 +66,8 @@ def vocabulary(sample: DataFrame, most: int = VOCABULARY) -> list[str]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
-            for text, positive in zip(*(batch[c].to_pylist() for c in ("text", "positive")), strict=True):
+            columns = (batch[c].to_pylist() for c in ("text", "positive"))
+            for text, positive in zip(*columns, strict=True):
                 counts[positive].update(features_of(text or ""))
         names = list(counts[0].keys() | counts[1].keys())
         yield pa.record_batch(
@@ -97,7 +98,8 @@ def vocabulary(sample: DataFrame, most: int = VOCABULARY) -> list[str]:
     )
     # No feature is rarer among all than the share of positives allows, and marks come near to that
     # bound: at least half of the texts that show them are positive.
-    share = np.array([(row["positives"] / of_p, (row["others"] + 1) / of_u) for row in rows]).reshape(-1, 2)
+    pairs = [(row["positives"] / of_p, (row["others"] + 1) / of_u) for row in rows]
+    share = np.array(pairs).reshape(-1, 2)
     frequent = share[share[:, 0] >= FREQUENT]
     bound = (frequent[:, 1] / frequent[:, 0]).min(initial=1.0)
     return [row["feature"] for row, (p, u) in zip(rows, share, strict=True) if bound * p >= u / 2]
@@ -117,8 +119,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
                 sorted(place[x] for x in place.keys() & features_of(text or ""))
                 for text in batch["text"].to_pylist()
             ]
+            lists = pa.array(found, pa.list_(pa.int32()))
             yield pa.record_batch(
-                {"doc_id": batch["doc_id"], "positive": batch["positive"], "places": pa.array(found, pa.list_(pa.int32()))}
+                {"doc_id": batch["doc_id"], "positive": batch["positive"], "places": lists}
             )
 
     # one row of at most VOCABULARY numbers for each text of the bounded sample
@@ -155,8 +158,6 @@ def score_documents(docs: DataFrame, labels: DataFrame, label: str = "toxic") ->
     Repeated rows, null ids and empty texts are scored like others, by their text alone; an empty
     table gives an empty table. Other columns are ignored.
     """
-    from saleslane.llm.labelled import held_out
-
     model = fit(docs, labels, label)
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),

@@ -313,8 +313,13 @@ def payloads_of(records: DataFrame) -> DataFrame:
     key = F.coalesce("refers_to_id", "record_id")
     return records.withColumn("refers_to_id", key).join(response, "refers_to_id", "left").select(
         "page_id",
-        F.when(is_revisit, F.col("response_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
-        F.when(is_revisit, F.col("response_digest")).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        *(
+            F.when(is_revisit, F.col(theirs)).otherwise(F.col(own)).alias(own)
+            for own, theirs in (
+                ("payload_bytes", "response_bytes"),
+                ("payload_digest", "response_digest"),
+            )
+        ),
         "record_type",
         F.when(is_revisit, F.col("refers_to")).alias("refers_to"),
     )
