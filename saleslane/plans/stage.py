@@ -28,5 +28,8 @@ class StageMetrics:
 
 def metrics_table(spark: SparkSession, metrics: Iterable[StageMetrics]) -> DataFrame:
     """The counts of one run as a table, one row per written output."""
-    rows = [(m.stage, m.output, m.rows_in, m.rows_out, m.rows_rejected, m.rows_malformed, m.date) for m in metrics]
+    rows = [
+        (m.stage, m.output, m.rows_in, m.rows_out, m.rows_rejected, m.rows_malformed, m.date)
+        for m in metrics
+    ]
     return spark.createDataFrame(rows, stage_metric_schema())
