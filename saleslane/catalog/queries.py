@@ -26,6 +26,7 @@ from saleslane.catalog.sales import (
     wide_schema,
 )
 from saleslane.functions.rules import business_rule, castable, in_range, matches
+from saleslane.jvm import remove
 from saleslane.operators.audit import (
     TableAudit,
     check_data_completeness,
@@ -33,6 +34,7 @@ from saleslane.operators.audit import (
     check_data_validity,
     check_rules,
     generate_data_profile,
+    kept,
 )
 from saleslane.operators.clean import keep_usable_rows, usable_row
 from saleslane.operators.enrich import add_customer_tier
@@ -375,7 +377,9 @@ def uniqueness_violation_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def input_precheck(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = sales_files(spark, sf_dir, "precheck")
     raw = read_sales_csv(spark, path, wide_schema())
-    return check_input(raw, "sales_raw", bad_files=len(mismatched_files(spark, path)))
+    checks = kept(check_input(raw, "sales_raw", bad_files=len(mismatched_files(spark, path))))
+    remove(spark, path)
+    return checks
 
 
 # --- the report and its gates -------------------------------------------------------------------
@@ -434,4 +438,6 @@ def stage_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = wide_schema()
     done = run_ingestion(spark, raw, layers[0], PROCESSING_DATE, schema=schema)
     done += run_transformation(spark, *layers, PROCESSING_DATE, schema=schema)
+    for path in (raw, *layers):
+        remove(spark, path)
     return metrics_table(spark, done)

@@ -1,7 +1,8 @@
-"""The two questions that only the JVM's handles answer; without them there is a plain answer.
+"""What only the JVM's handles can do; without them there is a plain answer.
 
-Spark has no public call for the size a plan is estimated at, nor for the full form of a path. Over Spark
-Connect there are no handles; then sizes are unknown and paths are compared as they are written.
+Spark has no public call for the size a plan is estimated at, for the full form of a path, or to remove
+one. Over Spark Connect there are no handles; then sizes are unknown, paths are compared as they
+are written, and scratch folders stay until the next run replaces them.
 """
 
 from __future__ import annotations
@@ -16,11 +17,22 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def qualified(spark: SparkSession, path: str) -> str:
-    """The path with its scheme, so that two spellings of one folder are equal."""
+def _path_and_files(spark: SparkSession, path: str):
     jvm = getattr(spark, "_jvm", None)
     if jvm is None:
-        return path.rstrip("/")
+        return None, None
     target = jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files.makeQualified(target).toString().rstrip("/")
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, so that two spellings of one folder are equal."""
+    target, files = _path_and_files(spark, path)
+    return (path if target is None else files.makeQualified(target).toString()).rstrip("/")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder."""
+    target, files = _path_and_files(spark, path)
+    if target is not None:
+        files.delete(target, True)

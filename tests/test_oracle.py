@@ -32,6 +32,13 @@ def test_query_without_a_shared_folder(spark, sf_dir, con, name, monkeypatch):
     assert differences(df, con, entry_points.oracle_sql()[name]) is None
 
 
+def test_counting_queries_leave_no_files(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr("saleslane.catalog.sales.shared_folder", lambda session: str(tmp_path))
+    for name in ("input_precheck", "stage_row_counts"):
+        assert QUERIES[name](spark, sf_dir).count() > 0
+    assert [file for file in tmp_path.rglob("*") if file.is_file()] == []
+
+
 THROUGH_FILES = ("input_precheck", "scan_sales_csv", "layer_round_trip", "stage_row_counts")
 
 
