@@ -7,7 +7,7 @@ and unlabelled ones; the share of good texts among the unlabelled is estimated f
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
 
@@ -101,10 +101,8 @@ class Model:
     linear: Linear
     prior: float
 
-    def score(self, texts: list[str]) -> np.ndarray:
-        if not texts:
-            return np.zeros(0)
-        values = np.array([measures(text) for text in texts])
+    def score(self, texts: Iterable[str]) -> np.ndarray:
+        values = np.array([measures(text) for text in texts]).reshape(-1, len(MEASURES))
         return sigmoid(self.linear.decision(ranged(values, self.edges)))
 
 
@@ -147,7 +145,8 @@ def score_column(docs: DataFrame, model: Model, text: str = "text") -> Column:
     @F.pandas_udf("double")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series(shared.value.score([bytes(x).decode("utf-8", "replace") for x in texts]))
+            # one text at a time, as a batch of long ones is large
+            yield pd.Series(shared.value.score(bytes(x).decode("utf-8", "replace") for x in texts))
 
     return of(payload(text))
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -53,11 +53,11 @@ class Model:
     linear: Linear
     prior: float
 
-    def score(self, texts: list[str]) -> np.ndarray:
+    def score(self, texts: Iterable[str]) -> np.ndarray:
         weights = dict(zip(self.place, self.linear.weights.tolist(), strict=True))
         names = weights.keys()
         known = (sum(map(weights.__getitem__, names & features_of(text))) for text in texts)
-        return sigmoid(np.fromiter(known, np.float64, len(texts)) + self.linear.bias)
+        return sigmoid(np.fromiter(known, np.float64) + self.linear.bias)
 
 
 def vocabulary(sample: DataFrame, most: int = VOCABULARY) -> list[str]:
@@ -147,7 +147,8 @@ def score_column(docs: DataFrame, model: Model, text: str = "text") -> Column:
     @F.pandas_udf("double")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series(shared.value.score([bytes(x).decode("utf-8", "replace") for x in texts]))
+            # one text at a time, as a batch of long ones is large
+            yield pd.Series(shared.value.score(bytes(x).decode("utf-8", "replace") for x in texts))
 
     return of(payload(text))
 
