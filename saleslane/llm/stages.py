@@ -52,7 +52,10 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated stretches go; a text that loses words keeps the others, joined by one space."""
+    """Repeated stretches go; a text that loses words keeps the others, joined by one space.
+
+    A document may be left with an empty text; a null text comes back as an empty one.
+    """
     ship_package(spark)
     rows = substring_dedup.deduplicated(docs)
     others = [F.col(f"_row.`{c}`") for c in docs.columns if c != "text"]

@@ -119,9 +119,9 @@ def deduplicated(
 ) -> DataFrame:
     """(_row, _id, _text, n_words, n_removed, kept) of every row of ``docs``.
 
-    ``_row`` holds all columns but the text, which is ``_text`` in bytes. A word goes if it lies in a window of ``size`` words that also begins in a document with a smaller
-    id. Windows are judged on the texts as they came in. ``kept`` has the other words, joined by one
-    space. A null text has no words; texts shorter than a window lose nothing. Rows without an id
+    ``_row`` holds all columns but the text, which is ``_text`` in bytes. A word goes if it lies in a
+    window of ``size`` words that also begins in a document with a smaller id. Windows are judged on
+    the texts as they came in. ``kept`` has the other words, joined by one space. A null text has no words; texts shorter than a window lose nothing. Rows without an id
     have no smaller or larger one: they lose nothing and nothing is lost to them. Rows that repeat an
     id are judged one by one and lose nothing to one another.
     """
@@ -131,7 +131,10 @@ def deduplicated(
         payload(text_col).alias("_text"),
     )
     rows = rows.withColumn("_mark", F.xxhash64("_text"))
-    names = [F.col(f"_{old}").alias(new) for old, new in (("id", "doc_id"), ("mark", "mark"), ("text", "text"))]
+    names = [
+        F.col(old).alias(new)
+        for old, new in (("_id", "doc_id"), ("_mark", "mark"), ("_text", "text"))
+    ]
     named = rows.where(F.col("_id").isNotNull()).select(*names)
     every = stored(blocks(named, size), "blocks")
     shared = stored(_shared(every), "shared")
