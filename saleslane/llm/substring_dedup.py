@@ -172,10 +172,12 @@ def _shared(every: DataFrame) -> DataFrame:
         .drop("_last")
     )
     of_use = F.col("differs") | (F.col("doc_id") > F.col("owner"))
+    # Stored, so that the join meets two plain shuffles and can split the rows of a hot key.
+    keys = stored(keys, "keys")
     met = stored(every.join(keys, "key").where(of_use), "met")
     whole = met.where(~F.col("differs")).withColumn("opened", F.lit(False))
     several = met.where(F.col("differs")).drop("owner")
-    owners = several.groupBy("key", "content").agg(F.min("doc_id").alias("owner"))
+    owners = stored(several.groupBy("key", "content").agg(F.min("doc_id").alias("owner")), "owners")
     opened = several.join(owners, ["key", "content"]).withColumn(
         "opened", F.col("doc_id") == F.col("owner")
     )
@@ -203,6 +205,7 @@ def _repeated_windows(open_blocks: DataFrame, size: int) -> DataFrame:
         .where(F.col("owner") < F.col("_last"))
         .drop("_last")
     )
+    owners = stored(owners, "owners")
     return (
         every.join(owners, ["key", "content"])
         .where(F.col("doc_id") > F.col("owner"))
