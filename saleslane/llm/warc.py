@@ -9,6 +9,7 @@ verifies the total length, and takes the chunk framing off the HTTP body.
 from __future__ import annotations
 
 import gzip
+import json
 import uuid
 from collections.abc import Iterator
 
@@ -46,38 +47,66 @@ class CorruptRecord(ValueError):
 def with_record_types(
     pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html"
 ) -> DataFrame:
-    """(page_id, uri, payload, digest, response_id): what is to be written of every page.
-
-    Of equal payloads of REVISIT_BYTES or more the page with the largest id is the response; the
-    others revisit ``response_id``, which is null for responses. A null text is an empty payload. A
-    page without an id is a response, as no record can refer to it; so are rows that repeat the
-    response's id.
+    """What is to be written of every page; rows that are equal in all come as one.
+
+    Returns page_id, uri, payload, digest, spread, copies, response_id and response_uri. A row stands
+    for ``copies`` equal pages, each of which is written as a record of its own. Of equal payloads of
+    REVISIT_BYTES or more the page with the largest id is the response; the others revisit the first
+    copy of ``response_id`` and ``response_uri``, which are null for responses. A null text is an empty
+    payload. A page without an id is a response, as no record can refer to it; so are rows that repeat
+    the response's id.
     """
     rows = pages.select(
         F.col(page_id).cast("long").alias("page_id"),
         F.col(url).cast("string").alias("uri"),
         payload(html).alias("payload"),
     ).withColumn("digest", F.sha1("payload"))
-    long_enough = F.octet_length("payload") >= REVISIT_BYTES
-    # Short payloads find no response; each has a key of its own, so that none of them is hot.
-    own = F.concat(F.lit("page "), F.xxhash64("page_id", "uri").cast("string"))
-    rows = rows.withColumn("shared_digest", F.when(long_enough, F.col("digest")).otherwise(own))
+    # No record refers to a page without an id, so equal ones need not meet in one task.
+    spread = F.when(F.col("page_id").isNull(), F.spark_partition_id()).otherwise(0)
+    distinct = (
+        rows.withColumn("spread", spread)
+        .withColumn("row_key", _row_key())
+        .groupBy("row_key")
+        .agg(
+            *(F.first(c).alias(c) for c in ("page_id", "uri", "payload", "digest", "spread")),
+            F.count(F.lit(1)).alias("copies"),
+        )
+    )
+    slim = rows.where(
+        (F.octet_length("payload") >= REVISIT_BYTES) & F.col("page_id").isNotNull()
+    ).select("page_id", "uri", "digest")
     responses = (
-        rows.where(long_enough & F.col("page_id").isNotNull())
-        .groupBy("shared_digest")
-        .agg(F.max("page_id").alias("response_id"), F.count(F.lit(1)).alias("copies"))
-        .where(F.col("copies") > 1)
-        .drop("copies")
+        slim.groupBy("digest")
+        .agg(F.max(F.struct("page_id", "uri")).alias("response"), F.min("page_id").alias("least"))
+        .where(F.col("least") < F.col("response.page_id"))
+        .select(
+            "digest",
+            F.col("response.page_id").alias("response_id"),
+            F.col("response.uri").alias("response_uri"),
+        )
     )
-    revisits = F.col("page_id").isNotNull() & (F.col("page_id") != F.col("response_id"))
-    return rows.join(responses, "shared_digest", "left").select(
-        "page_id", "uri", "payload", "digest",
-        F.when(revisits, F.col("response_id")).alias("response_id"),
-    )
+    revisits = (
+        slim.join(responses, "digest")
+        .where(F.col("page_id") < F.col("response_id"))
+        .withColumn("spread", F.lit(0))
+        .select(_row_key().alias("row_key"), "response_id", "response_uri")
+        .dropDuplicates(["row_key"])
+    )
+    return distinct.join(revisits, "row_key", "left").drop("row_key")
+
+
+def _row_key() -> Column:
+    """A name of page_id, spread, digest and uri that tells nulls from all values."""
+    page, uri = F.col("page_id").cast("string"), F.concat(F.lit("="), F.col("uri"))
+    named = [F.coalesce(page, F.lit("")), "spread", "digest", F.coalesce(uri, F.lit(""))]
+    return F.sha2(F.concat_ws("\n", *named).cast("binary"), 256)
 
 
-def record_id(page_id: int | None, uri: str | None, digest: str) -> str:
-    name = f"page:{page_id}" if page_id is not None else f"page:?{uri}?{digest}"
+def record_id(
+    page_id: int | None, uri: str | None, digest: str, spread: int = 0, copy: int = 0
+) -> str:
+    """The id of one written row: of its page, address and payload, and of the copy of these."""
+    name = json.dumps([page_id, uri, digest, spread, copy])
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>"
 
 
@@ -115,16 +144,24 @@ def _head(kind: str, own_id: str, length: int, **more: object) -> bytes:
 
 
 def records_of(
-    page_id: int | None, uri: str | None, body: bytes, digest: str, response_id: int | None
+    page_id: int | None,
+    uri: str | None,
+    body: bytes,
+    digest: str,
+    spread: int,
+    response_id: int | None,
+    response_uri: str | None,
+    copy: int,
 ) -> Iterator[bytes]:
-    """The WARC records of a page, without the empty lines that end a record."""
-    own_id = record_id(page_id, uri, digest)
+    """The WARC records of one copy of a page, without the empty lines that end a record."""
+    own_id = record_id(page_id, uri, digest, spread, copy)
     safe = None if uri is None else uri.replace("\r", "%0D").replace("\n", "%0A")
     fields = {
         "WARC_Target_URI": safe, "X_Page_ID": page_id, "WARC_Payload_Digest": f"sha1:{digest}"
     }
     if response_id is not None:
-        fields |= {"WARC_Profile": PROFILE, "WARC_Refers_To": record_id(response_id, None, digest)}
+        response = record_id(response_id, response_uri, digest)
+        fields |= {"WARC_Profile": PROFILE, "WARC_Refers_To": response}
         yield _head("revisit", own_id, len(HTTP_HEAD), **fields) + HTTP_HEAD
         return
     block = HTTP_HEAD + chunked(body)
@@ -156,16 +193,19 @@ def write_archives(rows: DataFrame, path: str) -> None:
         for batch in batches:
             out: list[bytes] = []
             size = 0
-            for row in zip(*(batch[c].to_pylist() for c in fields), strict=True):
-                for record in records_of(*row):
-                    out.append(record)
-                    size += len(record)
-                if size > 4 * 1024**2:
-                    yield pa.record_batch({"record": pa.array(out, pa.binary())})
-                    out, size = [], 0
+            for *row, copies in zip(*(batch[c].to_pylist() for c in fields), strict=True):
+                for copy in range(copies):
+                    for record in records_of(*row, copy):
+                        out.append(record)
+                        size += len(record)
+                    if size > 4 * 1024**2:
+                        yield pa.record_batch({"record": pa.array(out, pa.binary())})
+                        out, size = [], 0
             yield pa.record_batch({"record": pa.array(out, pa.binary())})
 
-    fields = ["page_id", "uri", "payload", "digest", "response_id"]
+    fields = [
+        "page_id", "uri", "payload", "digest", "spread", "response_id", "response_uri", "copies"
+    ]
     records = rows.select(*fields).mapInArrow(write, "record binary")
     (
         records.select(F.col("record").cast("string"))

@@ -46,6 +46,26 @@ def test_repeated_pages_and_empty_table(spark):
     assert result(spark, []) == []
 
 
+@pytest.mark.parametrize("size", [900, 2000, 40_000])
+def test_every_repeated_row_comes_back(spark, size):
+    one, other = "z" * size, "y" * (size + 1)
+    pages = [(1, "u", one), (2, "u", one), (2, "u", one), (2, None, one), (2, "v", one), (2, "u", other)]
+    pages += [(3, "u", other), (0, "u", other), (0, "u", other)] + [(None, "n", one)] * 3
+    pages += [(None, None, one)] * 2 + [(None, None, None)] * 2 + [(5, "u", "x" * size)] * 2
+    assert result(spark, pages) == expected(pages)
+
+
+def test_record_ids_are_unique(spark, tmp_path):
+    body = "z" * 2000
+    pages = [(1, "u", body), (2, "u", body), (2, "u", body), (2, "v", body)] + [(None, "n", body)] * 3
+    rows = spark.createDataFrame(pages, PAGES).repartition(3)
+    warc.write_archives(warc.with_record_types(rows), str(tmp_path / "w"))
+    records = warc.read_archives(spark, str(tmp_path / "w")).collect()
+    by_id = {r["record_id"]: r for r in records}
+    assert len(by_id) == len(records) == len(pages)
+    assert [by_id[r["refers_to_id"]]["page_id"] for r in records if r["refers_to_id"]] == [2]
+
+
 def test_archives_follow_the_format(spark, tmp_path):
     body = "y" * 40_000
     rows = spark.createDataFrame([(1, "http://a/", body), (2, "http://b/", "b")], PAGES)
