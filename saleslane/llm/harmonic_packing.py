@@ -92,16 +92,22 @@ def splits_at_spaces(path: str) -> bool:
     return apart and not any(x["lstrip"] or x["rstrip"] for x in spec["added_tokens"])
 
 
-def _words(text: str) -> list[str]:
+def _words(text: str, added: list[str]) -> list[str]:
     """The text in parts that the vocabulary treats apart, in lower case where that folds alike.
 
     Besides white space, a part ends before a dot or comma that stands alone behind a letter.
+    ``added`` are the added tokens in lower case.
     """
     # Left as they are: capital sigma, whose small form depends on its place, and dotted capital I,
-    # whose small form is two characters.
+    # whose small form is two characters; texts that compose otherwise once they are small (J and a
+    # caron); and added tokens, which the library looks for before it makes letters small.
     odd = "\u03a3" in text or "\u0130" in text
-    if text.isascii() or (not odd and is_normalized("NFC", text)):
-        text = text.lower()
+    small = text.lower()
+    folds = text.isascii() or (
+        not odd and is_normalized("NFC", text) and is_normalized("NFC", small)
+    )
+    if folds and not any(token in small for token in added):
+        text = small
     return LONE_STOP.sub(r"\1 \2", text).replace("\n", " ").split(" ")
 
 
@@ -116,6 +122,8 @@ class WordEncoder:
     def __init__(self, path: str, most: int = WORDS_IN_CACHE):
         self.tokenizer, self.most = _tokenizer(path), most
         vocabulary = self.tokenizer.get_vocab()
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [token.content.lower() for token in added]
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, number in vocabulary.items():
             self.ends[number] = token.endswith("</w>")
@@ -123,7 +131,7 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit numbers."""
-        lines = [_words(text) for text in texts]
+        lines = [_words(text, self.added) for text in texts]
         words = set().union(*lines)
         new = words.difference(self.known)
         if len(self.known) + len(new) > self.most:

@@ -39,6 +39,14 @@ def test_ids_are_those_of_the_library(library):
                 assert np.frombuffer(made, "<u4").tolist() == ids_of(library, text)[:-1], repr(text)
 
 
+def test_texts_that_change_when_made_small(library):
+    texts = ["a <|ENDOFTEXT|> b", "A<|EndOfText|><|endoftext|>B", "J\u030c", "xH\u0331 y", "É J\u030c Ab <|Startoftext|>"]
+    texts += [f"{first}{second}" for first in "HJTWY" for second in "\u030c\u0331\u0308\u030a"]
+    encoder = WordEncoder(PATH)
+    for made, text in zip(encoder.encode(texts), texts, strict=True):
+        assert np.frombuffer(made, "<u4").tolist() == ids_of(library, text)[:-1], repr(text)
+
+
 def test_cuts():
     sizes = class_sizes()
     assert sizes[0] == 4096 and sizes[-1] == 1
