@@ -65,7 +65,7 @@ from saleslane.operators.summaries import (
 from saleslane.plans.ingestion import run_ingestion
 from saleslane.plans.stage import metrics_table
 from saleslane.plans.transformation import run_transformation
-from saleslane.sources.tables import mismatched_files, read_layer, read_sales_csv
+from saleslane.sources.tables import count_mismatched_files, read_layer, read_sales_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -377,7 +377,8 @@ def uniqueness_violation_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def input_precheck(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = sales_files(spark, sf_dir, "precheck")
     raw = read_sales_csv(spark, path, wide_schema())
-    checks = kept(check_input(raw, "sales_raw", bad_files=len(mismatched_files(spark, path))))
+    bad_files = count_mismatched_files(spark, path)
+    checks = kept(check_input(raw, "sales_raw", bad_files=bad_files))
     remove(spark, path)
     return checks
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -53,13 +54,15 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
     return spark.read.option("header", True).csv(path).columns
 
 
-def mismatched_files(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None, most: int = 20
-) -> list[tuple[str, list[str]]]:
-    """(file, header) of up to ``most`` files whose header does not begin with ``columns`` in order.
+@contextmanager
+def _mismatches(
+    spark: SparkSession, path: str, columns: Sequence[str] | None
+) -> Iterator[DataFrame]:
+    """(file, header) of the files whose header does not begin with ``columns`` in order.
 
-    One task for each file reads its first lines and stops. The first line that is not blank is the header; files without one have no
-    rows and are not listed. Names are compared without regard to case, as Spark does.
+    To be read within the block. One task for each file reads its first lines and stops. The first
+    line that is not blank is the header; files without one have no rows and are not listed. Names
+    are compared without regard to case, as Spark does.
     """
     expected = [name.lower() for name in columns or define_schema().fieldNames()]
 
@@ -85,8 +88,23 @@ def mismatched_files(
         setting(spark, "spark.sql.files.openCostInBytes", WHOLE_FILES),
     ):
         lines = spark.read.text(path).select("value", "_metadata.file_path")
-        found = lines.mapInArrow(headers, "file string, header array<string>").take(most)
-    return sorted((row["file"], row["header"]) for row in found)
+        yield lines.mapInArrow(headers, "file string, header array<string>")
+
+
+def mismatched_files(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, most: int = 20
+) -> list[tuple[str, list[str]]]:
+    """(file, header) of up to ``most`` files whose header does not begin with ``columns`` in order."""
+    with _mismatches(spark, path, columns) as found:
+        return sorted((row["file"], row["header"]) for row in found.take(most))
+
+
+def count_mismatched_files(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None
+) -> int:
+    """How many files have a header that does not begin with ``columns`` in order."""
+    with _mismatches(spark, path, columns) as found:
+        return found.count()
 
 
 def read_layer(

@@ -6,6 +6,7 @@ from conftest import HEADER
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from saleslane.catalog import queries
 from saleslane.operators.audit import TableAudit
 from saleslane.operators.enrich import transform_sales_data
 from saleslane.operators.precheck import InputRejected, check_input
@@ -279,6 +280,16 @@ def test_headers_that_are_the_same(spark, write_csv, tmp_path):
     assert row.failed_records == 1
 
 
+def test_all_mismatched_files_are_counted(spark, write_csv, tmp_path, monkeypatch):
+    path = write_csv(GOOD)
+    for i in range(25):
+        (tmp_path / "raw" / f"swapped{i}.csv").write_text(SWAPPED + "\n")
+    monkeypatch.setattr(queries, "sales_files", lambda *_: path)
+    rows = queries.QUERIES["input_precheck"](spark, "").collect()
+    found = {row["check_name"]: row["failed_records"] for row in rows}
+    assert found["mismatched_files"] == 25
+
+
 def test_malformed_lines_are_counted(spark, write_csv, tmp_path):
     lines = [*GOOD, "5,c1,p7,two,1.5,2023-03-05 08:30:00,Tea,Coast", "6,c1,p7", "99999999999" + GOOD[0][1:]]
     (metrics,) = run_ingestion(spark, write_csv(lines), str(tmp_path / "out"), "d")
