@@ -11,6 +11,7 @@ variants have, and the rest of each variant is made where that prefix is worked
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 from math import ceil, comb, log2
 
@@ -31,6 +32,9 @@ SEED = 42
 # Variants that one task works on at a time; the number of prefix bits follows from it.
 VARIANTS_PER_PREFIX = 4_000_000
 LEAST_PREFIX_BITS = 8
+# Prefixes with more variants than this are split, by so many bits at a time.
+MOST_VARIANTS = 2 * VARIANTS_PER_PREFIX
+FURTHER_BITS = 6
 CHUNK = 2_000_000
 
 
@@ -87,10 +91,6 @@ def _masks(prefix_bits: int, parity: int, most: int) -> list[tuple[int, int]]:
     return found
 
 
-def _signed(value: int) -> int:
-    return value - (1 << BITS) if value >> (BITS - 1) else value
-
-
 def _flips(width: int, count: int) -> np.ndarray:
     """All numbers of ``width`` bits with ``count`` ones."""
     if count == 0:
@@ -159,30 +159,82 @@ def meet(fps: np.ndarray, flips: np.ndarray, prefix_bits: int, most: int) -> tup
 
 
 def links_between(distinct: DataFrame, most: int = MAX_DISTANCE) -> DataFrame:
-    """(node, next): links that connect all of ``distinct`` (column ``fp``) within ``most`` bits."""
+    """(node, next): links that connect all of ``distinct`` (column ``fp``) within ``most`` bits.
+
+    Where one prefix has far more variants than others, as in a large family of near copies, it is
+    split by further bits until none has more than a task may work on.
+    """
     variants = max(sum(comb(BITS, x) for x in distances(p, most)) for p in (0, 1))
     number = distinct.count()
     prefix_bits = ceil(log2(max(1, number * variants / VARIANTS_PER_PREFIX)))
     prefix_bits = min(max(LEAST_PREFIX_BITS, prefix_bits), BITS // 2)
 
+    whole = distinct.select(
+        "fp", F.lit(0).cast("byte").alias("flips"), F.lit(0).cast("long").alias("prefix")
+    )
+    dealt, found = _dealt(whole, 0, prefix_bits, most), []
+    while True:
+        large = _large_prefixes(dealt, prefix_bits, most)
+        if prefix_bits == BITS or not large.head(1):
+            return reduce(DataFrame.unionByName, [*found, _links(dealt, prefix_bits, most)])
+        # few: each has more than MOST_VARIANTS variants
+        large = F.broadcast(stored(large, "large"))
+        found.append(_links(dealt.join(large, "prefix", "left_anti"), prefix_bits, most))
+        more = min(FURTHER_BITS, BITS - prefix_bits)
+        dealt = _dealt(dealt.join(large, "prefix", "left_semi"), prefix_bits, more, most)
+        dealt = stored(dealt, "dealt")
+        prefix_bits += more
+
+
+def _dealt(rows: DataFrame, prefix_bits: int, more: int, most: int) -> DataFrame:
+    """``rows`` (fp, flips, prefix) by prefixes that are ``more`` bits longer.
+
+    A fingerprint goes once to each longer prefix that its variants have.
+    """
+
     def masks(parity: int) -> Column:
         ways = [
-            F.struct(F.lit(_signed(mask)).cast("long").alias("mask"), F.lit(flips).alias("flips"))
-            for mask, flips in _masks(prefix_bits, parity, most)
+            F.struct(
+                F.lit(mask >> (BITS - more)).cast("long").alias("mask"), F.lit(flips).alias("used")
+            )
+            for mask, flips in _masks(more, parity, most)
         ]
         return F.array(*ways)
 
     odd = F.bit_count("fp") % 2 == 1
-    dealt = distinct.select(
-        "fp", F.explode(F.when(odd, masks(1)).otherwise(masks(0))).alias("way")
-    ).select(
-        "fp",
-        F.col("way.flips").cast("byte").alias("flips"),
-        F.shiftrightunsigned(F.col("fp").bitwiseXOR(F.col("way.mask")), BITS - prefix_bits).alias(
-            "prefix"
-        ),
+    reach = F.when(odd, max(distances(1, most))).otherwise(max(distances(0, most)))
+    rest = F.shiftrightunsigned("fp", BITS - prefix_bits - more)
+    bits = rest.bitwiseAND(F.lit((1 << more) - 1).cast("long"))
+    flips = F.col("flips") + F.col("way.used")
+    return (
+        rows.withColumn("way", F.explode(F.when(odd, masks(1)).otherwise(masks(0))))
+        .where(flips <= reach)
+        .select(
+            "fp",
+            flips.cast("byte").alias("flips"),
+            F.shiftleft("prefix", more)
+            .bitwiseOR(bits.bitwiseXOR(F.col("way.mask")))
+            .alias("prefix"),
+        )
     )
 
+
+def _large_prefixes(dealt: DataFrame, prefix_bits: int, most: int) -> DataFrame:
+    """(prefix): those with more than MOST_VARIANTS variants to be made."""
+    width = BITS - prefix_bits
+    made = F.lit(0)
+    for parity in (0, 1):
+        for flips in range(max(distances(parity, most)) + 1):
+            number = sum(comb(width, x - flips) for x in distances(parity, most) if x >= flips)
+            like = (F.bit_count("fp") % 2 == parity) & (F.col("flips") == flips)
+            made = F.when(like, number).otherwise(made)
+    counted = dealt.groupBy("prefix").agg(F.sum(made.cast("long")).alias("variants"))
+    return counted.where(F.col("variants") > MOST_VARIANTS).select("prefix")
+
+
+def _links(dealt: DataFrame, prefix_bits: int, most: int) -> DataFrame:
+    """The links that each prefix of ``dealt`` gives."""
+
     def work(group: pa.Table) -> pa.Table:
         fps = group["fp"].to_numpy().view(np.uint64)
         a, b = meet(fps, group["flips"].to_numpy(), prefix_bits, most)

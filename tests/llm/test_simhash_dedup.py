@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -81,6 +82,38 @@ def test_meeting_finds_all_links(most):
     assert [root(i) for i in range(len(values))] == classes(values, most)
 
 
+@pytest.mark.parametrize("most", [2, 3])
+def test_one_large_family_is_split(spark, monkeypatch, most):
+    rng = random.Random(most)
+    centre = rng.getrandbits(64) | 1 << 63
+    values = {centre ^ sum(1 << b for b in rng.sample(range(20), rng.randint(0, 4))) for _ in range(300)}
+    values |= {centre ^ sum(1 << b for b in rng.sample(range(64), 3)) for _ in range(60)}
+    values = sorted(values | {rng.getrandbits(64) for _ in range(100)})
+    signed = [value - (1 << 64) if value >> 63 else value for value in values]
+    worked = []
+    links = simhash_dedup._links
+    monkeypatch.setattr(
+        simhash_dedup, "_links", lambda dealt, bits, most: worked.append((dealt, bits)) or links(dealt, bits, most)
+    )
+    monkeypatch.setattr(simhash_dedup, "MOST_VARIANTS", 4000)
+    found = simhash_dedup.links_between(spark.createDataFrame([(v,) for v in signed], "fp long"), most)
+    rooted = dict(map(tuple, roots(found).collect()))
+    group = {}
+    for value, own in zip(signed, classes(values, most), strict=True):
+        group.setdefault(own, set()).add(rooted.get(value, value))
+    assert all(len(names) == 1 for names in group.values())
+    assert len(set().union(*group.values())) == len(group)
+    assert len(worked) > 1
+    for dealt, bits in worked:
+        assert bits < 64
+        for members in dealt.groupBy("prefix").agg({"flips": "collect_list", "fp": "collect_list"}).collect():
+            made = 0
+            for fp, flips in zip(members[2], members[1], strict=True):
+                reach = distances((fp & (1 << 64) - 1).bit_count() & 1, most)
+                made += sum(math.comb(64 - bits, x - flips) for x in reach if x >= flips)
+            assert made <= 4000
+
+
 def test_half_of_the_radius():
     assert distances(1, 3) == [1]
     assert distances(0, 3) == [0, 2]
