@@ -26,6 +26,8 @@ FAN_IN = 8
 SALTS = 16
 EXACT_FLOAT = 2**53
 EXACT_INT = 2**62
+# The score of a pair that is left out, where it does not fit: no other score is as large.
+LARGEST = 2**63 - 1
 
 PACKED = "dim int, part int, number int, rows int, ids binary, keys binary, vectors binary"
 LISTS = "query_id bigint, query_key bigint, vec_id bigint, score bigint, own boolean"
@@ -93,18 +95,22 @@ def _packed_schema() -> pa.Schema:
 
 
 def tile_best(
-    queries: np.ndarray, vectors: np.ndarray, most: int
+    queries: np.ndarray, vectors: np.ndarray, most: int, own: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
     """For each query the places and scores of the ``most`` best rows, earlier rows first in ties.
 
     Scores are whole numbers. They are computed in floating point where that is exact, else in
-    64-bit integers; sums that fit neither raise OverflowError.
+    64-bit integers; scores of LARGEST or more, or below -LARGEST, raise OverflowError, but those of
+    ``own`` pairs become LARGEST.
     """
     rows = len(vectors)
     largest = [float(np.abs(x.astype(np.float64)).max(initial=0)) for x in (queries, vectors)]
     bound = (largest[0] * largest[1] * max(1, queries.shape[1]) + 1) * rows
     if bound >= EXACT_INT:
-        raise OverflowError("inner products of these vectors do not fit 64 bits")
+        scores = _wide_scores(queries, vectors, own)
+        # the complement reverses the order, of all 64-bit integers
+        places = np.argsort(~scores, axis=1, kind="stable")[:, :most]
+        return places, np.take_along_axis(scores, places, axis=1)
     kind = np.float64 if bound < EXACT_FLOAT else np.int64
     scores = queries.astype(kind) @ vectors.astype(kind).T
     # one sortable key for score and place, so that equal scores are cut in order of the ids
@@ -116,6 +122,24 @@ def tile_best(
     return places, np.take_along_axis(scores, places, axis=1).astype(np.int64)
 
 
+def _wide_scores(queries: np.ndarray, vectors: np.ndarray, own: np.ndarray | None) -> np.ndarray:
+    """All scores in 64-bit integers, however large the components; see `tile_best`."""
+    if any(x.max(initial=0) == LARGEST or x.min(initial=0) < -LARGEST for x in (queries, vectors)):
+        raise OverflowError("components of these vectors do not fit 64 bits")
+    scores = queries @ vectors.T
+    sizes = np.abs(queries.astype(np.float64)) @ np.abs(vectors.astype(np.float64)).T
+    # Below this size no sum on the way leaves 64 bits; the few others are summed without bounds.
+    for i, j in np.argwhere(sizes >= EXACT_INT):
+        score = sum(a * b for a, b in zip(queries[i].tolist(), vectors[j].tolist(), strict=True))
+        if -LARGEST <= score < LARGEST:
+            scores[i, j] = score
+        elif own is not None and own[i, j]:
+            scores[i, j] = LARGEST
+        else:
+            raise OverflowError("inner products of these vectors do not fit 64 bits")
+    return scores
+
+
 def _cell(most: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def matrix(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         ids, keys, flat = (np.frombuffer(row[x], np.int64) for x in ("ids", "keys", "vectors"))
@@ -130,7 +154,8 @@ def _cell(most: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
                 best: list[tuple[np.ndarray, ...]] = []
                 for shard in range(shards.num_rows):
                     ids, keys, vectors = matrix(shards.slice(shard, 1).to_pylist()[0])
-                    places, scores = tile_best(queries[of], vectors, most)
+                    own = (query_ids[of, None] == ids) & (query_keys[of, None] == keys)
+                    places, scores = tile_best(queries[of], vectors, most, own)
                     best.append((scores, ids[places], keys[places]))
                 if best:
                     lists = [np.concatenate(x, axis=1) for x in zip(*best, strict=True)]
@@ -144,7 +169,7 @@ def _shortened(query_ids, query_keys, scores, ids, keys, most: int) -> pa.Table:
     """The ``most`` best of each row, as rows of LISTS."""
     width = scores.shape[1]
     line = np.repeat(np.arange(len(query_ids)), width)
-    order = np.lexsort((ids.ravel(), -scores.ravel(), line))
+    order = np.lexsort((ids.ravel(), ~scores.ravel(), line))
     chosen = order[np.tile(np.arange(width) < most, len(query_ids))]
     line, ids, keys = line[chosen], ids.ravel()[chosen], keys.ravel()[chosen]
     columns = [query_ids[line], query_keys[line], ids, scores.ravel()[chosen]]
@@ -170,7 +195,8 @@ def top_k(
     Queries are the rows whose id is divisible by ``every``, candidates all rows but the query's
     own. Ties go to the smaller id; fewer candidates give a shorter list, possibly none. Rows without
     an id and vectors that are null or hold null or non-finite components take no part. Vectors are
-    compared with those of the same length; empty vectors score 0. Equal rows under one id are
+    compared with those of the same length; empty vectors score 0. Components and scores that do not fit
+    64 bits stop the job; a query's score with itself may. Equal rows under one id are
     several candidates of others and of one another, and as a query have one list; rows with one id
     and different vectors are separate queries. Other columns are ignored.
     """
@@ -223,10 +249,14 @@ def _merged(lists: DataFrame, k: int, groups: int) -> DataFrame:
     place, own = F.col("place"), F.col("own_place")
     own_place = F.min(F.when(F.col("own"), place)).over(Window.partitionBy(*query))
     rank = F.when(own < place, place - 1).otherwise(place)
+    score = F.when(
+        F.col("score") == LARGEST,
+        F.raise_error(F.lit("inner products of these vectors do not fit 64 bits")),
+    ).otherwise(F.col("score"))
     return (
         ranked.withColumn("own_place", own_place)
         .where(own.isNull() | (place != own))
         .withColumn("rank", rank.cast("int"))
         .where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
+        .select("query_id", "rank", "vec_id", score.alias("score"))
     )

@@ -67,3 +67,26 @@ def test_tile_uses_whole_numbers_where_floats_are_inexact():
     assert sorted(scores[0].tolist()) == [2**58 - 1, 2**58 + 2**29]
     with pytest.raises(OverflowError):
         exact_topk.tile_best(np.array([[2**40]]), np.array([[2**40]]), 1)
+
+
+def test_one_outlier_does_not_stop_the_others(spark):
+    rng = random.Random(3)
+    rows = [(i, [rng.choice([-0.5, 0.25, 0.5]) for _ in range(8)]) for i in range(120)]
+    for outlier in (40, 41):
+        wide = [*rows[:outlier], (outlier, [2.0**47, *[0.5] * 7]), *rows[outlier + 1 :]]
+        assert result(spark.createDataFrame(wide, SCHEMA)) == brute(wide)
+    again = [*rows[:40], (40, [2.0**47] * 8), (40, [2.0**47] * 8)]
+    with pytest.raises(Exception, match="do not fit 64 bits"):
+        result(spark.createDataFrame(again, SCHEMA))
+    with pytest.raises(Exception, match="do not fit 64 bits"):
+        result(spark.createDataFrame([*rows[:40], (41, [2.0**60] * 8)], SCHEMA))
+
+
+def test_wide_scores_are_exact():
+    queries = np.array([[2**40, 1, 3], [0, 5, 0]])
+    vectors = np.array([[2**22, 7, 0], [-(2**22), 7, 1], [2**23 - 1, -9, 0], [2**22, 7, 0]])
+    places, scores = exact_topk.tile_best(queries, vectors, 3)
+    plain = [[sum(int(a) * int(b) for a, b in zip(q, v, strict=True)) for v in vectors] for q in queries]
+    order = [sorted(range(4), key=lambda i: (-line[i], i))[:3] for line in plain]
+    assert places.tolist() == order
+    assert scores.tolist() == [[line[i] for i in o] for line, o in zip(plain, order, strict=True)]
