@@ -157,21 +157,20 @@ WITH t AS (
     length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
     coalesce(dup.n, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words
   FROM t LEFT JOIN words USING (row) LEFT JOIN dup USING (row) LEFT JOIN covered USING (row)
-), keyed AS (
-  SELECT row, host, len(words) AS size, ('0x' || substr(
-    md5(coalesce('=' || host, '') || chr(10) || norm), 1, 15))::BIGINT AS key
-  FROM full_lines
 ), doc AS (
-  SELECT row, host, min(key) AS document FROM keyed GROUP BY row, host
+  SELECT row, host, string_agg(norm, chr(10) ORDER BY place) AS document
+  FROM full_lines GROUP BY row, host
 ), hosts AS (
   SELECT host, count(DISTINCT document) AS host_documents FROM doc GROUP BY host
 ), frequent AS (
-  SELECT k.key, k.host
-  FROM keyed k JOIN doc USING (row) JOIN hosts h ON k.host IS NOT DISTINCT FROM h.host
-  GROUP BY k.key, k.host, host_documents
+  SELECT f.host, f.norm
+  FROM full_lines f JOIN doc USING (row) JOIN hosts h ON f.host IS NOT DISTINCT FROM h.host
+  GROUP BY f.host, f.norm, host_documents
   HAVING count(DISTINCT document) > 20 AND count(DISTINCT document) > 0.001 * host_documents
 ), removed AS (
-  SELECT row, sum(size) AS n FROM keyed WHERE key IN (SELECT key FROM frequent) GROUP BY row
+  SELECT row, sum(len(words)) AS n
+  FROM full_lines f JOIN frequent q ON f.norm = q.norm AND f.host IS NOT DISTINCT FROM q.host
+  GROUP BY row
 ), judged AS (
   SELECT b.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
     coalesce(n, 0) AS n_removed

@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from saleslane.llm.shared import stored
@@ -182,6 +182,11 @@ def _lists_schema() -> pa.Schema:
     return pa.schema([(name, pa.int64()) for name in names] + [("own", pa.bool_())])
 
 
+def block_name() -> Column:
+    """A name in 64 bits; part and number are below 2^31, so no two blocks share one."""
+    return F.shiftleft(F.col("part").cast("long"), 31) + F.col("number")
+
+
 def top_k(
     df: DataFrame,
     k: int = 20,
@@ -210,7 +215,7 @@ def top_k(
     )
     # A shard's group and a block's number say in which cells they meet.
     groups = -(-shards.count() // SHARDS_PER_CELL) or 1
-    names = F.col("part") * 1_000_003 + F.col("number")
+    names = block_name()
     block_names = blocks.select("dim", names.alias("block")).distinct()
     left = blocks.withColumns(
         {"block": names, "group": F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))}

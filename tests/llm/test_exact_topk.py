@@ -90,3 +90,12 @@ def test_wide_scores_are_exact():
     order = [sorted(range(4), key=lambda i: (-line[i], i))[:3] for line in plain]
     assert places.tolist() == order
     assert scores.tolist() == [[line[i] for i in o] for line, o in zip(plain, order, strict=True)]
+
+
+def test_names_of_many_blocks(spark):
+    """Some 4.4 million queries make more blocks than a product in 32 bits can name."""
+    last = 2**31 - 1
+    places = [(p, n) for p in (0, 1, 2147, 2148, 3000, last) for n in (0, 1, 2, last)]
+    df = spark.createDataFrame(places, "part int, number int")
+    names = [x[0] for x in df.select(exact_topk.block_name()).collect()]
+    assert len(set(names)) == len(places) and min(names) >= 0

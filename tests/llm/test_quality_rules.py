@@ -32,7 +32,7 @@ def test_measures(documents):
             assert row["kept"] == (not failed)
 
 
-def corpus(rng):
+def corpus(rng, near=True):
     """Documents of two hosts: own prose, boilerplate, copies of one text, and nothing but boilerplate."""
     boilerplate = [prose(rng, 30) for _ in range(3)]
     copied = "\n".join(prose(rng, 20) for _ in range(4))
@@ -41,39 +41,52 @@ def corpus(rng):
         lines = [prose(rng, 40) for _ in range(3)]
         rows.append((i, "\n".join([*lines, "  " + boilerplate[i % 2].upper()]), "a"))
     rows += [(100 + i, copied, "a") for i in range(40)]
-    rows += [(200 + i, copied.replace(copied[:5], f"edit{i}", 1), "a") for i in range(40)]
+    if near:
+        rows += [(200 + i, copied.replace(copied[:5], f"edit{i}", 1), "a") for i in range(40)]
     rows += [(300 + i, "\n".join([boilerplate[0], boilerplate[1], prose(rng, 2)]), "a") for i in range(5)]
     rows += [(400, "\n".join([boilerplate[0], boilerplate[1]]), "b")]
     return rows, boilerplate
 
 
+def rejected(documents, rows):
+    found = quality_rules.verdicts(documents(rows)).collect()
+    return {r["doc_id"] for r in found if not r["kept"]}
+
+
 def test_boilerplate_depletes_but_copies_do_not(documents):
+    """Exact copies are one document; near copies are one document each."""
+    rows, _ = corpus(random.Random(7), near=False)
+    assert rejected(documents, rows) == set(range(300, 305))
     rows, _ = corpus(random.Random(7))
-    rejected = {
-        r["doc_id"] for r in quality_rules.verdicts(documents(rows)).collect() if not r["kept"]
-    }
-    assert rejected == {300, 301, 302, 303, 304}
+    assert rejected(documents, rows) == {*range(100, 140), *range(200, 240), *range(300, 305)}
 
 
-def plainly_judged(rows):
-    """The verdict by loops: boilerplate has over 20 documents, told apart by their least key."""
-    import hashlib
+@pytest.mark.parametrize(("pages", "shared", "own"), [(100, 1, 1), (30, 1, 3), (100, 5, 1), (200, 20, 1)])
+def test_pages_of_shared_lines_are_rejected_on_every_host(documents, pages, shared, own):
+    """All pages differ, and every page is almost nothing but lines that its host repeats."""
+    rng = random.Random(pages + shared)
+    rows = []
+    for host in range(40):
+        common = [prose(rng, 60) for _ in range(shared)]
+        for _ in range(pages):
+            rows.append((len(rows), "\n".join([*common, *(prose(rng, 1) for _ in range(own))]), f"h{host}"))
+    assert rejected(documents, rows) == set(range(len(rows)))
 
-    def key(host, line):
-        name = ("" if host is None else "=" + host) + "\n" + " ".join(words(line)).lower()
-        return int(hashlib.md5(name.encode()).hexdigest()[:15], 16)
 
-    lines = [[(key(h, x), len(words(x))) for x in (t or "").split("\n") if words(x)] for _, t, h in rows]
+def plainly_judged(rows):
+    """The verdict by loops: boilerplate has over 20 documents of its host, copies of a text being one."""
+    lines = [[" ".join(words(x)).lower() for x in (t or "").split("\n") if words(x)] for _, t, _ in rows]
     documents, hosts = defaultdict(set), defaultdict(set)
     for (_, _, host), own in zip(rows, lines, strict=True):
         if own:
-            hosts[host].add(min(own)[0])
-            for k, _ in own:
-                documents[host, k].add(min(own)[0])
+            hosts[host].add(tuple(own))
+            for line in own:
+                documents[host, line].add(tuple(own))
     out = []
     for (doc_id, text, host), own in zip(rows, lines, strict=True):
         measured = rules(text)
-        gone = sum(n for k, n in own if len(documents[host, k]) > max(20, 0.001 * len(hosts[host])))
+        limit = max(20, 0.001 * len(hosts[host]))
+        gone = sum(len(x.split(" ")) for x in own if len(documents[host, x]) > limit)
         failed = measured[0] < 50 or 100 * measured[4] > 50 * measured[0]
         out.append((doc_id, not failed and measured[0] - gone >= 0.3 * measured[0]))
     return sorted(out)
@@ -88,7 +101,7 @@ def test_against_loops(documents):
 
 
 def test_stage_removes_lines_and_documents(spark, documents):
-    rows, boilerplate = corpus(random.Random(9))
+    rows, boilerplate = corpus(random.Random(9), near=False)
     docs = documents(rows, clashing=True)
     kept = quality_rules_stage(spark, docs, "").collect()
     assert quality_rules_stage(spark, docs, "").columns == docs.columns
