@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from saleslane.llm import (
     byte_bpe_tables,
+    embedding_dedup,
     exact_topk,
     harmonic_packing,
     quality_classifier,
@@ -79,6 +80,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_warc": op2_warc,
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_packing": op10_packing,
+    "op12_embedding_dedup": op12_embedding_dedup,
 }
 
 ORACLE_SQL = {
@@ -181,6 +187,30 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
   n_repeat_words::BIGINT AS n_repeat_words, base_failed,
   NOT base_failed AND n_words - n_removed >= 0.3 * n_words AS kept
 FROM judged
+""",
+    "op12_embedding_dedup": """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS row, vec_id, embedding::DOUBLE[] AS vector,
+    coalesce(vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false) AS usable
+  FROM embeddings
+), u AS (
+  SELECT *, sqrt(list_dot_product(vector, vector)) AS size FROM v WHERE usable
+), link AS (
+  SELECT a.row, b.row AS other
+  FROM u a JOIN u b ON a.row <> b.row AND len(a.vector) = len(b.vector)
+  WHERE list_dot_product(a.vector, b.vector) / (a.size * b.size) >= 0.9
+), reach(row, other) AS (
+  SELECT row, row FROM v UNION SELECT reach.row, link.other FROM reach JOIN link ON reach.other = link.row
+), component AS (
+  SELECT reach.row, min(v.vec_id) AS component_id FROM reach JOIN v ON v.row = reach.other GROUP BY reach.row
+), counts AS (
+  SELECT row, count(*) AS n_links FROM link GROUP BY row
+)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id,
+  vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM v JOIN component USING (row) LEFT JOIN counts USING (row)
 """,
     "op4_url_filters": """
 WITH u AS (
