@@ -14,6 +14,7 @@ from saleslane.llm import (
     embedding_dedup,
     exact_topk,
     harmonic_packing,
+    lexical_search,
     quality_classifier,
     quality_rules,
     simhash_dedup,
@@ -80,6 +81,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -96,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_packing": op10_packing,
     "op12_embedding_dedup": op12_embedding_dedup,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLE_SQL = {
@@ -211,6 +217,41 @@ WITH RECURSIVE v AS (
 SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id,
   vec_id IS NOT DISTINCT FROM component_id AS kept
 FROM v JOIN component USING (row) LEFT JOIN counts USING (row)
+""",
+    "op13_lexical_search": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, list_filter(string_split_regex(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda t: t <> '') AS terms
+  FROM documents
+), q AS (
+  SELECT row_number() OVER () AS item, item_id, unnest(list_filter(string_split_regex(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda t: t <> '')) AS term
+  FROM benchmark
+), asked AS (
+  SELECT item, item_id, term, count(*) AS times FROM q GROUP BY item, item_id, term
+), stats AS (
+  SELECT count(*) AS documents, sum(len(terms)) AS total FROM d WHERE len(terms) > 0
+), held AS (
+  SELECT row, doc_id, term, count(*) AS tf, any_value(n) AS n
+  FROM (SELECT row, doc_id, len(terms) AS n, unnest(terms) AS term FROM d)
+  WHERE term IN (SELECT term FROM asked) GROUP BY row, doc_id, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(documents) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM held, stats GROUP BY term
+), impacts AS (
+  SELECT row, doc_id, term,
+    (1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * documents) // total)) AS impact
+  FROM held, stats
+), scored AS (
+  SELECT item, item_id, row, doc_id, sum(times * w * impact)::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN impacts USING (term) GROUP BY item, item_id, row, doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scored WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
 """,
     "op4_url_filters": """
 WITH u AS (
