@@ -19,6 +19,7 @@ from saleslane.llm import (
     quality_rules,
     simhash_dedup,
     substring_dedup,
+    token_alignment,
     toxicity,
     url_filters,
     warc,
@@ -81,14 +82,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
-def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_alignment.digests(table(spark, sf_dir, "documents"), a, b)
 
 
 def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_warc": op2_warc,
@@ -100,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_packing": op10_packing,
+    "op11_token_alignment": op11_token_alignment,
     "op12_embedding_dedup": op12_embedding_dedup,
     "op13_lexical_search": op13_lexical_search,
 }

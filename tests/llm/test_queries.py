@@ -7,7 +7,7 @@ from oracle_compare import connect, differences
 import __spark_entry__ as entry_points
 from saleslane.llm.catalog import ORACLE_SQL, QUERIES
 
-NAMES = [f"op{n}" for n in range(1, 11)]
+NAMES = [f"op{n}" for n in range(1, 14)]
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +22,7 @@ def run(spark, sf_dir, number):
 
 def test_all_are_registered():
     registered = entry_points.queries()
-    assert [sum(name.startswith(f"{n}_") for name in registered) for n in NAMES] == [1] * 10
+    assert [sum(name.startswith(f"{n}_") for name in registered) for n in NAMES] == [1] * 13
     assert registered["pipeline"] is corpus_pipeline.run
     assert set(ORACLE_SQL) <= set(entry_points.oracle_sql())
 

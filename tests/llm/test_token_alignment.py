@@ -1,0 +1,203 @@
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from saleslane.llm import token_alignment
+from saleslane.llm.catalog import QUERIES
+from saleslane.llm.merge_path import PairTable, corners, groups_of, merged
+from saleslane.llm.token_alignment import ByteLevel, Pieces, digests, encoded, groups, link_counts
+
+A, B = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+
+
+def plain_tokens():
+    """Encodes a text with the libraries: ids and bytes of the tokens of both sides."""
+    tokenizer = Tokenizer.from_file(A)
+    tokenizer.encode_special_tokens = True
+    model = sentencepiece.SentencePieceProcessor(model_file=B)
+    # the usual table of byte-level BPE, by its description
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = dict(zip(map(chr, visible), visible, strict=True))
+    for byte in range(256):
+        if byte not in visible:
+            letters[chr(256 + len(letters) - len(visible))] = byte
+
+    def of_b(i):
+        piece = model.id_to_piece(i)
+        return bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.replace("▁", " ").encode()
+
+    def tokens(text):
+        if not text:
+            return [], [], [], []
+        a = tokenizer.encode(" " + text, add_special_tokens=False).ids
+        b = model.encode(text)
+        a_bytes = [bytes(letters[c] for c in tokenizer.id_to_token(i)) for i in a]
+        b_bytes = [of_b(i) for i in b]
+        if b"".join(a_bytes) != (" " + text).encode() or b"".join(b_bytes) != (" " + text).encode():
+            return [], [], [], []
+        return a, b, a_bytes, b_bytes
+
+    return tokens
+
+
+def ranges(tokens):
+    out, at = [], 0
+    for token in tokens:
+        out.append((at, at + len(token)))
+        at += len(token)
+    return out
+
+
+def overlapping(a, b, ra, rb):
+    """Pairs of ids whose ranges overlap, by comparing every A token with every B token."""
+    return [(x, y) for x, p in zip(a, ra, strict=True) for y, q in zip(b, rb, strict=True) if p[0] < q[1] and q[0] < p[1]]
+
+
+def overlapping_by_bytes(a, b, ra, rb):
+    """The same by the two tokens that every byte belongs to."""
+    owners = [[i for i, (low, high) in enumerate(r) for _ in range(low, high)] for r in (ra, rb)]
+    return [(a[i], b[j]) for i, j in set(zip(*owners, strict=True))]
+
+
+def brute(rows, overlapping=overlapping):
+    """The result in plain Python."""
+    tokens = plain_tokens()
+    found, counts = [], Counter()
+    for doc_id, text in rows:
+        a, b, a_bytes, b_bytes = tokens(text)
+        ra, rb = ranges(a_bytes), ranges(b_bytes)
+        links = overlapping(a, b, ra, rb)
+        counts.update(links)
+        cuts = [0, *sorted({e for _, e in ra} & {e for _, e in rb})]
+        parts = []
+        number = {low: n for n, low in enumerate(cuts[:-1])}
+        inside = [([], []) for _ in number]
+        for side, ids, spans in ((0, a, ra), (1, b, rb)):
+            at = -1
+            for i, (low, _) in zip(ids, spans, strict=True):
+                at = number.get(low, at)
+                inside[at][side].append(str(i))
+        parts = [f"{','.join(x)}|{','.join(y)}" for x, y in inside]
+        found.append((doc_id, len(a), len(b), parts, links))
+    top = {}
+    for (_, y), n in counts.items():
+        top[y] = max(n, top.get(y, 0))
+    out = []
+    for doc_id, n_a, n_b, parts, links in found:
+        best = sum(counts[link] == top[link[1]] for link in links)
+        sha = hashlib.sha256(";".join(parts).encode()).hexdigest() if n_a else ""
+        out.append((doc_id, n_a, n_b, len(parts), len(links), best, sum(counts[x] for x in links), sha))
+    return sorted(out, key=str)
+
+
+def result(df):
+    return sorted(map(tuple, digests(df, A, B).collect()), key=str)
+
+
+TEXTS = [
+    None, "", " ", "  ", "a", "Hello world, it's 12345 o'clock.", "<|endoftext|> and <s> </s> <unk> <0x41>",
+    "déjà vu — naïve café", "漢字かな交じり文 and ASCII", "𝔘𝔫𝔦𝔠𝔬𝔡𝔢 \U0001f600\U0001f600", "a▁b", "tabs\tand\n\nlines \r\n",
+    "x" * 300, "ab " * 200, "trailing space ", " leading", "\x00\x01\x7f", "ﬁ ½ Å Å", "　wide space", "é" * 50,
+]
+
+
+def texts(rng, count):
+    alphabet = "abcdeé漢 \n.,'1𝔘"
+    return ["".join(rng.choice(alphabet) for _ in range(rng.choice([1, 5, 60]))) for _ in range(count)]
+
+
+def test_against_all_pairs(documents, monkeypatch):
+    rows = list(enumerate(TEXTS + texts(random.Random(1), 60)))
+    rows += [(3, "Hello world"), (5, TEXTS[5]), (5, TEXTS[5]), (None, "no id"), (None, None)]
+    expected = brute(rows)
+    for clashing in (False, True):
+        assert result(documents(rows, clashing)) == expected
+    for name, value in {"TOKENS": 50, "HELD_PAIRS": 40, "SENT_PAIRS": 100}.items():
+        monkeypatch.setattr(token_alignment, name, value)
+    assert result(documents(rows).repartition(3)) == expected
+
+
+def test_query(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    expected = brute([tuple(r) for r in docs.collect()], overlapping_by_bytes)
+    assert sorted(map(tuple, QUERIES["op11_token_alignment"](spark, sf_dir).collect()), key=str) == expected
+
+
+def test_empty(documents):
+    assert result(documents([])) == []
+    assert result(documents([(1, None)])) == [(1, 0, 0, 0, 0, 0, 0, "")]
+
+
+def test_long_text(documents):
+    rng = random.Random(2)
+    text = " ".join(texts(rng, 3000)) + "y" * 20_000 + " " * 20_000
+    (row,) = digests(documents([(1, text)]), A, B).collect()
+    a, b, a_bytes, b_bytes = plain_tokens()(text)
+    common = {e for _, e in ranges(a_bytes)} & {e for _, e in ranges(b_bytes)}
+    assert (row["n_a"], row["n_b"], row["n_groups"]) == (len(a), len(b), len(common))
+    assert row["n_links"] == len(a) + len(b) - len(common)
+
+
+def test_groups_and_counts(documents):
+    rows = [(1, "Hello wonderful world"), (2, ""), (3, "wonderful")]
+    tokens = encoded(documents(rows), A, B)
+    made = {r["doc_id"]: [(g["a"], g["b"]) for g in r["groups"]] for r in groups(tokens, A, B).collect()}
+    plain = plain_tokens()
+    for doc_id, text in rows:
+        a, b, *_ = plain(text)
+        assert [x for g in made[doc_id] for x in g[0]] == a and [x for g in made[doc_id] for x in g[1]] == b
+    counts = link_counts(tokens, A, B).collect()
+    assert len({(r["a"], r["b"]) for r in counts}) == len(counts) and any(r["best"] for r in counts)
+
+
+def test_ids_are_those_of_the_libraries():
+    rng = random.Random(4)
+    everything = ["".join(map(chr, range(at, at + 500))) for at in range(0x20, 0xD000, 499)]
+    many = [t for t in TEXTS if t] + texts(rng, 500) + everything
+    tokenizer = Tokenizer.from_file(A)
+    tokenizer.encode_special_tokens = True
+    plain = [e.ids for e in tokenizer.encode_batch(many, add_special_tokens=False)]
+    assert ByteLevel(A).encode(many) == plain
+    side = Pieces(B)
+    assert side.tokens[3 + 0x41] == b"A" and len(side.tokens) == 32000
+
+
+@pytest.mark.parametrize("piece", [1, 2, 3, 7, 256])
+def test_paths(piece):
+    rng = random.Random(piece)
+    for size in (1, 2, 10, 400):
+        a = np.array(sorted({*rng.sample(range(1, size + 1), rng.randint(0, size)), size}))
+        b = np.array(sorted({*rng.sample(range(1, size + 1), rng.randint(0, size)), size}))
+        order = sorted([(e, 0) for e in a] + [(e, 1) for e in b])
+        diagonals = np.arange(len(order) + 1)
+        assert corners(a, b, diagonals).tolist() == [sum(s == 0 for _, s in order[:d]) for d in diagonals]
+        path = merged(a, b, piece)
+        starts_a, starts_b = np.append(0, a[:-1]), np.append(0, b[:-1])
+        overlaps = [
+            (i, j) for i in range(len(a)) for j in range(len(b)) if starts_a[i] < b[j] and starts_b[j] < a[i]
+        ]
+        assert sorted(zip(path.a[path.link].tolist(), path.b[path.link].tolist(), strict=True)) == overlaps
+        common = sorted(set(a.tolist()) & set(b.tolist()))
+        made = groups_of(path, len(a), len(b))
+        assert made.count == len(common)
+        assert made.of_a.tolist() == [sum(c < e for c in common) for e in a]
+        assert made.of_b.tolist() == [sum(c < e for c in common) for e in b]
+
+
+def test_pair_table():
+    rng = np.random.default_rng(1)
+    keys = rng.permutation(np.unique(rng.integers(0, 1 << 31, 5000)))
+    counts, best = rng.integers(1, 99, len(keys)), rng.random(len(keys)) < 0.5
+    table = PairTable(keys, counts, best)
+    found = table.find(keys)
+    assert (found[0] == counts).all() and (found[1] == best).all()
+    missing = np.setdiff1d(rng.integers(0, 1 << 31, 1000), keys)
+    assert not table.find(missing)[0].any() and not table.find(missing)[1].any()
+    none = PairTable(keys[:0], counts[:0], best[:0])
+    assert none.find(keys)[0].sum() == 0
