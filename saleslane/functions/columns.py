@@ -53,6 +53,25 @@ def spend_tier(
     return tier.otherwise(lowest)
 
 
+# Text that a folder name would not give back: Spark names the folder of null and of the empty text so.
+NO_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+ESCAPE = "~"
+
+
+def escaped(name: str) -> Column:
+    """Text as a folder name can hold it: the empty text, NO_FOLDER, and text that begins with ESCAPE
+    get an ESCAPE in front; null and all other text stay as they are."""
+    text = quoted(name)
+    odd = (text == "") | (text == NO_FOLDER) | text.startswith(ESCAPE)
+    return F.when(odd, F.concat(F.lit(ESCAPE), text)).otherwise(text)
+
+
+def unescaped(name: str) -> Column:
+    """The text that ``escaped`` was given."""
+    text = quoted(name)
+    return F.when(text.startswith(ESCAPE), F.substring(text, 2, 2**31 - 1)).otherwise(text)
+
+
 def is_missing(field: StructField) -> Column:
     """Null, or NaN where the type has NaN. The string 'NaN' is not missing."""
     column = quoted(field.name)

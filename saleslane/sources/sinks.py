@@ -7,9 +7,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from saleslane.functions.columns import escaped
 from saleslane.jvm import qualified
 from saleslane.session import parallelism, setting
+from saleslane.sources.publish import Publication, split_path
 
 log = logging.getLogger(__name__)
 
@@ -43,8 +46,32 @@ def write_layer(
     few_rows: bool = False,
     file_target: str = FILE_TARGET,
     max_records_per_file: int | None = None,
+    lossless: bool = False,
 ) -> int:
-    """Overwrite ``path`` with parquet and return the number of rows written.
+    """Replace ``path`` by parquet and return the number of rows written.
+
+    The new version is published when it is complete; until then, and if the write fails or is
+    killed, the old one stays readable. See `write_version` for the other options.
+    """
+    parent, name = split_path(path)
+    with Publication(df.sparkSession, parent) as out:
+        return write_version(
+            df, out, name, partitions, rebalance, few_rows, file_target, max_records_per_file, lossless
+        )
+
+
+def write_version(
+    df: DataFrame,
+    out: Publication,
+    name: str,
+    partitions: Sequence[str] = (),
+    rebalance: bool = True,
+    few_rows: bool = False,
+    file_target: str = FILE_TARGET,
+    max_records_per_file: int | None = None,
+    lossless: bool = False,
+) -> int:
+    """Write the version of a folder that ``out`` will publish; return the number of rows.
 
     Without rebalancing, every task writes a file into every partition folder it has rows for.
     Rebalancing brings rows of a folder together, while adaptive execution splits large folders
@@ -52,10 +79,15 @@ def write_layer(
     Where folders hold a handful of rows each (``few_rows``), the time goes into creating files;
     then folders are dealt out over all tasks that the cluster runs at once, not merged into one.
     The count sits right below the write, where Spark counts each task once, so it stays exact
-    when executors are lost.
+    when executors are lost. ``lossless`` writes text that folder names cannot hold, such as the empty
+    text, in another form, which `read_layer` turns back; other values keep their folder names.
     """
+    spark = df.sparkSession
+    texts = [c for c in partitions if df.schema[c].dataType == StringType()]
+    escapes = texts if lossless and out.files is not None else []
+    df = df.withColumns({c: escaped(c) for c in escapes}) if escapes else df
     if partitions and few_rows:
-        df = df.repartition(parallelism(df.sparkSession), *partitions)
+        df = df.repartition(parallelism(spark), *partitions)
     elif partitions and rebalance:
         df = df.hint("rebalance", *partitions)
     df, written = counted(df, "written")
@@ -64,13 +96,19 @@ def write_layer(
         writer = writer.partitionBy(*partitions)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    with setting(df.sparkSession, ADVISORY_SIZE, file_target):
-        writer.parquet(path)
+    with setting(spark, ADVISORY_SIZE, file_target):
+        writer.parquet(out.stage(name, escaped=escapes))
     rows = rows_of(written)
-    log.info("wrote %d rows to %s", rows, path)
+    log.info("wrote %d rows to %s/%s", rows, out.parent, name)
     return rows
 
 
 def write_report(df: DataFrame, path: str) -> None:
-    """Overwrite ``path`` with a report of few rows (checks, profiles, metrics) as one file."""
-    df.coalesce(1).write.mode("overwrite").parquet(path)
+    """Replace ``path`` by a report of few rows (checks, profiles, metrics) as one file."""
+    parent, name = split_path(path)
+    with Publication(df.sparkSession, parent) as out:
+        write_report_version(df, out, name)
+
+
+def write_report_version(df: DataFrame, out: Publication, name: str) -> None:
+    df.coalesce(1).write.mode("overwrite").parquet(out.stage(name))

@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from saleslane.functions.columns import unescaped
 from saleslane.schema import define_schema
 from saleslane.session import setting
+from saleslane.sources.publish import current
 
 # Partition columns that hold whole numbers.
 NUMBER_PARTITIONS = ("year", "month")
@@ -115,10 +117,23 @@ def read_layer(
 ) -> DataFrame:
     """Parquet layer with its partition columns last.
 
+    The published version is read, also while it still waits to be moved into place.
     Partition values keep their text (region ``007`` stays ``007``); year and month are
     numbers. With a schema, nothing is inferred and no footer is read for it. A partitioned layer
     without rows has no files to infer from; it is read with the schema that ``if_empty`` gives.
     """
+    layer = current(spark, path)
+    df = _read(spark, layer.path, schema, if_empty)
+    columns = {c: unescaped(c) for c in layer.note.get("escaped", ()) if c in df.columns}
+    return df.withColumns(columns) if columns else df
+
+
+def _read(
+    spark: SparkSession,
+    path: str,
+    schema: StructType | None,
+    if_empty: Callable[[], StructType] | None,
+) -> DataFrame:
     if schema is not None:
         return spark.read.schema(schema).parquet(path)
     try:
