@@ -11,7 +11,7 @@ import json
 from collections.abc import Iterable, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleslane.functions.columns import (
@@ -34,9 +34,10 @@ def report_row(**values: Column | str | None) -> Column:
     return F.struct(*fields)
 
 
-def kept(few: DataFrame) -> DataFrame:
-    """The same rows without their plan; for a single aggregated row, which the driver can hold."""
-    return few.sparkSession.createDataFrame(few.collect(), few.schema)
+def kept(few: DataFrame, spark: SparkSession | None = None) -> DataFrame:
+    """The same rows without their plan, in ``spark`` if it is another session; for a single aggregated
+    row, which the driver can hold."""
+    return (spark or few.sparkSession).createDataFrame(few.collect(), few.schema)
 
 
 class TableAudit:
@@ -72,9 +73,9 @@ class TableAudit:
             ]
         return found
 
-    def measured(self) -> TableAudit:
-        """Run the scan now and go on from its one row of measures."""
-        self.measures = kept(self.measures)
+    def measured(self, spark: SparkSession | None = None) -> TableAudit:
+        """Run the scan now and go on, in ``spark`` if given, from its one row of measures."""
+        self.measures = kept(self.measures, spark)
         return self
 
     def results(self, table_rules: Iterable[Rule] = ()) -> DataFrame:

@@ -77,6 +77,45 @@ def create_aggregations(df: DataFrame) -> tuple[DataFrame, ...]:
     return tuple(summary.of(df) for summary in SUMMARIES)
 
 
+SUMMARY_SET = "_set"
+
+
+class SummarySets:
+    """Several summaries from one scan and one shuffle, as grouping sets.
+
+    Every row is grouped by the keys of each summary within its task, so the scan is read once, and only
+    groups reach the shuffle. A measure that several summaries ask for is computed once.
+    """
+
+    def __init__(self, summaries: Sequence[Summary] = SUMMARIES):
+        self.summaries = tuple(summaries)
+        self.keys = list(dict.fromkeys(k for s in self.summaries for k in s.keys))
+        wanted = dict.fromkeys(m for s in self.summaries for m in s.measures.values())
+        # named by number, so no measure can collide with a key
+        self._measures = {measure: f"_measure_{i}" for i, measure in enumerate(wanted)}
+        self._ids = {s.name: self._set_id(s) for s in self.summaries}
+        if len(set(self._ids.values())) < len(self.summaries):
+            raise ValueError("summaries with the same keys are one grouping set")
+
+    def _set_id(self, summary: Summary) -> int:
+        """What grouping_id gives the rows of a summary: a bit for each key that it does not have."""
+        return sum(1 << i for i, k in enumerate(reversed(self.keys)) if k not in summary.keys)
+
+    def of(self, df: DataFrame) -> DataFrame:
+        """The groups of all summaries; SUMMARY_SET says whose group a row is."""
+        measures = [
+            getattr(F, aggregate)(F.col(column)).alias(name)
+            for (aggregate, column), name in self._measures.items()
+        ]
+        sets = [[F.col(k) for k in s.keys] for s in self.summaries]
+        return df.groupingSets(sets, *self.keys).agg(F.grouping_id().alias(SUMMARY_SET), *measures)
+
+    def rows(self, groups: DataFrame, summary: Summary) -> DataFrame:
+        """The rows of one summary among the groups of all."""
+        measures = [F.col(self._measures[m]).alias(output) for output, m in summary.measures.items()]
+        return groups.where(F.col(SUMMARY_SET) == self._ids[summary.name]).select(*summary.keys, *measures)
+
+
 def customer_summary_of_lines(
     lines: DataFrame,
     tiers: Sequence[tuple[str, float]] = SPEND_TIERS,

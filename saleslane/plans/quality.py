@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import logging
+from dataclasses import dataclass
+from functools import reduce
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
@@ -10,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from saleslane.operators.audit import kept
+from saleslane.operators.audit import TableAudit, kept
 from saleslane.operators.integrity import check_referential_integrity
 from saleslane.operators.report import (
     audit_table,
@@ -24,8 +26,9 @@ from saleslane.operators.report import (
 from saleslane.operators.summaries import SUMMARIES
 from saleslane.plans.transformation import TRANSFORMED, known_schemas
 from saleslane.schema import quality_results_schema
-from saleslane.session import shuffles_sized_for
-from saleslane.sources.sinks import write_report
+from saleslane.session import shuffles_sized_for, side_by_side
+from saleslane.sources.publish import Publication
+from saleslane.sources.sinks import write_report_version
 from saleslane.sources.tables import read_layer
 
 log = logging.getLogger(__name__)
@@ -48,31 +51,45 @@ def is_unreadable(error: Exception) -> bool:
     return any(name in text for name in UNREADABLE)
 
 
+@dataclass
+class Checked:
+    """What was found in one dataset; without an audit it could not be read."""
+
+    name: str
+    audit: TableAudit | None = None
+    duplicates: DataFrame | None = None
+
+
 def audit_datasets(
     spark: SparkSession, input_path: str, as_of=None, schema: StructType | None = None
 ) -> tuple[DataFrame, list[DataFrame], list[str]]:
     """Check rows of all datasets, the profiles of those that could be checked, and the other names.
 
-    Each dataset is scanned at once, and its row of measures kept on the driver: an unreadable
-    dataset does not hide the others, and writing two reports costs one scan.
+    The datasets are scanned side by side, each once, and their rows of measures kept on the driver: an
+    unreadable dataset does not hide the others, and writing two reports costs one scan.
     """
-    checks, profiles, unreadable = [], [], []
-    for name in DATASETS:
+    schemas = known_schemas(schema, spark)
+
+    def audited(own: SparkSession, name: str) -> Checked:
         try:
-            path = f"{input_path}/{name}"
-            df = read_layer(spark, path, if_empty=lambda name=name: known_schemas(schema)[name])
-            audit = audit_table(df, name, as_of).measured()
+            df = read_layer(own, f"{input_path}/{name}", if_empty=lambda: schemas[name])
+            audit = audit_table(df, name, as_of).measured(spark)
             with shuffles_sized_for(df):
-                duplicates = kept(check_referential_integrity(df, name))
+                return Checked(name, audit, kept(check_referential_integrity(df, name), spark))
         except (PySparkException, Py4JError) as error:
             if not is_unreadable(error):
                 raise
             log.warning("could not check %s: %s", name, error)
-            checks.append(unreadable_dataset(spark, name))
-            unreadable.append(name)
-            continue
-        checks += [audit.results(), duplicates]
-        profiles.append(audit.profile())
+            return Checked(name)
+
+    checks, profiles, unreadable = [], [], []
+    for found in side_by_side(spark, audited, DATASETS):
+        if found.audit is None:
+            checks.append(unreadable_dataset(spark, found.name))
+            unreadable.append(found.name)
+        else:
+            checks += [found.audit.results(), found.duplicates]
+            profiles.append(found.audit.profile())
     return union_checks(checks), profiles, unreadable
 
 
@@ -96,19 +113,19 @@ def run_quality(
 ) -> DataFrame:
     """Check the four tables under ``input_path`` and return the failed checks.
 
-    Report and profiles are both saved before the gate may stop the run. It stops on critical
+    Report and profiles are published together, before the gate may stop the run. It stops on critical
     failures and on tables that could not be checked; ``allow_unreadable`` goes on without those,
     as long as one table could be checked. ``schema`` is the raw one where it is not the sales schema.
     """
     checks, profiles, unreadable = audit_datasets(spark, input_path, as_of, schema)
     results_path = f"{input_path}/quality_results"
-    write_report(stamp(checks, date), results_path)
+    with Publication(spark, input_path) as out:
+        write_report_version(stamp(checks, date), out, "quality_results")
+        if profiles:
+            all_profiles = reduce(DataFrame.unionByName, profiles)
+            write_report_version(all_profiles, out, "data_profiles")
     if not profiles:
         raise QualityFailure(f"no dataset under {input_path} could be checked")
-    all_profiles = profiles[0]
-    for profile in profiles[1:]:
-        all_profiles = all_profiles.unionByName(profile)
-    write_report(all_profiles, f"{input_path}/data_profiles")
 
     if unreadable and not allow_unreadable:
         raise QualityFailure(f"could not be checked: {', '.join(unreadable)}")

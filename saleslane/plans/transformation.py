@@ -7,20 +7,23 @@ from pyspark.sql.types import StructType
 
 from saleslane.functions.columns import MONEY_SCALE
 from saleslane.operators.enrich import transform_sales_data
-from saleslane.operators.summaries import SUMMARIES
+from saleslane.operators.summaries import SUMMARIES, SUMMARY_SET, SummarySets
 from saleslane.plans.stage import StageMetrics
 from saleslane.schema import processed_schema
 from saleslane.session import shuffles_sized_for
-from saleslane.sources.sinks import refuse_overlap, write_layer
-from saleslane.sources.tables import read_layer
+from saleslane.sources.publish import Publication
+from saleslane.sources.sinks import refuse_overlap, write_version
+from saleslane.sources.tables import read_layer, read_version
 
 TRANSFORMED = "transformed_sales"
 TRANSFORMED_PARTITIONS = ("region", "year", "month")
 
 
-def known_schemas(raw: StructType | None = None) -> dict[str, StructType]:
+def known_schemas(
+    raw: StructType | None = None, spark: SparkSession | None = None
+) -> dict[str, StructType]:
     """Schemas of the transformed tables, for those that hold no row to infer them from."""
-    spark = SparkSession.active()
+    spark = spark or SparkSession.active()
     fact = transform_sales_data(spark.createDataFrame([], processed_schema(raw)))
     tables = {TRANSFORMED: fact} | {summary.name: summary.of(fact) for summary in SUMMARIES}
     return {name: df.schema for name, df in tables.items()}
@@ -35,31 +38,40 @@ def run_transformation(
     schema: StructType | None = None,
     money_scale: int | None = MONEY_SCALE,
 ) -> list[StageMetrics]:
-    """Write the sales fact, then the summaries from the written fact.
+    """Write the sales fact and, from one scan of it, the three summaries; publish all four at once.
 
     ``schema`` is the raw one where it is not the sales schema; it tells the columns of a day without
     usable rows. ``money_scale`` is the precision at which totals are compared with tier bounds.
 
-    The join behind the customer totals runs once. Each summary scans only its own columns of
-    the written table, and an executor lost meanwhile costs no more than those scans.
+    The join behind the customer totals runs once. The summaries come from the written fact in one
+    shuffle, and their groups are kept beside them until all are written, so an executor lost
+    meanwhile costs no more than a part of that. Readers see four new tables or four old ones.
     """
     refuse_overlap(spark, input_path, output_path)
     processed = read_layer(spark, input_path, if_empty=lambda: processed_schema(schema))
     rows_in = processed.count()  # answered from parquet footers, no column is read
     transformed = transform_sales_data(processed, money_scale=money_scale)
-    fact_path = f"{output_path}/{TRANSFORMED}"
-    with shuffles_sized_for(processed):
-        rows = write_layer(transformed, fact_path, TRANSFORMED_PARTITIONS, rebalance)
-    metrics = [StageMetrics("transformation", TRANSFORMED, rows_in, rows, date)]
+    with Publication(spark, output_path) as out:
+        with shuffles_sized_for(processed):
+            rows = write_version(
+                transformed, out, TRANSFORMED, TRANSFORMED_PARTITIONS, rebalance, lossless=True
+            )
+        metrics = [StageMetrics("transformation", TRANSFORMED, rows_in, rows, date)]
 
-    fact = read_layer(spark, fact_path, transformed.schema)
-    for summary in SUMMARIES:
-        path = f"{output_path}/{summary.name}"
+        fact = read_version(spark, out.layer(TRANSFORMED), transformed.schema)
+        sets = SummarySets()
         with shuffles_sized_for(fact):
-            groups = write_layer(
-                summary.of(fact), path, summary.partitions, rebalance, summary.few_rows
+            groups = sets.of(fact)
+            groups.write.partitionBy(SUMMARY_SET).parquet(out.work("summaries"))
+        groups = spark.read.schema(groups.schema).parquet(out.work("summaries"))
+        for summary in SUMMARIES:
+            found = sets.rows(groups, summary)
+            with shuffles_sized_for(found):
+                written = write_version(
+                    found, out, summary.name, summary.partitions, rebalance, summary.few_rows,
+                    lossless=True,
+                )
+            metrics.append(
+                StageMetrics("transformation", summary.name, rows, written, date, filters=False)
             )
-        metrics.append(
-            StageMetrics("transformation", summary.name, rows, groups, date, filters=False)
-        )
     return metrics

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from saleslane.jvm import estimated_bytes
 
+T, R = TypeVar("T"), TypeVar("R")
+
 # Cluster size, memory and the number of shuffle partitions belong to spark-submit;
 # only settings the jobs depend on are named here.
 # The last size lets adaptive execution hash a join side instead of sorting both sides, where
@@ -62,6 +67,31 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
+def child_session(spark: SparkSession) -> SparkSession:
+    """A session on the same cluster with options of its own, which begin as those of ``spark``."""
+    child = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key) and child.conf.get(key, None) != value:
+            child.conf.set(key, value)
+    return child
+
+
+def side_by_side(
+    spark: SparkSession, work: Callable[[SparkSession, T], R], items: Sequence[T], at_once: int = 4
+) -> list[R]:
+    """``work`` on every item, up to ``at_once`` at a time, each in a child session.
+
+    The jobs share the cluster; options that one of them sets hold for that one alone. Results are in the
+    order of the items. The first error, in that order, is raised when all have ended.
+    """
+    with ThreadPoolExecutor(max(1, min(at_once, len(items)))) as pool:
+        started = [
+            pool.submit(inheritable_thread_target(spark)(work), child_session(spark), item)
+            for item in items
+        ]
+    return [one.result() for one in started]
+
+
 def partitions_for(size: int, target: int = SHUFFLE_TARGET) -> tuple[int, int]:
     """(number of shuffle partitions, bytes in each) for an input of ``size`` bytes.
 

@@ -107,6 +107,18 @@ class Publication:
         self._notes[name] = note
         return f"{self.hidden}/{self._staged[name]}"
 
+    def layer(self, name: str) -> Layer:
+        """A staged version, to be read before it is published."""
+        if self.files is None:
+            return Layer(f"{self.parent}/{name}", {})
+        return Layer(f"{self.hidden}/{self._staged[name]}", self._notes[name])
+
+    def adopt(self, name: str, folder: str, **note: object) -> None:
+        """Let what has been written to ``folder``, if anything, be the new version of ``name``."""
+        path = self.stage(name, **note)
+        if self.files.exists(folder):
+            self.files.move(folder, path)
+
     def work(self, name: str) -> str:
         """A folder for what is written on the way to ``name``; it goes when the block ends."""
         beside = self.hidden if self.files else self.parent

@@ -13,7 +13,7 @@ from pyspark.sql.types import StringType, StructType
 from saleslane.functions.columns import unescaped
 from saleslane.schema import define_schema
 from saleslane.session import setting
-from saleslane.sources.publish import current
+from saleslane.sources.publish import Layer, current
 
 # Partition columns that hold whole numbers.
 NUMBER_PARTITIONS = ("year", "month")
@@ -122,8 +122,17 @@ def read_layer(
     numbers. With a schema, nothing is inferred and no footer is read for it. A partitioned layer
     without rows has no files to infer from; it is read with the schema that ``if_empty`` gives.
     """
-    layer = current(spark, path)
-    df = _read(spark, layer.path, schema, if_empty)
+    return read_version(spark, current(spark, path), schema, if_empty)
+
+
+def read_version(
+    spark: SparkSession,
+    layer: Layer,
+    schema: StructType | None = None,
+    if_empty: Callable[[], StructType] | None = None,
+) -> DataFrame:
+    """One version of a layer, published or not, as `read_layer` reads it."""
+    df = _read(spark, layer.path, schema, if_empty).drop(*layer.note.get("internal", ()))
     columns = {c: unescaped(c) for c in layer.note.get("escaped", ()) if c in df.columns}
     return df.withColumns(columns) if columns else df
 
