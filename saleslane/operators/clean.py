@@ -26,6 +26,20 @@ def usable_row(
     return reduce(and_, conditions, F.lit(True))
 
 
+def rejections(
+    required: Sequence[str] = REQUIRED, positive: Sequence[str] = POSITIVE
+) -> Column:
+    """Why a row is not usable, as texts in the order of the rules; none for a usable row."""
+    reasons = [F.when(F.col(name).isNull(), F.lit(f"{name} is missing")) for name in required]
+    reasons += [
+        F.when(F.col(name).isNull(), F.lit(f"{name} is missing")).when(
+            ~(F.col(name) > 0), F.lit(f"{name} is not above zero")
+        )
+        for name in positive
+    ]
+    return F.array_compact(F.array(*reasons)) if reasons else F.array().cast("array<string>")
+
+
 def keep_usable_rows(
     df: DataFrame, required: Sequence[str] = REQUIRED, positive: Sequence[str] = POSITIVE
 ) -> DataFrame:
@@ -41,6 +55,10 @@ def fill_missing(
     return df.withColumns(filled) if filled else df
 
 
+def with_processing_time(df: DataFrame) -> DataFrame:
+    return df.withColumn("processed_at", F.current_timestamp())
+
+
 def clean_data(
     df: DataFrame,
     required: Sequence[str] = REQUIRED,
@@ -50,4 +68,4 @@ def clean_data(
 ) -> DataFrame:
     """Usable rows with gaps filled and the time of processing added."""
     usable = fill_missing(keep_usable_rows(df, required, positive), filled, fill_value)
-    return usable.withColumn("processed_at", F.current_timestamp())
+    return with_processing_time(usable)

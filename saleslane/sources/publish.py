@@ -102,7 +102,8 @@ class Publication:
         settle(self.files, self.parent, name)
         left = re.compile(rf"_{re.escape(name)}-[0-9]{{15}}-[0-9a-f]{{8}}(-old|-work|-new)?")
         for folder in filter(left.fullmatch, self.files.names(self.hidden)):
-            self.files.remove(f"{self.hidden}/{folder}")
+            if self.version not in folder:
+                self.files.remove(f"{self.hidden}/{folder}")
         self._staged[name] = f"_{name}-{self.version}"
         self._notes[name] = note
         return f"{self.hidden}/{self._staged[name]}"
@@ -118,6 +119,8 @@ class Publication:
         path = self.stage(name, **note)
         if self.files.exists(folder):
             self.files.move(folder, path)
+        else:
+            self.files.write(f"{path}/_SUCCESS", "")
 
     def work(self, name: str) -> str:
         """A folder for what is written on the way to ``name``; it goes when the block ends."""

@@ -103,6 +103,58 @@ def write_version(
     return rows
 
 
+OUTCOME, KEPT, REJECTED = "_outcome", "kept", "rejected"
+LINE, REASONS = "_line", "_reasons"
+
+
+def write_split(
+    rows: DataFrame,
+    why: str,
+    text: str,
+    out: Publication,
+    name: str,
+    rejects: Publication,
+    rejects_name: str,
+    partitions: Sequence[str],
+    rebalance: bool = False,
+) -> tuple[int, int]:
+    """Write a layer and the lines that do not belong to it in one pass; return how many of each.
+
+    Column ``why`` says why a row is rejected, as texts. A row without a reason goes to the layer, with its
+    other columns, and any other to the lines: column ``text`` as LINE, and its REASONS. Nothing
+    is shuffled unless ``rebalance`` asks for it.
+    """
+    spark = rows.sparkSession
+    plain = [c for c in rows.columns if c not in (why, text)]
+    escapes = [c for c in partitions if rows.schema[c].dataType == StringType()]
+    is_kept = F.size(why) == 0
+    rows = rows.select(
+        *(F.when(is_kept, escaped(c) if c in escapes else F.col(c)).alias(c) for c in plain),
+        F.when(~is_kept, F.col(text)).alias(LINE),
+        F.when(~is_kept, F.col(why)).alias(REASONS),
+        F.when(is_kept, KEPT).otherwise(REJECTED).alias(OUTCOME),
+    )
+    folders = [OUTCOME, *partitions]
+    if rebalance:
+        rows = rows.hint("rebalance", *folders)
+    # right below the write, where Spark counts each task once
+    written = Observation("written")
+    rows = rows.observe(
+        written,
+        F.count_if(F.col(OUTCOME) == KEPT).alias(KEPT),
+        F.count_if(F.col(OUTCOME) == REJECTED).alias(REJECTED),
+    )
+    folder = out.work(name)
+    with setting(spark, ADVISORY_SIZE, FILE_TARGET):
+        rows.write.partitionBy(*folders).parquet(folder)
+    internal = [LINE, REASONS]
+    out.adopt(name, f"{folder}/{OUTCOME}={KEPT}", escaped=escapes, internal=internal)
+    rejects.adopt(rejects_name, f"{folder}/{OUTCOME}={REJECTED}")
+    counts = written.get
+    log.info("wrote %d rows to %s/%s, %d rejected", counts[KEPT], out.parent, name, counts[REJECTED])
+    return counts[KEPT], counts[REJECTED]
+
+
 def write_report(df: DataFrame, path: str) -> None:
     """Replace ``path`` by a report of few rows (checks, profiles, metrics) as one file."""
     parent, name = split_path(path)

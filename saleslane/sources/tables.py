@@ -125,6 +125,15 @@ def read_layer(
     return read_version(spark, current(spark, path), schema, if_empty)
 
 
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """(line, reasons) of the lines that ingestion has rejected: their text as read, and why.
+
+    Lines that fit the schema are written anew as CSV, the others are kept to the letter.
+    """
+    lines = spark.read.schema("_line string, _reasons array<string>").parquet(current(spark, path).path)
+    return lines.select(F.col("_line").alias("line"), F.col("_reasons").alias("reasons"))
+
+
 def read_version(
     spark: SparkSession,
     layer: Layer,
