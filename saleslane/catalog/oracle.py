@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from saleslane.catalog.queries import AS_OF, PROCESSING_DATE, TABLES, URL_PATTERN
+from saleslane.catalog.queries import AS_OF, LAST_YEARS, PROCESSING_DATE, TABLES, URL_PATTERN
 
 # Fixed text: the sales table with its deterministic defects.
 SALES = """
@@ -215,8 +215,8 @@ REPORT_TABLES = (
 )
 
 
-def report_rows() -> str:
-    parts = []
+def report_rows(*more: str) -> str:
+    parts = [*more]
     for table in REPORT_TABLES:
         parts.append(completeness(table, COLUMNS[table]))
         parts += validity(table, COLUMNS[table])
@@ -240,6 +240,73 @@ def profile(table: str, columns: Sequence[str], column_count: int) -> str:
     )
 
 
+def profiles(fact_columns: int) -> str:
+    """The profiles of the four tables; the fact has so many columns."""
+    return union(
+        [
+            profile(
+                "transformed_sales",
+                ["id", "quantity", "price", "total_amount", "year", "month", "day",
+                 "customer_total_spent"],
+                fact_columns,
+            ),
+            profile(
+                "daily_sales_summary",
+                ["year", "month", "day", "daily_revenue", "daily_transactions",
+                 "avg_transaction_amount"],
+                7,
+            ),
+            profile(
+                "customer_summary",
+                ["total_spent", "total_transactions", "avg_transaction_amount"],
+                7,
+            ),
+            profile(
+                "product_summary",
+                ["total_quantity_sold", "total_revenue", "total_orders", "avg_price"],
+                7,
+            ),
+        ]
+    )
+
+
+# The written fact has a column more than the query's: the time of processing, which is never missing.
+PROCESSED_AT = check(
+    "transformed_sales", "transformed_sales", "completeness", column="processed_at",
+    total="count(*)", nulls="0", rate="CASE WHEN count(*) > 0 THEN 100 ELSE 0 END",
+)
+WHY = ", ".join(
+    [f"CASE WHEN {c} IS NULL THEN '{c} is missing' END" for c in ("customer_id", "product_id")]
+    + [
+        f"CASE WHEN {c} IS NULL THEN '{c} is missing' WHEN NOT {c} > 0 THEN '{c} is not above zero' END"
+        for c in ("quantity", "price")
+    ]
+)
+SALES_DAY = (
+    f"CASE WHEN year(transaction_date) <= {LAST_YEARS[0]} THEN 1"
+    f" WHEN year(transaction_date) <= {LAST_YEARS[1]} THEN 2 ELSE 3 END"
+)
+TIER = (
+    "CASE WHEN customer_total_spent > 10000 THEN 'Premium' WHEN customer_total_spent > 5000"
+    " THEN 'Gold' WHEN customer_total_spent > 1000 THEN 'Silver' ELSE 'Bronze' END"
+)
+DELIVERED = f"""
+ SELECT sales_day, id FROM (SELECT id, {SALES_DAY} AS sales_day FROM sales_raw)
+ UNION ALL SELECT sales_day + 1, id FROM (SELECT id, {SALES_DAY} AS sales_day FROM sales_raw)
+ WHERE sales_day < 3 AND id % 97 = 0
+"""
+
+
+def repeated_over_days(day: int) -> str:
+    """Rows of a day less the ids that it is the first to bring."""
+    first = f"(SELECT min(sales_day) AS first_day FROM ({DELIVERED}) GROUP BY id)"
+    return check(
+        f"({DELIVERED}) WHERE sales_day = {day}", f"sales_day_{day}", "integrity",
+        "duplicate_ids_over_days", rule="id should be unique over days",
+        failed=f"count(*) - (SELECT count(*) FROM {first} WHERE first_day = {day})",
+    )
+
+
 LINE_RULES = "(l_quantity < 1 OR l_quantity > 45 OR l_discount > 0.08)"
 GOOD_ROW = (
     "customer_id IS NOT NULL AND product_id IS NOT NULL AND quantity > 0 AND price > 0"
@@ -284,32 +351,7 @@ def oracle_queries() -> dict[str, str]:
             " AS total_amount) FROM sales_lines)"
         ),
         "duplicate_ids": duplicates("sales_raw"),
-        "numeric_profile": union(
-            [
-                profile(
-                    "transformed_sales",
-                    ["id", "quantity", "price", "total_amount", "year", "month", "day",
-                     "customer_total_spent"],
-                    14,
-                ),
-                profile(
-                    "daily_sales_summary",
-                    ["year", "month", "day", "daily_revenue", "daily_transactions",
-                     "avg_transaction_amount"],
-                    7,
-                ),
-                profile(
-                    "customer_summary",
-                    ["total_spent", "total_transactions", "avg_transaction_amount"],
-                    7,
-                ),
-                profile(
-                    "product_summary",
-                    ["total_quantity_sold", "total_revenue", "total_orders", "avg_price"],
-                    7,
-                ),
-            ]
-        ),
+        "numeric_profile": profiles(14),
         "wide_profile": "SELECT 'sales_raw' AS table_name, count(*) AS total_records,"
         " CAST(8 AS INT) AS column_count, min(id) AS id_min, max(id) AS id_max,"
         " avg(id) AS id_avg, count(id) AS id_non_null_count, min(quantity) AS quantity_min,"
@@ -378,6 +420,19 @@ def oracle_queries() -> dict[str, str]:
                 ),
             ]
         ),
+        "job_fact": "SELECT * FROM transformed_sales",
+        "job_daily_summary": "SELECT * FROM daily_sales_summary",
+        "job_customer_summary": "SELECT * FROM customer_summary",
+        "job_product_summary": "SELECT * FROM product_summary",
+        "job_report": report_rows(PROCESSED_AT),
+        "job_profiles": profiles(15),
+        "rejected_lines": f"SELECT *, concat_ws('; ', {WHY}) AS reasons FROM sales_raw"
+        f" WHERE NOT coalesce({GOOD_ROW}, false)",
+        "running_customer_tier": f"SELECT *, {TIER} AS customer_category FROM ("
+        " SELECT id, customer_id, sales_day, round(sum(total_amount) OVER (PARTITION BY customer_id"
+        " ORDER BY sales_day RANGE UNBOUNDED PRECEDING), 2) AS customer_total_spent"
+        f" FROM (SELECT *, {SALES_DAY} AS sales_day FROM sales_lines))",
+        "duplicate_ids_over_days": union([repeated_over_days(day) for day in (1, 2, 3)]),
     }
     plain = {
         "completeness_by_table": union(

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saleslane.functions.columns import MONEY_SCALE, SPEND_TIERS, date_parts, line_amount, spend_tier
+from saleslane.operators.running import with_earlier
 
 # A customer is heavy with at least this many rows and this share of all rows. No more than
 # 1 / HEAVY_SHARE customers can have the share, which bounds what is broadcast.
@@ -28,6 +29,7 @@ def add_group_total(
     total: str,
     heavy_rows: int = HEAVY_ROWS,
     heavy_share: float = HEAVY_SHARE,
+    earlier: DataFrame | None = None,
 ) -> DataFrame:
     """Put the sum of ``amount`` over all rows of the same ``key`` on every row.
 
@@ -42,6 +44,7 @@ def add_group_total(
 
     The result does not depend on the limits, only the plan does: a heavy key beyond the bound of the
     broadcast stays in the other branch. ``df`` is read more than once, so it should be a table.
+    ``earlier`` holds totals of rows that are not in ``df`` (`saleslane.operators.running`); they count too.
     Without heavy keys the broadcast is empty and adaptive execution drops the first branch,
     so the rows are read once for the totals and once for the join.
     """
@@ -60,7 +63,8 @@ def add_group_total(
         .limit(math.floor(1 / heavy_share))
         .select("_key", total)
     )
-    rest = totals.where(F.col("_rows") > 0).select("_key", total)
+    heavy = with_earlier(heavy, "_key", total, earlier)
+    rest = with_earlier(totals.where(F.col("_rows") > 0).select("_key", total), "_key", total, earlier)
     same_key = F.col(key).eqNullSafe(F.col("_key"))
 
     in_heavy = df.join(F.broadcast(heavy), same_key, "inner")
@@ -68,8 +72,11 @@ def add_group_total(
     return in_heavy.unionByName(in_rest).drop("_key")
 
 
-def add_customer_total(df: DataFrame, **limits: float) -> DataFrame:
-    return add_group_total(df, "customer_id", "total_amount", "customer_total_spent", **limits)
+def add_customer_total(
+    df: DataFrame, earlier: DataFrame | None = None, **limits: float
+) -> DataFrame:
+    total = "customer_total_spent"
+    return add_group_total(df, "customer_id", "total_amount", total, earlier=earlier, **limits)
 
 
 def add_customer_tier(
@@ -85,10 +92,12 @@ def transform_sales_data(
     df: DataFrame,
     tiers: Sequence[tuple[str, float]] = SPEND_TIERS,
     money_scale: int | None = MONEY_SCALE,
+    earlier: DataFrame | None = None,
     **limits: float,
 ) -> DataFrame:
     """The sales fact with every derived column.
 
-    Totals and tiers cover the rows of ``df`` only: pass several days for lifetime tiers.
+    Totals and tiers cover the rows of ``df``, and what customers spent before if ``earlier`` has it.
     """
-    return add_customer_tier(add_customer_total(add_line_facts(df), **limits), tiers, money_scale)
+    totals = add_customer_total(add_line_facts(df), earlier, **limits)
+    return add_customer_tier(totals, tiers, money_scale)

@@ -44,6 +44,10 @@ class QualityFailure(RuntimeError):
     """Critical checks failed, or a table could not be checked."""
 
 
+class CriticalFailure(QualityFailure):
+    """Critical checks failed; the report is saved, and the same tables give it again."""
+
+
 def is_unreadable(error: Exception) -> bool:
     """Whether a table cannot be read, as against a job that failed or lost its executors."""
     condition = error.getCondition() if isinstance(error, PySparkException) else None
@@ -100,7 +104,7 @@ def gate(results: DataFrame) -> None:
     ).first()
     log.info("%d quality checks failed, %d of them critically", counts.failed, counts.critical)
     if counts.critical:
-        raise QualityFailure(f"Critical data quality issues found: {counts.critical} checks failed")
+        raise CriticalFailure(f"Critical data quality issues found: {counts.critical} checks failed")
 
 
 def run_quality(

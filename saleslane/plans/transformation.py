@@ -2,23 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from saleslane.functions.columns import MONEY_SCALE
 from saleslane.operators.enrich import transform_sales_data
-from saleslane.operators.summaries import SUMMARIES, SUMMARY_SET, SummarySets
+from saleslane.operators.running import merged_totals, partial_totals
+from saleslane.operators.summaries import SUMMARIES, SUMMARY_SET, Summary, SummarySets
 from saleslane.plans.stage import StageMetrics
 from saleslane.schema import processed_schema
 from saleslane.session import shuffles_sized_for
 from saleslane.sources.publish import Publication
-from saleslane.sources.sinks import refuse_overlap, write_version
+from saleslane.sources.sinks import refuse_overlap, write_layer, write_version
 from saleslane.sources.tables import read_layer, read_version
 
 TRANSFORMED = "transformed_sales"
 TRANSFORMED_PARTITIONS = ("region", "year", "month")
 
 
+# What every customer spent on the day: groups that the totals over days are made of.
+DAY_TOTALS = Summary(
+    name="day_totals",
+    keys=("customer_id",),
+    measures={"_spent": ("sum", "total_amount"), "_lines": ("count", "total_amount")},
+    partitions=(),
+)
+
+
 def known_schemas(
     raw: StructType | None = None, spark: SparkSession | None = None
 ) -> dict[str, StructType]:
@@ -37,11 +47,15 @@ def run_transformation(
     rebalance: bool = True,
     schema: StructType | None = None,
     money_scale: int | None = MONEY_SCALE,
+    earlier_totals: str | None = None,
+    totals_path: str | None = None,
 ) -> list[StageMetrics]:
     """Write the sales fact and, from one scan of it, the three summaries; publish all four at once.
 
     ``schema`` is the raw one where it is not the sales schema; it tells the columns of a day without
     usable rows. ``money_scale`` is the precision at which totals are compared with tier bounds.
+    Totals and tiers cover the day; with ``earlier_totals`` they also count what customers spent on the
+    days up to that table, and with ``totals_path`` the totals up to this day are written there.
 
     The join behind the customer totals runs once. The summaries come from the written fact in one
     shuffle, and their groups are kept beside them until all are written, so an executor lost
@@ -50,7 +64,8 @@ def run_transformation(
     refuse_overlap(spark, input_path, output_path)
     processed = read_layer(spark, input_path, if_empty=lambda: processed_schema(schema))
     rows_in = processed.count()  # answered from parquet footers, no column is read
-    transformed = transform_sales_data(processed, money_scale=money_scale)
+    earlier = read_layer(spark, earlier_totals) if earlier_totals else None
+    transformed = transform_sales_data(processed, money_scale=money_scale, earlier=earlier)
     with Publication(spark, output_path) as out:
         with shuffles_sized_for(processed):
             rows = write_version(
@@ -59,7 +74,7 @@ def run_transformation(
         metrics = [StageMetrics("transformation", TRANSFORMED, rows_in, rows, date)]
 
         fact = read_version(spark, out.layer(TRANSFORMED), transformed.schema)
-        sets = SummarySets()
+        sets = SummarySets((*SUMMARIES, DAY_TOTALS) if totals_path else SUMMARIES)
         with shuffles_sized_for(fact):
             groups = sets.of(fact)
             groups.write.partitionBy(SUMMARY_SET).parquet(out.work("summaries"))
@@ -74,4 +89,16 @@ def run_transformation(
             metrics.append(
                 StageMetrics("transformation", summary.name, rows, written, date, filters=False)
             )
+        if totals_path is not None:
+            _write_totals(sets.rows(groups, DAY_TOTALS), earlier, totals_path)
     return metrics
+
+
+def _write_totals(groups: DataFrame, earlier: DataFrame | None, path: str) -> None:
+    """The totals up to this day, from groups by customer: no line is read for them.
+
+    They are published before the tables that count them in, and depend on the day before alone, so
+    a run that is done again gives the same.
+    """
+    today = partial_totals(groups, "customer_id", "_spent", "_lines")
+    write_layer(today if earlier is None else merged_totals([earlier, today]), path)
