@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,10 +35,9 @@ def report_row(**values: Column | str | None) -> Column:
     return F.struct(*fields)
 
 
-def kept(few: DataFrame, spark: SparkSession | None = None) -> DataFrame:
-    """The same rows without their plan, in ``spark`` if it is another session; for a single aggregated
-    row, which the driver can hold."""
-    return (spark or few.sparkSession).createDataFrame(few.collect(), few.schema)
+def kept(few: DataFrame) -> DataFrame:
+    """The same rows without their plan; for a single aggregated row, which the driver can hold."""
+    return few.sparkSession.createDataFrame(few.collect(), few.schema)
 
 
 class TableAudit:
@@ -73,10 +73,26 @@ class TableAudit:
             ]
         return found
 
-    def measured(self, spark: SparkSession | None = None) -> TableAudit:
-        """Run the scan now and go on, in ``spark`` if given, from its one row of measures."""
-        self.measures = kept(self.measures, spark)
-        return self
+    def measured(self) -> Measured:
+        """Run the scan now and go on, on the driver, from its one row of measures."""
+        row = self.measures.first()
+        missing = [row[f"missing_{i}"] for i in range(len(self.checked))]
+        failed = [row[f"failed_{i}"] for i in range(len(self.rules))]
+        found = zip(self._about(), [*missing, *failed], strict=True)
+        return Measured(
+            [(self.table_name, *about, row["rows"], value) for about, value in found],
+            [
+                (self.table_name, name, row["rows"], self.column_count)
+                + tuple(None if v is None else float(v) for v in (row[f"min_{i}"], row[f"max_{i}"], row[f"avg_{i}"]))
+                + (row[f"present_{i}"],)
+                for i, name in enumerate(self.profiled)
+            ],
+        )
+
+    def _about(self) -> list[tuple[str | None, ...]]:
+        """Type, name, column and rule of every check on the columns and rows."""
+        about = [("completeness", None, f.name, None) for f in self.checked]
+        return about + [(r.check_type, r.name, r.column_name, r.text) for r in self.rules]
 
     def results(self, table_rules: Iterable[Rule] = ()) -> DataFrame:
         """One row per checked column, one per rule, and one per rule on the table as a whole.
@@ -85,29 +101,14 @@ class TableAudit:
         a true condition counts as one failed record.
         """
         table_rules = list(table_rules)
-        about = [("completeness", None, f.name, None) for f in self.checked]
-        about += [
-            (r.check_type, r.name, r.column_name, r.text) for r in [*self.rules, *table_rules]
-        ]
+        about = [*self._about(), *((r.check_type, r.name, r.column_name, r.text) for r in table_rules)]
         counts = [F.col(f"missing_{i}") for i in range(len(self.checked))]
         counts += [F.col(f"failed_{i}") for i in range(len(self.rules))]
         counts += [r.failed.cast("bigint") for r in table_rules]
 
         names = ["check_type", "check_name", "column_name", "rule"]
         rows = _unfold(self.measures, names, about, "bigint", counts)
-        total, count = F.col("rows"), F.col("value")
-        complete = F.col("check_type") == "completeness"
-        return rows.select(
-            F.lit(self.table_name).alias("table_name"),
-            "check_type",
-            "check_name",
-            "column_name",
-            "rule",
-            F.when(complete, total).alias("total_records"),
-            F.when(complete, count).alias("null_count"),
-            F.when(~complete, count).alias("failed_records"),
-            F.when(complete, completeness_rate(total, count)).alias("completeness_rate"),
-        ).to(check_schema())
+        return _check_rows(rows.withColumn("table_name", F.lit(self.table_name)))
 
     def profile(self) -> DataFrame:
         """Long form: one row per numeric column, values as double."""
@@ -168,6 +169,44 @@ def _unfold(
     return measures.select("rows", F.inline(pairs)).select("rows", "about.*", "value")
 
 
+def _check_rows(found: DataFrame) -> DataFrame:
+    """Check rows from table_name, the description of each check, ``rows`` and the ``value`` counted."""
+    total, count = F.col("rows"), F.col("value")
+    complete = F.col("check_type") == "completeness"
+    return found.select(
+        "table_name",
+        "check_type",
+        "check_name",
+        "column_name",
+        "rule",
+        F.when(complete, total).alias("total_records"),
+        F.when(complete, count).alias("null_count"),
+        F.when(~complete, count).alias("failed_records"),
+        F.when(complete, completeness_rate(total, count)).alias("completeness_rate"),
+    ).to(check_schema())
+
+
+FOUND = "table_name string, check_type string, check_name string, column_name string, rule string, rows long, value long"
+
+
+@dataclass(frozen=True)
+class Measured:
+    """The counts and profiles of an audit that has run: a few rows for each column and rule."""
+
+    counts: list[tuple]
+    profiles: list[tuple]
+
+
+def measured_results(spark: SparkSession, audits: Sequence[Measured]) -> DataFrame:
+    """The check rows of several audits as one small table, whose plan does not grow with them."""
+    return _check_rows(spark.createDataFrame([c for a in audits for c in a.counts], FOUND))
+
+
+def measured_profiles(spark: SparkSession, audits: Sequence[Measured]) -> DataFrame:
+    rows = [p for a in audits for p in a.profiles]
+    return spark.createDataFrame(rows, profile_schema()).withColumn("profiled_at", F.current_timestamp())
+
+
 def check_rules(df: DataFrame, rules: Iterable[Rule], table_name: str = "unknown") -> DataFrame:
     """Rows that fail each rule, all rules in one pass."""
     return TableAudit(df, table_name, rules, completeness=False, profile=False).results()

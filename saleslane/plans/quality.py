@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from saleslane.operators.audit import TableAudit, kept
+from saleslane.operators.audit import Measured, measured_profiles, measured_results
 from saleslane.operators.integrity import check_referential_integrity
 from saleslane.operators.report import (
     audit_table,
@@ -25,7 +25,7 @@ from saleslane.operators.report import (
 )
 from saleslane.operators.summaries import SUMMARIES
 from saleslane.plans.transformation import TRANSFORMED, known_schemas
-from saleslane.schema import quality_results_schema
+from saleslane.schema import check_schema, quality_results_schema
 from saleslane.session import shuffles_sized_for, side_by_side
 from saleslane.sources.publish import Publication
 from saleslane.sources.sinks import write_report_version
@@ -60,13 +60,13 @@ class Checked:
     """What was found in one dataset; without an audit it could not be read."""
 
     name: str
-    audit: TableAudit | None = None
-    duplicates: DataFrame | None = None
+    audit: Measured | None = None
+    duplicates: Sequence[Row] = ()
 
 
 def audit_datasets(
     spark: SparkSession, input_path: str, as_of=None, schema: StructType | None = None
-) -> tuple[DataFrame, list[DataFrame], list[str]]:
+) -> tuple[DataFrame, DataFrame | None, list[str]]:
     """Check rows of all datasets, the profiles of those that could be checked, and the other names.
 
     The datasets are scanned side by side, each once, and their rows of measures kept on the driver: an
@@ -77,24 +77,24 @@ def audit_datasets(
     def audited(own: SparkSession, name: str) -> Checked:
         try:
             df = read_layer(own, f"{input_path}/{name}", if_empty=lambda: schemas[name])
-            audit = audit_table(df, name, as_of).measured(spark)
+            audit = audit_table(df, name, as_of).measured()
             with shuffles_sized_for(df):
-                return Checked(name, audit, kept(check_referential_integrity(df, name), spark))
+                return Checked(name, audit, check_referential_integrity(df, name).collect())  # a row at most
         except (PySparkException, Py4JError) as error:
             if not is_unreadable(error):
                 raise
             log.warning("could not check %s: %s", name, error)
             return Checked(name)
 
-    checks, profiles, unreadable = [], [], []
-    for found in side_by_side(spark, audited, DATASETS):
-        if found.audit is None:
-            checks.append(unreadable_dataset(spark, found.name))
-            unreadable.append(found.name)
-        else:
-            checks += [found.audit.results(), found.duplicates]
-            profiles.append(found.audit.profile())
-    return union_checks(checks), profiles, unreadable
+    found = side_by_side(spark, audited, DATASETS)
+    audits = [x.audit for x in found if x.audit is not None]
+    unreadable = [x.name for x in found if x.audit is None]
+    duplicates = [tuple(row) for x in found for row in x.duplicates]
+    checks = [unreadable_dataset(spark, name) for name in unreadable]
+    if audits:
+        checks.append(measured_results(spark, audits))
+        checks.append(spark.createDataFrame(duplicates, check_schema()))
+    return union_checks(checks), measured_profiles(spark, audits) if audits else None, unreadable
 
 
 def gate(results: DataFrame) -> None:
@@ -125,10 +125,9 @@ def run_quality(
     results_path = f"{input_path}/quality_results"
     with Publication(spark, input_path) as out:
         write_report_version(stamp(checks, date), out, "quality_results")
-        if profiles:
-            all_profiles = reduce(DataFrame.unionByName, profiles)
-            write_report_version(all_profiles, out, "data_profiles")
-    if not profiles:
+        if profiles is not None:
+            write_report_version(profiles, out, "data_profiles")
+    if profiles is None:
         raise QualityFailure(f"no dataset under {input_path} could be checked")
 
     if unreadable and not allow_unreadable:
