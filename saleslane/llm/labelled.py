@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,9 +19,37 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(crc % FOLDS == 0, F.lit(False))
 
 
-def _first_by_hash(df: DataFrame, most: int, salt: int) -> DataFrame:
-    """At most ``most`` rows, the same ones each time, chosen without regard to their order."""
-    return df.orderBy(F.xxhash64(F.lit(salt), "doc_id"), "doc_id").limit(most)
+def _first_by_hash(
+    ids: DataFrame, most: int, salt: int, kept: Callable[[DataFrame], DataFrame] = lambda found: found
+) -> DataFrame:
+    """Up to ``most`` distinct ids, the same ones each time: the first by a hash among those ``kept`` keeps.
+
+    Only ids below a threshold of the hash, which follows from the number of rows, go through a
+    shuffle: some more than ``most`` in all, from however many tasks. Repeated ids may leave too few
+    below it; then it is raised.
+    """
+    mark = F.xxhash64(F.lit(salt), "doc_id")
+    rows = max(1, ids.count())
+    share = (most + 6 * math.sqrt(most)) / rows
+    while True:
+        edge = min(2**63 - 1, int((share - 0.5) * 2**64))
+        found = stored(kept(ids.where(mark <= edge).distinct()), "below")
+        if share >= 1 or found.count() >= most:
+            return found.orderBy(mark, "doc_id").limit(most)
+        share *= 4
+
+
+def without_copies(sample: DataFrame) -> DataFrame:
+    """One row of each group of copies, exact or with a few edits, among the rows of one label.
+
+    Texts are told apart by the least hash of five words in a row; the words of a text that is there many
+    times would look as if many texts had them.
+    """
+    words = F.split(F.lower("text"), r"[\x20\x09-\x0D]+")
+    places = F.sequence(F.lit(1), F.greatest(F.size("_words") - 4, F.lit(1)))
+    least = F.array_min(F.transform(places, lambda i: F.xxhash64(F.slice("_words", i, 5))))
+    grouped = sample.withColumn("_words", words).groupBy("positive", F.coalesce(least, F.lit(0)).alias("_least"))
+    return grouped.agg(F.min(F.struct("doc_id", "text")).alias("first")).select("first.*", "positive")
 
 
 def training_sample(
@@ -31,12 +62,13 @@ def training_sample(
     positive if any label is 1; of repeated ids one text is taken. Null ids are left out.
     """
     usable = F.col("doc_id").isNotNull() & ~held_out()
-    confirmed = labels.where(usable & (F.col(label) == 1)).select("doc_id").distinct()
-    # a few more ids than needed, as some labels may have no document
-    chosen = _first_by_hash(
-        confirmed.join(docs.select("doc_id").distinct(), "doc_id", "left_semi"), positives, 1
-    ).withColumn("positive", F.lit(True))
-    others = _first_by_hash(docs.where(usable).select("doc_id").distinct(), unlabelled, 2)
+    confirmed = labels.where(usable & (F.col(label) == 1)).select("doc_id")
+    # labels without a document do not count; the list of ids is bounded by its threshold
+    with_document = lambda found: (
+        docs.select("doc_id").join(F.broadcast(found), "doc_id", "left_semi").distinct()
+    )
+    chosen = _first_by_hash(confirmed, positives, 1, with_document).withColumn("positive", F.lit(True))
+    others = _first_by_hash(docs.where(usable).select("doc_id"), unlabelled, 2)
     ids = chosen.unionByName(others.withColumn("positive", F.lit(False)))
     # at most positives + unlabelled ids of 9 bytes: a bounded broadcast
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))

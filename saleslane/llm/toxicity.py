@@ -17,9 +17,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saleslane.llm.labelled import held_out, training_sample
-from saleslane.llm.nnpu import Linear, class_prior, sigmoid, train
-from saleslane.llm.shared import payload
+from saleslane.llm.labelled import held_out, training_sample, without_copies
+from saleslane.llm.nnpu import Linear, sigmoid, train
+from saleslane.llm.shared import payload, stored
 
 # Bounds of what the model is fitted on; scoring reads every document.
 POSITIVES = 2000
@@ -27,11 +27,15 @@ UNLABELLED = 4000
 VOCABULARY = 512
 PREFIXES = (3, 4, 5)
 LEAST_POSITIVES = 4
-LEAST_SHARE = 0.02
+LEAST_SHARE = 0.01
 # In standard errors; by chance none of a hundred thousand features lies so far off.
 LEAST_LIFT = 5.0
-# Features this frequent among positives bound the share of positives among all.
+# The ratios of features this frequent among positives bound the share of positives among all. Those up to
+# so many times the least count; the least alone is low by chance.
 FREQUENT = 0.05
+NEAR_LEAST = 2.0
+# Standard errors by which a mark may be more frequent among all than among the positives in it.
+MARK_ERRORS = 1.5
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -60,8 +64,11 @@ class Model:
         return sigmoid(np.fromiter(known, np.float64) + self.linear.bias)
 
 
-def vocabulary(sample: DataFrame, most: int = VOCABULARY) -> list[str]:
-    """The features whose share differs most between positives and unlabelled, counted in Spark."""
+def vocabulary(sample: DataFrame, most: int = VOCABULARY) -> tuple[list[str], float]:
+    """Marks, the features that only positives have, counted in Spark; and the share of positives.
+
+    No feature is rarer among all than the share of positives allows, and marks come near to that bound.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: tuple[Counter, Counter] = (Counter(), Counter())
@@ -96,22 +103,30 @@ def vocabulary(sample: DataFrame, most: int = VOCABULARY) -> list[str]:
         .limit(most)
         .collect()
     )
-    # No feature is rarer among all than the share of positives allows, and marks come near to that
-    # bound: at least half of the texts that show them are positive.
-    pairs = [(row["positives"] / of_p, (row["others"] + 1) / of_u) for row in rows]
-    share = np.array(pairs).reshape(-1, 2)
-    frequent = share[share[:, 0] >= FREQUENT]
-    bound = (frequent[:, 1] / frequent[:, 0]).min(initial=1.0)
-    return [row["feature"] for row, (p, u) in zip(rows, share, strict=True) if bound * p >= u / 2]
+    found = np.array([(row["positives"], row["others"]) for row in rows], float).reshape(-1, 2)
+    share_p, share_u = found[:, 0] / of_p, (found[:, 1] + 1) / of_u
+    ratio = np.where(share_p >= FREQUENT, share_u / np.maximum(share_p, 1e-9), np.inf)
+    order = np.argsort(ratio, kind="stable")
+    order = order[ratio[order] <= NEAR_LEAST * ratio.min(initial=1.0)]
+    # the median of the ratios, where a feature counts as often as positives have it
+    weight = np.cumsum(share_p[order])
+    prior = ratio[order][np.searchsorted(weight, weight[-1] / 2)] if len(order) else 1.0
+    expected = prior * share_p * of_u
+    error = np.sqrt(expected + expected**2 / np.maximum(found[:, 0], 1))
+    marks = found[:, 1] <= expected + MARK_ERRORS * error
+    features = [row["feature"] for row, mark in zip(rows, marks, strict=True) if mark]
+    return features, float(np.clip(prior, 0.01, 0.99))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
-    """Learn from at most POSITIVES and UNLABELLED texts outside the held-out fold.
+    """Learn from at most POSITIVES and UNLABELLED texts outside the held-out fold, copies counted once.
 
-    Without any positive text, all scores are below 0.5.
+    Without any positive text, or any mark, all scores are below 0.5.
     """
     sample = training_sample(docs, labels, label, POSITIVES, UNLABELLED)
-    place = {feature: i for i, feature in enumerate(vocabulary(sample))}
+    sample = stored(without_copies(sample), "sample")
+    features, prior = vocabulary(sample)
+    place = {feature: i for i, feature in enumerate(features)}
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,9 +149,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     for i, row in enumerate(rows):
         matrix[i, row["places"]] = 1
     positive = np.array([row["positive"] for row in rows], bool)
-    if not positive.any() or positive.all():
+    if not positive.any() or positive.all() or not place:
         return Model({}, Linear(np.zeros(0, np.float32), -1.0), 0.0)
-    prior = class_prior(matrix[positive], matrix[~positive])
     return Model(place, train(matrix[positive], matrix[~positive], prior), prior)
 
 
