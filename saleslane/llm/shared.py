@@ -6,11 +6,15 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from saleslane.jvm import remove
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
@@ -53,6 +57,26 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+# For each block of `only_result` that is open: the paths of the tables stored in it.
+_open: list[list[str]] = []
+
+
+@contextmanager
+def only_result(spark: SparkSession) -> Iterator[list[str]]:
+    """Remove the tables that are stored inside the block when it ends well, but for the last one.
+
+    The last one must hold the result of all others; nothing that is read later may need them.
+    """
+    paths: list[str] = []
+    _open.append(paths)
+    try:
+        yield paths
+    finally:
+        _open.remove(paths)
+    for path in paths[:-1]:
+        remove(spark, path)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and go on from the files.
 
@@ -60,6 +84,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = fresh_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
+    for paths in _open:
+        paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -35,6 +35,8 @@ LEAST_PREFIX_BITS = 8
 # Prefixes with more variants than this are split, by so many bits at a time.
 MOST_VARIANTS = 2 * VARIANTS_PER_PREFIX
 FURTHER_BITS = 6
+# Rows of a broadcast list of large prefixes, 8 bytes each; a longer one is joined by shuffle.
+MOST_BROADCAST = 100_000
 CHUNK = 2_000_000
 
 
@@ -174,11 +176,12 @@ def links_between(distinct: DataFrame, most: int = MAX_DISTANCE) -> DataFrame:
     )
     dealt, found = _dealt(whole, 0, prefix_bits, most), []
     while True:
-        large = _large_prefixes(dealt, prefix_bits, most)
-        if prefix_bits == BITS or not large.head(1):
+        large = stored(_large_prefixes(dealt, prefix_bits, most), "large")
+        number = large.count()
+        if prefix_bits == BITS or not number:
             return reduce(DataFrame.unionByName, [*found, _links(dealt, prefix_bits, most)])
-        # few: each has more than MOST_VARIANTS variants
-        large = F.broadcast(stored(large, "large"))
+        if number <= MOST_BROADCAST:
+            large = F.broadcast(large)
         found.append(_links(dealt.join(large, "prefix", "left_anti"), prefix_bits, most))
         more = min(FURTHER_BITS, BITS - prefix_bits)
         dealt = _dealt(dealt.join(large, "prefix", "left_semi"), prefix_bits, more, most)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleslane.llm.shared import payload, stored
+from saleslane.llm.shared import payload, shuffle_width, stored
 
 VERSION = b"WARC/1.1"
 END = "\r\n\r\n"
@@ -40,6 +40,12 @@ PARSED = (
 )
 
 
+# What is told of a record, besides its payload.
+RECORD = ["record_id", "record_type", "page_id", "uri", "refers_to_id", "digest"]
+# Copies of one row that a task writes.
+COPIES_IN_TASK = 1000
+
+
 class CorruptRecord(ValueError):
     """A record that does not keep what its head says."""
 
@@ -193,8 +199,8 @@ def write_archives(rows: DataFrame, path: str) -> None:
         for batch in batches:
             out: list[bytes] = []
             size = 0
-            for *row, copies in zip(*(batch[c].to_pylist() for c in fields), strict=True):
-                for copy in range(copies):
+            for *row, first, end in zip(*(batch[c].to_pylist() for c in fields), strict=True):
+                for copy in range(first, end):
                     for record in records_of(*row, copy):
                         out.append(record)
                         size += len(record)
@@ -204,9 +210,20 @@ def write_archives(rows: DataFrame, path: str) -> None:
             yield pa.record_batch({"record": pa.array(out, pa.binary())})
 
     fields = [
-        "page_id", "uri", "payload", "digest", "spread", "response_id", "response_uri", "copies"
+        "page_id", "uri", "payload", "digest", "spread", "response_id", "response_uri", "first_copy",
+        "end_copy",
     ]
-    records = rows.select(*fields).mapInArrow(write, "record binary")
+    # Many copies of one row are written by many tasks, each some of them; other rows stay where they are.
+    few = F.col("copies") <= COPIES_IN_TASK
+    here = rows.where(few).withColumns({"first_copy": F.lit(0).cast("long"), "end_copy": F.col("copies")})
+    firsts = F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES_IN_TASK).cast("long"))
+    dealt = (
+        rows.where(~few)
+        .withColumn("first_copy", F.explode(firsts))
+        .withColumn("end_copy", F.least("copies", F.col("first_copy") + COPIES_IN_TASK))
+        .repartition(shuffle_width(rows.sparkSession), "digest", "uri", "page_id", "first_copy")
+    )
+    records = here.unionByName(dealt).select(*fields).mapInArrow(write, "record binary")
     (
         records.select(F.col("record").cast("string"))
         .write.option("lineSep", END)
@@ -247,8 +264,8 @@ def parse_archive(data: bytes) -> Iterator[dict]:
         at = end + len(END)
 
 
-def _parsed(archives: DataFrame, segmented: bool) -> DataFrame:
-    """Records of the archives: those in segments, or the whole ones with payloads for blocks."""
+def _parsed(archives: DataFrame) -> DataFrame:
+    """Records of the archives; the block of a record that is not in segments is its payload."""
     schema = _arrow_schema()
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,9 +273,7 @@ def _parsed(archives: DataFrame, segmented: bool) -> DataFrame:
             for content in batch["content"]:
                 rows: list[dict] = []
                 for row in parse_archive(content.as_py()):
-                    if (row["number"] is not None) != segmented:
-                        continue
-                    if not segmented:
+                    if row["number"] is None:
                         row["block"] = http_payload(row["block"])
                     rows.append(row)
                     if len(rows) == ROWS_IN_BATCH:
@@ -276,17 +291,14 @@ def _arrow_schema() -> pa.Schema:
 
 
 def reassembled(segments: DataFrame) -> DataFrame:
-    """One row per origin: blocks joined in the order of their numbers, lengths verified.
+    """One row per origin, with RECORD and ``block``: blocks joined in order, lengths verified.
 
-    A group holds the segments of one record, no more than one payload. Segments may lie in any
-    archives. A record without its first or last segment, with a gap, or with another total length
-    than its last segment states stops the job.
+    A group holds the segments of one record, no more than one payload, and these are joined once, so the
+    time follows the length. Segments may lie in any archives. A record without its first or last
+    segment, with a gap, or with another total length than its last segment states stops the job.
     """
     first = F.col("number") == 1
-    head = {
-        name: F.max(F.when(first, F.col(name)))
-        for name in ("record_id", "record_type", "page_id", "uri", "refers_to_id", "digest")
-    }
+    head = {name: F.max(F.when(first, F.col(name))) for name in RECORD}
     # A record that was read twice has equal segments; one of each number counts.
     distinct = segments.dropDuplicates(["origin_id", "number", "block"])
     joined = distinct.groupBy("origin_id").agg(
@@ -295,34 +307,40 @@ def reassembled(segments: DataFrame) -> DataFrame:
         F.max("number").alias("last"),
         *(value.alias(name) for name, value in head.items()),
     )
-    block = F.aggregate(
-        "parts", F.lit("").cast("binary"), lambda all_, part: F.concat(all_, part["block"])
-    )
-    whole = (
-        F.col("record_id").isNotNull()
-        & (F.size("parts") == F.col("last"))
-        & F.col("total").eqNullSafe(F.octet_length("joined").cast("long"))
-    )
-    message = F.concat(F.lit("segments of "), "origin_id", F.lit(" are not whole"))
-    checked: Column = F.when(whole, F.col("joined")).otherwise(F.raise_error(message))
-    return joined.withColumn("joined", block).select(*head, checked.alias("block"))
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1)
+                origin, total, last, own = (row[c][0].as_py() for c in ("origin_id", "total", "last", "record_id"))
+                blocks = row["parts"].flatten().field("block")
+                block = b"".join(blocks.to_pylist())
+                if own is None or len(blocks) != last or total != len(block):
+                    raise CorruptRecord(f"segments of {origin} are not whole")
+                columns = [*(row[c] for c in RECORD), pa.array([block], pa.binary())]
+                yield pa.record_batch(columns, names=[*RECORD, "block"])
+
+    kinds = ", ".join(f"{name} {joined.schema[name].dataType.simpleString()}" for name in RECORD)
+    return joined.mapInArrow(join, f"{kinds}, block binary")
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """(record_id, record_type, page_id, uri, refers_to_id, digest, payload) of every record.
+    """RECORD and ``payload`` of every record.
 
-    Whole records are decoded where they are read; only segments are shuffled. A revisit has an
-    empty payload. Broken records stop the job with CorruptRecord.
+    The archives are unpacked and parsed once. Whole records are decoded where they are read; only
+    segments are shuffled. A revisit has an empty payload. Broken records stop the job with
+    CorruptRecord.
     """
     archives = spark.read.format("binaryFile").load(path).select("content")
-    names = ["record_id", "record_type", "page_id", "uri", "refers_to_id", "digest"]
 
     @F.pandas_udf("binary")
     def decoded(blocks: pd.Series) -> pd.Series:
         return blocks.map(http_payload)
 
-    whole = _parsed(archives, False).select(*names, F.col("block").alias("payload"))
-    joined = reassembled(_parsed(archives, True)).select(*names, decoded("block").alias("payload"))
+    parsed = stored(_parsed(archives), "parsed")
+    is_whole = F.col("number").isNull()
+    whole = parsed.where(is_whole).select(*RECORD, F.col("block").alias("payload"))
+    joined = reassembled(parsed.where(~is_whole)).select(*RECORD, decoded("block").alias("payload"))
     return whole.unionByName(joined)
 
 

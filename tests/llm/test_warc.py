@@ -1,5 +1,6 @@
 import gzip
 import hashlib
+import random
 
 import pytest
 
@@ -117,3 +118,35 @@ def test_segments_from_anywhere_in_any_order(spark):
 def test_broken_segments_stop_the_job(spark, parts):
     with pytest.raises(Exception, match="not whole"):
         warc.reassembled(spark.createDataFrame(parts, warc.PARSED)).collect()
+
+
+def test_a_long_record_is_joined_in_one_go(spark):
+    """Thousands of segments in any order, and one of them twice."""
+    body = bytes(range(256)) * 400
+    block = warc.HTTP_HEAD + warc.chunked(body)
+    pieces = [block[at : at + 20] for at in range(0, len(block), 20)]
+    parts = []
+    for number, piece in enumerate(pieces, 1):
+        last = len(block) if number == len(pieces) else None
+        parts.append(("r" if number == 1 else f"r{number}", "r", number, last, "response" if number == 1 else "continuation",
+                      7 if number == 1 else None, None, None, "d", piece))
+    random.Random(4).shuffle(parts)
+    rows = warc.reassembled(spark.createDataFrame([*parts, parts[9]], warc.PARSED)).collect()
+    assert [(r["page_id"], warc.http_payload(r["block"])) for r in rows] == [(7, body)] and len(parts) > 5000
+
+
+def test_many_copies_of_one_row_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "COPIES_IN_TASK", 7)
+    page = (1, "http://a/", "x" * 1200)
+    rows = spark.createDataFrame([page] * 100 + [(2, "http://b/", "short")] * 3 + [(None, None, None)] * 20, PAGES)
+    path = str(tmp_path / "w")
+    warc.write_archives(warc.with_record_types(rows), path)
+    holding = [f for f in (tmp_path / "w").glob("*.gz") if b"http://a/" in gzip.decompress(f.read_bytes())]
+    assert len(holding) > 1
+    found = warc.payloads_of(
+        warc.read_archives(spark, path).selectExpr(
+            "record_id", "refers_to_id", "page_id", "record_type",
+            "cast(octet_length(payload) as long) payload_bytes", "sha1(payload) payload_digest",
+        )
+    ).collect()
+    assert len(found) == 123 and len({r["payload_bytes"] for r in found if r["page_id"] == 1}) == 1
