@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saleslane.llm.shared import ship_package, stored, table
+from saleslane.jvm import remove
+from saleslane.llm.shared import only_result, ship_package, stored, table
 from saleslane.llm.stages import (
     near_dedup_stage,
     packing_stage,
@@ -30,9 +31,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The packed pieces of what all stages keep of ``documents``."""
+    """The packed pieces of what all stages keep of ``documents``.
+
+    Each stage's result is written; when the next one is, all that was stored on the way to it goes.
+    """
     ship_package(spark)
     docs = table(spark, sf_dir, "documents")
+    before: list[str] = []
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        with only_result(spark) as made:
+            docs = stored(stage(spark, docs, sf_dir), name)
+        for path in before:
+            remove(spark, path)
+        before = made[-1:]
     return docs
