@@ -393,6 +393,7 @@ def oracle_queries() -> dict[str, str]:
             rule="(customer_id) should exist in customer", failed="coalesce(sum(row_count), 0)",
         ),
         "orphan_customers": ORPHANS,
+        "orphan_rows": f"SELECT * FROM sales_raw WHERE customer_id IN (SELECT customer_id FROM ({ORPHANS}))",
         "input_precheck": union(
             [
                 check("(SELECT 1)", "sales_raw", "precheck", "missing_columns",
@@ -469,5 +470,7 @@ def oracle_queries() -> dict[str, str]:
             rule="(l_orderkey, l_linenumber) should be unique", failed="count(*)",
         ),
         "uniqueness_violations": REPEATED_LINES,
+        "repeated_rows": "SELECT * FROM lineitem QUALIFY"
+        " count(*) OVER (PARTITION BY l_partkey, l_suppkey, l_shipdate) > 1",
     }
     return {name: sales_query(body) for name, body in sql.items()} | plain

@@ -47,6 +47,8 @@ from saleslane.operators.integrity import (
     check_referential_integrity,
     check_uniqueness,
     orphan_keys,
+    orphan_rows,
+    repeated_rows,
     uniqueness_violations,
 )
 from saleslane.operators.missing import check_missing_pattern, missing_pattern
@@ -380,6 +382,19 @@ def orphan_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orphan_keys(sales_raw(spark, sf_dir), known, ["customer_id"], ["known_id"])
 
 
+@query("orphan_rows")
+def orphan_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = paying_customers(spark, sf_dir)
+    return orphan_rows(sales_raw(spark, sf_dir), known, ["customer_id"], ["known_id"])
+
+
+@query("repeated_rows")
+def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines of a part that the same supplier delivers again on the same day."""
+    keys = ["l_partkey", "l_suppkey", "l_shipdate"]
+    return repeated_rows(table(spark, sf_dir, "lineitem"), keys)
+
+
 @query("uniqueness_check")
 def uniqueness_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_uniqueness(table(spark, sf_dir, "lineitem"), LINE_KEY, "lineitem")

@@ -16,6 +16,12 @@ from saleslane.operators.audit import report_row
 from saleslane.schema import check_schema
 
 
+# Rows of one key that a task should get in a join, and the most keys that may have more; of further ones
+# each goes to one task, which changes no result.
+ROWS_IN_TASK = 1_000_000
+MOST_HEAVY = 1000
+
+
 def _one_check(df: DataFrame, failed: Column, **values: str) -> DataFrame:
     """Aggregate ``df`` to a single check row."""
     counted = df.agg(failed.alias("failed"))
@@ -90,6 +96,60 @@ def orphan_keys(
     return children.join(parents, found, "left_anti")
 
 
+def matching_rows(
+    df: DataFrame, keys: Sequence[str], counts: DataFrame, rows_in_task: int = ROWS_IN_TASK
+) -> DataFrame:
+    """The rows of ``df`` whose key is among ``counts``, which has each key once with its ``row_count``.
+
+    Here rows cannot be collapsed, so a key with a third of them must not go to one task. The join is
+    salted in two steps: a key with more rows than a task should get has as many salts as its count
+    asks for, and these keys, few and bounded, are made known to the rows by broadcast; then rows and
+    keys meet by key and salt. All other keys have one salt. Null keys match null keys.
+    """
+    names = [f"_key_{i}" for i in range(len(keys))]
+    counts = counts.select(*[quoted(k).alias(n) for k, n in zip(keys, names, strict=True)], "row_count")
+    salts = F.ceil(F.col("row_count") / rows_in_task).cast("int").alias("_salts")
+    heavy = (
+        counts.where(F.col("row_count") > rows_in_task)
+        .orderBy(F.desc("row_count"), *names)
+        .limit(MOST_HEAVY)
+        .select(*names, salts)
+    )
+    same = [quoted(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names, strict=True)]
+    # any number will do for a row's salt, as each salt of a key says the same
+    salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.coalesce("_salts", F.lit(1)))
+    rows = df.join(F.broadcast(heavy), same, "left").withColumn("_salt", salt.cast("int"))
+    spread = [F.col(f"found.{n}").eqNullSafe(F.col(f"heavy.{n}")) for n in names]
+    known = (
+        counts.alias("found")
+        .join(F.broadcast(heavy.alias("heavy")), spread, "left")
+        .select(
+            *[F.col(f"found.{n}").alias(n) for n in names],
+            F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)).alias("_known_salt"),
+        )
+    )
+    met = [*same, F.col("_salt") == F.col("_known_salt")]
+    return rows.drop(*names).join(known, met, "left_semi").select(*[quoted(c) for c in df.columns])
+
+
+def orphan_rows(
+    df: DataFrame,
+    parent: DataFrame,
+    keys: Sequence[str],
+    parent_keys: Sequence[str] | None = None,
+    rows_in_task: int = ROWS_IN_TASK,
+) -> DataFrame:
+    """The rows whose foreign key has no parent row, whole; rows with a null key pass."""
+    return matching_rows(df, keys, orphan_keys(df, parent, keys, parent_keys), rows_in_task)
+
+
+def repeated_rows(
+    df: DataFrame, keys: Sequence[str], rows_in_task: int = ROWS_IN_TASK
+) -> DataFrame:
+    """The rows, whole, whose key occurs more than once."""
+    return matching_rows(df, keys, uniqueness_violations(df, keys), rows_in_task)
+
+
 def check_foreign_key(
     df: DataFrame,
     parent: DataFrame,
