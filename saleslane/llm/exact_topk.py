@@ -203,7 +203,7 @@ def top_k(
     compared with those of the same length; empty vectors score 0. Components and scores that do not fit
     64 bits stop the job; a query's score with itself may. Equal rows under one id are
     several candidates of others and of one another, and as a query have one list; rows with one id
-    and different vectors are separate queries. Other columns are ignored.
+    and different vectors are separate queries. An empty table gives an empty table. Other columns are ignored.
     """
     vectors = whole_components(df, scale, id_col, vector_col)
     is_query = F.col("vec_id") % every == 0

@@ -154,8 +154,8 @@ def score_column(docs: DataFrame, model: Model, text: str = "text") -> Column:
 def score_documents(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row; predicted is 1 from LEAST_SCORE on.
 
-    Repeated rows, null ids and empty texts are scored like others, by their text alone; an empty
-    table gives an empty table. Other columns are ignored.
+    Repeated rows, null ids, and null, empty and very long texts are scored like others, by their whole text
+    alone; an empty table gives an empty table. Other columns are ignored.
     """
     model = fit(docs, labels, label)
     return docs.select(

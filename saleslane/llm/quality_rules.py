@@ -144,7 +144,7 @@ def judged(
     Returns doc_id, row_key, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, removed (keys of boilerplate lines in the text), n_removed (their
     words) and kept. A null text has no words, and fails like any text of fewer than LEAST_WORDS
-    words; a null host is a host like others. Repeated rows are judged alike and all returned, and an
+    words; a text of any length is measured whole; a null host is a host like others. Repeated rows are judged alike and all returned, and an
     empty table gives an empty table. Other columns are ignored.
     """
     slim = docs.select(

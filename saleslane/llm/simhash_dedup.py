@@ -279,7 +279,8 @@ def near_duplicates(
     ``fingerprint`` has 16 lower-case hex digits. ``component_id`` is the smallest id among all rows
     that links of at most ``most`` bits reach, the row itself included; null ids do not count, and
     a component of such rows alone has a null ``component_id``. Null and empty texts have fingerprint
-    zero and are linked like others. Repeated rows are all returned. Other columns are ignored.
+    zero and are linked like others; a text of any length is read whole. Repeated rows are all returned,
+    and an empty table gives an empty table. Other columns are ignored.
     """
     marked = stored(
         docs.select(

@@ -32,21 +32,31 @@ def _with_text(rows: DataFrame, like: DataFrame, text: Column, changed: Column)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a score below 0.5 stay. The model is fitted on these documents' labels."""
+    """Documents with a score below 0.5 stay. The model is fitted on these documents' labels.
+
+    Null and empty texts and null ids have a score too; an empty table stays empty.
+    """
     ship_package(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return docs.where(toxicity.score_column(docs, model) < 0.5)
 
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the rules stay, without boilerplate lines."""
+    """Documents that pass the rules stay, without boilerplate lines.
+
+    Null and empty texts have too few words and go; repeated rows share one verdict; an empty table stays empty.
+    """
     rows = quality_rules.passed(docs)
     changed = ~F.col("_text").eqNullSafe(F.col("row.text"))
     return _with_text(rows, docs, F.col("_text"), changed)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near-duplicates the document with the smallest id stays."""
+    """Of every group of near-duplicates the document with the smallest id stays.
+
+    Null and empty texts are one group; a row without an id stays only where its group has none with one; of
+    repeated rows one stays. An empty table stays empty.
+    """
     ship_package(spark)
     return simhash_dedup.survivors(docs)
 
@@ -65,7 +75,10 @@ def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the packed sequences, with their token ids."""
+    """The pieces of the packed sequences, with their token ids.
+
+    A null or empty text is a document of one id, the end mark; an empty table gives no pieces.
+    """
     ship_package(spark)
     packed = harmonic_packing.pack(docs, public_tokenizers.path(TOKENIZER))
     return packed.withColumn("ids_crc32", F.crc32("ids"))

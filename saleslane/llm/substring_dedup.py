@@ -121,7 +121,8 @@ def deduplicated(
 
     ``_row`` holds all columns but the text, which is ``_text`` in bytes. A word goes if it lies in a
     window of ``size`` words that also begins in a document with a smaller id. Windows are judged on
-    the texts as they came in. ``kept`` has the other words, joined by one space. A null text has no words; texts shorter than a window lose nothing. Rows without an id
+    the texts as they came in. ``kept`` has the other words, joined by one space. A null text has no words; texts shorter
+    than a window lose nothing, and a text of any length is read whole. An empty table gives an empty table. Rows without an id
     have no smaller or larger one: they lose nothing and nothing is lost to them. Rows that repeat an
     id are judged one by one and lose nothing to one another.
     """

@@ -140,8 +140,8 @@ def judge_urls(
     A rule fits its host and all subdomains where the path starts with the rule's path. The longest
     fitting rule wins; of equally long ones that with the longer host, then the one listed first.
     Where none fits, ``rule`` is null and the verdict is ``default``. A null URL, or one without
-    ``://``, has an empty host and path. Repeated rows are judged one by one, an empty table gives an
-    empty table. Columns that already have one of the four names are replaced.
+    ``://``, has an empty host and path; a URL of any length is read whole. Repeated rows are judged one by one,
+    an empty table gives an empty table. Columns that already have one of the four names are replaced.
     """
     ranked = sorted(rules, key=lambda rule: (-len(rule.name), -len(rule.host)))
     automaton = Automaton.of([rule.glob for rule in ranked])

@@ -9,6 +9,7 @@ verifies the total length, and takes the chunk framing off the HTTP body.
 from __future__ import annotations
 
 import gzip
+import hashlib
 import json
 import uuid
 from collections.abc import Iterator
@@ -40,6 +41,7 @@ PARSED = (
 )
 
 
+MEASURES = "payload_bytes long, payload_digest string"
 # What is told of a record, besides its payload.
 RECORD = ["record_id", "record_type", "page_id", "uri", "refers_to_id", "digest"]
 # Copies of one row that a task writes.
@@ -264,9 +266,13 @@ def parse_archive(data: bytes) -> Iterator[dict]:
         at = end + len(END)
 
 
-def _parsed(archives: DataFrame) -> DataFrame:
-    """Records of the archives; the block of a record that is not in segments is its payload."""
-    schema = _arrow_schema()
+def _parsed(archives: DataFrame, measured: bool) -> DataFrame:
+    """Records of the archives; the block of a record that is not in segments is its payload.
+
+    If ``measured``, the size and digest of such a payload take its place.
+    """
+    columns = f"{PARSED}, {MEASURES}" if measured else PARSED
+    schema = _arrow_schema(columns)
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -275,18 +281,21 @@ def _parsed(archives: DataFrame) -> DataFrame:
                 for row in parse_archive(content.as_py()):
                     if row["number"] is None:
                         row["block"] = http_payload(row["block"])
+                        if measured:
+                            body = row.pop("block")
+                            row |= {"payload_bytes": len(body), "payload_digest": hashlib.sha1(body).hexdigest()}
                     rows.append(row)
                     if len(rows) == ROWS_IN_BATCH:
                         yield pa.RecordBatch.from_pylist(rows, schema=schema)
                         rows = []
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    return archives.mapInArrow(parse, PARSED)
+    return archives.mapInArrow(parse, columns)
 
 
-def _arrow_schema() -> pa.Schema:
+def _arrow_schema(columns: str) -> pa.Schema:
     kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
-    pairs = (x.split() for x in PARSED.split(", "))
+    pairs = (x.split() for x in columns.split(", "))
     return pa.schema([(name, kinds[kind]) for name, kind in pairs])
 
 
@@ -331,17 +340,35 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     segments are shuffled. A revisit has an empty payload. Broken records stop the job with
     CorruptRecord.
     """
-    archives = spark.read.format("binaryFile").load(path).select("content")
+    whole, joined = _records(spark, path, measured=False)
+    return whole.select(*RECORD, F.col("block").alias("payload")).unionByName(joined)
+
+
+def measured_archives(spark: SparkSession, path: str) -> DataFrame:
+    """RECORD, ``payload_bytes`` and ``payload_digest`` of every record, as `read_archives` reads it.
+
+    Payloads are measured where they are decoded, and not kept.
+    """
+    whole, joined = _records(spark, path, measured=True)
+    measures = {
+        "payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": F.sha1("payload")
+    }
+    joined = joined.withColumns(measures).drop("payload")
+    return whole.select(*joined.columns).unionByName(joined)
+
+
+def _records(spark: SparkSession, path: str, measured: bool) -> tuple[DataFrame, DataFrame]:
+    """The records that lie whole in the archives, and those in segments with their payload."""
 
     @F.pandas_udf("binary")
     def decoded(blocks: pd.Series) -> pd.Series:
         return blocks.map(http_payload)
 
-    parsed = stored(_parsed(archives), "parsed")
+    archives = spark.read.format("binaryFile").load(path).select("content")
+    parsed = stored(_parsed(archives, measured), "parsed")
     is_whole = F.col("number").isNull()
-    whole = parsed.where(is_whole).select(*RECORD, F.col("block").alias("payload"))
-    joined = reassembled(parsed.where(~is_whole)).select(*RECORD, decoded("block").alias("payload"))
-    return whole.unionByName(joined)
+    joined = reassembled(parsed.where(~is_whole))
+    return parsed.where(is_whole), joined.select(*RECORD, decoded("block").alias("payload"))
 
 
 def http_payload(block: bytes) -> bytes:
@@ -384,15 +411,11 @@ def payloads_of(records: DataFrame) -> DataFrame:
 
 
 def round_trip(pages: DataFrame, path: str) -> DataFrame:
-    """Write ``pages`` to ``path``, read them back, and describe every record; see `payloads_of`."""
+    """Write ``pages`` to ``path``, read them back, and describe every record; see `payloads_of`.
+
+    A null text is an empty payload; one of any length is cut into segments and joined again, in time that
+    follows its length, as one value of up to 2 GB. Equal rows are written and described each by itself. An
+    empty table gives an empty table, and other columns are ignored.
+    """
     write_archives(with_record_types(pages), path)
-    read = read_archives(pages.sparkSession, path)
-    slim = stored(
-        read.select(
-            "record_id", "refers_to_id", "page_id", "record_type",
-            F.octet_length("payload").cast("long").alias("payload_bytes"),
-            F.sha1("payload").alias("payload_digest"),
-        ),
-        "records",
-    )
-    return payloads_of(slim)
+    return payloads_of(stored(measured_archives(pages.sparkSession, path), "records"))
