@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -299,6 +300,36 @@ def _arrow_schema(columns: str) -> pa.Schema:
     return pa.schema([(name, kinds[kind]) for name, kind in pairs])
 
 
+def _grouped(records: DataFrame, *more: Column) -> DataFrame:
+    """One row per origin: RECORD of its first or only part, and its segments in order as ``parts``."""
+    number = F.col("number")
+    first = number.isNull() | (number == 1)
+    return records.groupBy("origin_id").agg(
+        F.array_sort(F.collect_list(F.when(number.isNotNull(), F.struct("number", "block")))).alias("parts"),
+        F.max("total_length").alias("total"),
+        F.max("number").alias("last"),
+        *(F.max(F.when(first, F.col(name))).alias(name) for name in RECORD),
+        *more,
+    )
+
+
+def _joined(row: pa.RecordBatch) -> bytes:
+    """The block of the one record in ``row`` of `_grouped`, which is in segments; lengths are verified."""
+    origin, total, last, own = (row[c][0].as_py() for c in ("origin_id", "total", "last", "record_id"))
+    parts = row["parts"].flatten()
+    numbers, blocks = (parts.field(name).to_pylist() for name in ("number", "block"))
+    # A record that was read twice has equal segments; one of each number counts.
+    distinct = dict.fromkeys(zip(numbers, blocks, strict=True))
+    block = b"".join(block for _, block in distinct)
+    if own is None or len(distinct) != last or total != len(block):
+        raise CorruptRecord(f"segments of {origin} are not whole")
+    return block
+
+
+def _kinds(df: DataFrame) -> str:
+    return ", ".join(f"{name} {df.schema[name].dataType.simpleString()}" for name in RECORD)
+
+
 def reassembled(segments: DataFrame) -> DataFrame:
     """One row per origin, with RECORD and ``block``: blocks joined in order, lengths verified.
 
@@ -306,31 +337,15 @@ def reassembled(segments: DataFrame) -> DataFrame:
     time follows the length. Segments may lie in any archives. A record without its first or last
     segment, with a gap, or with another total length than its last segment states stops the job.
     """
-    first = F.col("number") == 1
-    head = {name: F.max(F.when(first, F.col(name))) for name in RECORD}
-    # A record that was read twice has equal segments; one of each number counts.
-    distinct = segments.dropDuplicates(["origin_id", "number", "block"])
-    joined = distinct.groupBy("origin_id").agg(
-        F.array_sort(F.collect_list(F.struct("number", "block"))).alias("parts"),
-        F.max("total_length").alias("total"),
-        F.max("number").alias("last"),
-        *(value.alias(name) for name, value in head.items()),
-    )
+    grouped = _grouped(segments)
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(batch.num_rows):
-                row = batch.slice(at, 1)
-                origin, total, last, own = (row[c][0].as_py() for c in ("origin_id", "total", "last", "record_id"))
-                blocks = row["parts"].flatten().field("block")
-                block = b"".join(blocks.to_pylist())
-                if own is None or len(blocks) != last or total != len(block):
-                    raise CorruptRecord(f"segments of {origin} are not whole")
-                columns = [*(row[c] for c in RECORD), pa.array([block], pa.binary())]
+            for row in (batch.slice(at, 1) for at in range(batch.num_rows)):
+                columns = [*(row[c] for c in RECORD), pa.array([_joined(row)], pa.binary())]
                 yield pa.record_batch(columns, names=[*RECORD, "block"])
 
-    kinds = ", ".join(f"{name} {joined.schema[name].dataType.simpleString()}" for name in RECORD)
-    return joined.mapInArrow(join, f"{kinds}, block binary")
+    return grouped.mapInArrow(join, f"{_kinds(grouped)}, block binary")
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -340,35 +355,42 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     segments are shuffled. A revisit has an empty payload. Broken records stop the job with
     CorruptRecord.
     """
-    whole, joined = _records(spark, path, measured=False)
-    return whole.select(*RECORD, F.col("block").alias("payload")).unionByName(joined)
-
-
-def measured_archives(spark: SparkSession, path: str) -> DataFrame:
-    """RECORD, ``payload_bytes`` and ``payload_digest`` of every record, as `read_archives` reads it.
-
-    Payloads are measured where they are decoded, and not kept.
-    """
-    whole, joined = _records(spark, path, measured=True)
-    measures = {
-        "payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": F.sha1("payload")
-    }
-    joined = joined.withColumns(measures).drop("payload")
-    return whole.select(*joined.columns).unionByName(joined)
-
-
-def _records(spark: SparkSession, path: str, measured: bool) -> tuple[DataFrame, DataFrame]:
-    """The records that lie whole in the archives, and those in segments with their payload."""
 
     @F.pandas_udf("binary")
     def decoded(blocks: pd.Series) -> pd.Series:
         return blocks.map(http_payload)
 
     archives = spark.read.format("binaryFile").load(path).select("content")
-    parsed = stored(_parsed(archives, measured), "parsed")
+    parsed = stored(_parsed(archives, measured=False), "parsed")
     is_whole = F.col("number").isNull()
-    joined = reassembled(parsed.where(~is_whole))
-    return parsed.where(is_whole), joined.select(*RECORD, decoded("block").alias("payload"))
+    whole = parsed.where(is_whole).select(*RECORD, F.col("block").alias("payload"))
+    joined = reassembled(parsed.where(~is_whole)).select(*RECORD, decoded("block").alias("payload"))
+    return whole.unionByName(joined)
+
+
+def measured_archives(spark: SparkSession, path: str) -> DataFrame:
+    """RECORD, ``payload_bytes`` and ``payload_digest`` of every record, as `read_archives` reads it.
+
+    Payloads are measured where they are decoded, and not kept. All records go through one grouping, in
+    which those that are not in segments have no block; so the archives are parsed once, and nothing
+    is stored for it.
+    """
+    archives = spark.read.format("binaryFile").load(path).select("content")
+    measures = ["payload_bytes", "payload_digest"]
+    grouped = _grouped(_parsed(archives, measured=True), *(F.max(name).alias(name) for name in measures))
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            segmented = batch["last"].is_valid()
+            whole = batch.filter(pc.invert(segmented))
+            yield pa.record_batch([whole[c] for c in (*RECORD, *measures)], names=[*RECORD, *measures])
+            batch = batch.filter(segmented)
+            for row in (batch.slice(at, 1) for at in range(batch.num_rows)):
+                body = http_payload(_joined(row))
+                made = [pa.array([len(body)], pa.int64()), pa.array([hashlib.sha1(body).hexdigest()])]
+                yield pa.record_batch([*(row[c] for c in RECORD), *made], names=[*RECORD, *measures])
+
+    return grouped.mapInArrow(measure, f"{_kinds(grouped)}, {MEASURES}")
 
 
 def http_payload(block: bytes) -> bytes:
