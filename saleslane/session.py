@@ -34,6 +34,8 @@ MIB = 1024**2
 # Bytes read per shuffle partition. Blocks grow with map tasks times partitions, so beyond this many
 # partitions they get larger, up to the most that a task should sort.
 SHUFFLE_TARGET = 256 * MIB
+# The same for rows that come from Parquet: in a sort they take some ten times the bytes of their files.
+PARQUET_TARGET = 32 * MIB
 MANY_PARTITIONS = 25_000
 LARGEST_TARGET = 1024 * MIB
 # Partitions this many times the median, and larger than the target, are split in joins.
