@@ -6,12 +6,13 @@ third of the rows being copies, costs one row per map task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saleslane.functions.columns import quoted
+from saleslane.jvm import estimated_bytes
 from saleslane.operators.audit import report_row
 from saleslane.schema import check_schema
 
@@ -20,6 +21,8 @@ from saleslane.schema import check_schema
 # each goes to one task, which changes no result.
 ROWS_IN_TASK = 1_000_000
 MOST_HEAVY = 1000
+# Bytes of a stored table of keys that is broadcast whole, as Spark does by itself with a small table.
+FEW_KEYS = 10 * 1024**2
 
 
 def _one_check(df: DataFrame, failed: Column, **values: str) -> DataFrame:
@@ -105,6 +108,7 @@ def matching_rows(
     salted in two steps: a key with more rows than a task should get has as many salts as its count
     asks for, and these keys, few and bounded, are made known to the rows by broadcast; then rows and
     keys meet by key and salt. All other keys have one salt. Null keys match null keys.
+    Where ``counts`` is a table of at most FEW_KEYS bytes, all its keys are broadcast and no row is shuffled.
     """
     names = [f"_key_{i}" for i in range(len(keys))]
     counts = counts.select(*[quoted(k).alias(n) for k, n in zip(keys, names, strict=True)], "row_count")
@@ -116,6 +120,9 @@ def matching_rows(
         .select(*names, salts)
     )
     same = [quoted(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names, strict=True)]
+    size = estimated_bytes(counts)
+    if size is not None and size <= FEW_KEYS:
+        return df.join(F.broadcast(counts.select(*names)), same, "left_semi")
     # any number will do for a row's salt, as each salt of a key says the same
     salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.coalesce("_salts", F.lit(1)))
     rows = df.join(F.broadcast(heavy), same, "left").withColumn("_salt", salt.cast("int"))
@@ -138,9 +145,15 @@ def orphan_rows(
     keys: Sequence[str],
     parent_keys: Sequence[str] | None = None,
     rows_in_task: int = ROWS_IN_TASK,
+    store: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """The rows whose foreign key has no parent row, whole; rows with a null key pass."""
-    return matching_rows(df, keys, orphan_keys(df, parent, keys, parent_keys), rows_in_task)
+    """The rows whose foreign key has no parent row, whole; rows with a null key pass.
+
+    ``store`` writes a table and reads it back. With it the keys are found first, so that rows are not
+    shuffled to meet them where they are few.
+    """
+    found = orphan_keys(df, parent, keys, parent_keys)
+    return matching_rows(df, keys, found if store is None else store(found), rows_in_task)
 
 
 def repeated_rows(
