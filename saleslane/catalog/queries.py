@@ -27,6 +27,7 @@ from saleslane.catalog.sales import (
     scratch,
     table,
     wide_schema,
+    write_sales_csv,
 )
 from saleslane.functions.rules import business_rule, castable, in_range, matches
 from saleslane.jvm import Files, remove
@@ -496,7 +497,7 @@ def day_of(spark: SparkSession, sf_dir: str, stages: Sequence[str]) -> str:
     raw = layer_path(base, "raw", PROCESSING_DATE)
     files = Files.of(spark, base)
     if files is None or not files.exists(f"{raw}/_SUCCESS"):
-        sales_raw(spark, sf_dir).write.mode("overwrite").csv(raw, header=True)
+        write_sales_csv(spark, sf_dir, raw)
     # ids are unique on purpose only in part, so the gate stops the run; the reports are written by then
     with suppress(QualityFailure):
         run_day(

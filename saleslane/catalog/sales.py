@@ -17,7 +17,10 @@ from saleslane.operators.enrich import (
 )
 from saleslane.operators.summaries import CUSTOMER, DAILY, PRODUCT, customer_summary_of_lines
 from saleslane.schema import define_schema
-from saleslane.session import shared_folder
+from saleslane.session import PARQUET_TARGET, shared_folder, shuffles_sized_for
+
+# Sales in one CSV file: some 150 MB of text.
+ROWS_IN_FILE = 2_000_000
 
 _schemas: dict[str, StructType] = {}
 
@@ -138,10 +141,17 @@ def _local_folder() -> str:
 def sales_files(spark: SparkSession, sf_dir: str, name: str) -> str:
     """The raw sales as CSV files with a header each, as the daily job finds them."""
     path = f"{scratch(spark, name)}/raw"
-    sales_raw(spark, sf_dir).write.mode("overwrite").csv(path, header=True)
+    write_sales_csv(spark, sf_dir, path)
     return path
 
 
+def write_sales_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The raw sales as compressed CSV. Such a file is read by one task, so its rows are bounded."""
+    with shuffles_sized_for(table(spark, sf_dir, "lineitem"), PARQUET_TARGET):
+        writer = sales_raw(spark, sf_dir).write.mode("overwrite")
+        writer.option("maxRecordsPerFile", ROWS_IN_FILE).csv(path, header=True, compression="gzip")
+
+
 def wide_schema() -> StructType:
     """The sales schema with ids that hold the order keys of large tables."""
     fields = [

@@ -26,7 +26,7 @@ from saleslane.operators.report import (
 from saleslane.operators.summaries import SUMMARIES
 from saleslane.plans.transformation import TRANSFORMED, known_schemas
 from saleslane.schema import check_schema, quality_results_schema
-from saleslane.session import shuffles_sized_for, side_by_side
+from saleslane.session import PARQUET_TARGET, shuffles_sized_for, side_by_side
 from saleslane.sources.publish import Publication
 from saleslane.sources.sinks import write_report_version
 from saleslane.sources.tables import read_layer
@@ -78,7 +78,7 @@ def audit_datasets(
         try:
             df = read_layer(own, f"{input_path}/{name}", if_empty=lambda: schemas[name])
             audit = audit_table(df, name, as_of).measured()
-            with shuffles_sized_for(df):
+            with shuffles_sized_for(df, PARQUET_TARGET):
                 return Checked(name, audit, check_referential_integrity(df, name).collect())  # a row at most
         except (PySparkException, Py4JError) as error:
             if not is_unreadable(error):

@@ -11,7 +11,7 @@ from saleslane.operators.running import merged_totals, partial_totals
 from saleslane.operators.summaries import SUMMARIES, SUMMARY_SET, Summary, SummarySets
 from saleslane.plans.stage import StageMetrics
 from saleslane.schema import processed_schema
-from saleslane.session import shuffles_sized_for
+from saleslane.session import PARQUET_TARGET, shuffles_sized_for
 from saleslane.sources.publish import Publication
 from saleslane.sources.sinks import refuse_overlap, write_layer, write_version
 from saleslane.sources.tables import read_layer, read_version
@@ -67,7 +67,7 @@ def run_transformation(
     earlier = read_layer(spark, earlier_totals) if earlier_totals else None
     transformed = transform_sales_data(processed, money_scale=money_scale, earlier=earlier)
     with Publication(spark, output_path) as out:
-        with shuffles_sized_for(processed):
+        with shuffles_sized_for(processed, PARQUET_TARGET):
             rows = write_version(
                 transformed, out, TRANSFORMED, TRANSFORMED_PARTITIONS, rebalance, lossless=True
             )
@@ -75,13 +75,13 @@ def run_transformation(
 
         fact = read_version(spark, out.layer(TRANSFORMED), transformed.schema)
         sets = SummarySets((*SUMMARIES, DAY_TOTALS) if totals_path else SUMMARIES)
-        with shuffles_sized_for(fact):
+        with shuffles_sized_for(fact, PARQUET_TARGET):
             groups = sets.of(fact)
             groups.write.partitionBy(SUMMARY_SET).parquet(out.work("summaries"))
         groups = spark.read.schema(groups.schema).parquet(out.work("summaries"))
         for summary in SUMMARIES:
             found = sets.rows(groups, summary)
-            with shuffles_sized_for(found):
+            with shuffles_sized_for(found, PARQUET_TARGET):
                 written = write_version(
                     found, out, summary.name, summary.partitions, rebalance, summary.few_rows,
                     lossless=True,
