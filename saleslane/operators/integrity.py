@@ -100,7 +100,11 @@ def orphan_keys(
 
 
 def matching_rows(
-    df: DataFrame, keys: Sequence[str], counts: DataFrame, rows_in_task: int = ROWS_IN_TASK
+    df: DataFrame,
+    keys: Sequence[str],
+    counts: DataFrame,
+    rows_in_task: int = ROWS_IN_TASK,
+    stored: bool = False,
 ) -> DataFrame:
     """The rows of ``df`` whose key is among ``counts``, which has each key once with its ``row_count``.
 
@@ -108,7 +112,8 @@ def matching_rows(
     salted in two steps: a key with more rows than a task should get has as many salts as its count
     asks for, and these keys, few and bounded, are made known to the rows by broadcast; then rows and
     keys meet by key and salt. All other keys have one salt. Null keys match null keys.
-    Where ``counts`` is a table of at most FEW_KEYS bytes, all its keys are broadcast and no row is shuffled.
+    Where ``counts`` is ``stored``, its size is known; with at most FEW_KEYS bytes, all its keys are
+    broadcast and no row is shuffled.
     """
     names = [f"_key_{i}" for i in range(len(keys))]
     counts = counts.select(*[quoted(k).alias(n) for k, n in zip(keys, names, strict=True)], "row_count")
@@ -120,7 +125,7 @@ def matching_rows(
         .select(*names, salts)
     )
     same = [quoted(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names, strict=True)]
-    size = estimated_bytes(counts)
+    size = estimated_bytes(counts) if stored else None
     if size is not None and size <= FEW_KEYS:
         return df.join(F.broadcast(counts.select(*names)), same, "left_semi")
     # any number will do for a row's salt, as each salt of a key says the same
@@ -153,7 +158,9 @@ def orphan_rows(
     shuffled to meet them where they are few.
     """
     found = orphan_keys(df, parent, keys, parent_keys)
-    return matching_rows(df, keys, found if store is None else store(found), rows_in_task)
+    if store is None:
+        return matching_rows(df, keys, found, rows_in_task)
+    return matching_rows(df, keys, store(found), rows_in_task, stored=True)
 
 
 def repeated_rows(
