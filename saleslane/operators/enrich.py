@@ -5,10 +5,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saleslane.functions.columns import MONEY_SCALE, SPEND_TIERS, date_parts, line_amount, spend_tier
+from saleslane.functions.columns import MONEY_SCALE, SPEND_TIERS, date_parts, line_amount, quoted, spend_tier
 from saleslane.operators.running import with_earlier
 
 # A customer is heavy with at least this many rows and this share of all rows. No more than
@@ -25,7 +25,7 @@ def add_line_facts(df: DataFrame) -> DataFrame:
 def add_group_total(
     df: DataFrame,
     key: str,
-    amount: str,
+    amount: str | Column,
     total: str,
     heavy_rows: int = HEAVY_ROWS,
     heavy_share: float = HEAVY_SHARE,
@@ -73,10 +73,13 @@ def add_group_total(
 
 
 def add_customer_total(
-    df: DataFrame, earlier: DataFrame | None = None, **limits: float
+    df: DataFrame,
+    earlier: DataFrame | None = None,
+    amount: str | Column = "total_amount",
+    **limits: float,
 ) -> DataFrame:
     total = "customer_total_spent"
-    return add_group_total(df, "customer_id", "total_amount", total, earlier=earlier, **limits)
+    return add_group_total(df, "customer_id", amount, total, earlier=earlier, **limits)
 
 
 def add_customer_tier(
@@ -98,6 +101,10 @@ def transform_sales_data(
     """The sales fact with every derived column.
 
     Totals and tiers cover the rows of ``df``, and what customers spent before if ``earlier`` has it.
+    What a row tells by itself is added behind the join of the totals, so that it is not shuffled.
     """
-    totals = add_customer_total(add_line_facts(df), earlier, **limits)
+    total = "customer_total_spent"
+    names = [c for c in add_line_facts(df).columns if c != total]
+    joined = add_customer_total(df, earlier, line_amount(), **limits)
+    totals = add_line_facts(joined).select(*[quoted(c) for c in names], total)
     return add_customer_tier(totals, tiers, money_scale)

@@ -25,10 +25,10 @@ MOST_HEAVY = 1000
 FEW_KEYS = 10 * 1024**2
 
 
-def _one_check(df: DataFrame, failed: Column, **values: str) -> DataFrame:
+def _one_check(df: DataFrame, failed: Column, total: Column | None = None, **values: str) -> DataFrame:
     """Aggregate ``df`` to a single check row."""
-    counted = df.agg(failed.alias("failed"))
-    row = report_row(failed_records=F.col("failed"), **values).alias("row")
+    counted = df.agg(failed.alias("failed"), (F.lit(None) if total is None else total).alias("total"))
+    row = report_row(failed_records=F.col("failed"), total_records=F.col("total"), **values).alias("row")
     return counted.select(row).select("row.*").to(check_schema())
 
 
@@ -41,9 +41,9 @@ def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def check_referential_integrity(
-    df: DataFrame, table_name: str = "unknown", key: str = "id"
+    df: DataFrame, table_name: str = "unknown", key: str = "id", with_total: bool = False
 ) -> DataFrame:
-    """Rows beyond the first of each id; null ids are copies of one another.
+    """Rows beyond the first of each id; null ids are copies of one another. ``with_total`` adds all rows.
 
     Total minus distinct, both from one grouping by the key alone. It stays out of the one-pass
     audit on purpose: there every measure of the table would be carried through the shuffle
@@ -51,10 +51,11 @@ def check_referential_integrity(
     """
     if key not in df.columns:
         return _empty_checks(df)
-    surplus = F.coalesce(F.sum("row_count"), F.lit(0)) - F.count(F.lit(1))
+    rows = F.coalesce(F.sum("row_count"), F.lit(0))
     return _one_check(
         key_counts(df, [key]),
-        surplus,
+        rows - F.count(F.lit(1)),
+        total=rows if with_total else None,
         table_name=table_name,
         check_type="integrity",
         check_name=f"duplicate_{key}s",
