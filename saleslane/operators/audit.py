@@ -8,11 +8,11 @@ rows are then unfolded from that one row of measures.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleslane.functions.columns import (
@@ -73,15 +73,14 @@ class TableAudit:
             ]
         return found
 
-    def observed(self, df: DataFrame) -> tuple[DataFrame, Observation]:
-        """``df``, the audited table, with the measures taken while another action reads all of its rows."""
-        found = Observation()
-        return df.observe(found, *self._aggregates()), found
+    def as_read(self, df: DataFrame) -> DataFrame:
+        """``df``, the audited table, of which any other reader reads the columns that `results` reads."""
+        counts = self._aggregates()[: 1 + len(self.checked) + len(self.rules)]
+        return df.observe("as_read", *counts)
 
-    def measured(self, row: Mapping[str, object] | None = None) -> Measured:
-        """Go on, on the driver, from one row of measures; without one, run the scan now."""
-        if row is None:
-            row = self.measures.first().asDict()
+    def measured(self) -> Measured:
+        """Run the scan now and go on, on the driver, from its one row of measures."""
+        row = self.measures.first()
         missing = [row[f"missing_{i}"] for i in range(len(self.checked))]
         failed = [row[f"failed_{i}"] for i in range(len(self.rules))]
         found = zip(self._about(), [*missing, *failed], strict=True)

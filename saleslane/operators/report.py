@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleslane.functions.rules import amount_agrees, sales_validity
-from saleslane.operators.audit import TableAudit, measured_results, report_row
+from saleslane.operators.audit import TableAudit, report_row
 from saleslane.operators.integrity import check_referential_integrity
 from saleslane.schema import check_schema, quality_results_schema
 
@@ -26,15 +26,20 @@ def union_checks(checks: list[DataFrame]) -> DataFrame:
     return (merged.withColumns(absent) if absent else merged).to(schema)
 
 
-def audit_table(df: DataFrame, table_name: str, as_of=None, profile: bool = True) -> TableAudit:
+def audit_table(df: DataFrame, table_name: str, as_of=None) -> TableAudit:
     """The standard audit of one table: completeness, validity, consistency and profile."""
-    return TableAudit(df, table_name, [*sales_validity(as_of), amount_agrees()], profile=profile)
+    return TableAudit(df, table_name, [*sales_validity(as_of), amount_agrees()])
 
 
 def table_checks(df: DataFrame, table_name: str, as_of=None) -> DataFrame:
-    """All four check families of one table."""
+    """All four check families of one table.
+
+    The audit reads many columns, the check of the ids one. For a table that comes out of joins, that would
+    be other joins and shuffles; where both read the same columns, Spark shuffles once for the two.
+    """
     audit = audit_table(df, table_name, as_of)
-    return union_checks([audit.results(), check_referential_integrity(df, table_name)])
+    rows = audit.as_read(df)
+    return union_checks([audit.results(), check_referential_integrity(rows, table_name)])
 
 
 def unreadable_dataset(spark: SparkSession, table_name: str) -> DataFrame:
@@ -57,36 +62,9 @@ def stamp(checks: DataFrame, processing_date: str) -> DataFrame:
 def quality_results(
     tables: Mapping[str, DataFrame], processing_date: str, as_of=None
 ) -> DataFrame:
-    """Report over all tables, whose checks run now, as one job that reads each table once.
-
-    Apart, the audit and the check of the ids would each take a pass over a table, and a shuffle where it
-    comes out of a join. So the audit watches the rows that the check of the ids groups. Where a task ran
-    again after a lost executor, it has seen rows twice; then, and without rows, it reads the table itself.
-    """
-    checks, watched = [], {}
-    for name, df in tables.items():
-        if "id" not in df.columns:
-            checks.append(table_checks(df, name, as_of))
-            continue
-        audit = audit_table(df, name, as_of, profile=False)
-        seen, found = audit.observed(df)
-        watched[name] = audit, found
-        checks.append(check_referential_integrity(seen, name, with_total=True))
-    audits = []
-    rows = [row.asDict() for row in union_checks(checks).collect()]  # a few for each column and rule
-    for row in rows:
-        if row["check_type"] == "integrity" and row["table_name"] in watched:
-            audit, found = watched[row["table_name"]]
-            seen = found.get if row["total_records"] else {}
-            audits.append(audit.measured(seen if seen.get("rows") == row["total_records"] else None))
-            row["total_records"] = None
-    schema = check_schema()
-    spark = next(iter(tables.values())).sparkSession
-    found_rows = [tuple(row[name] for name in schema.fieldNames()) for row in rows]
-    results = [spark.createDataFrame(found_rows, schema)]
-    if audits:
-        results.insert(0, measured_results(spark, audits))
-    return stamp(union_checks(results), processing_date)
+    """Report over all tables as one lazy DataFrame."""
+    checks = [table_checks(df, name, as_of) for name, df in tables.items()]
+    return stamp(union_checks(checks), processing_date)
 
 
 def is_failed(min_completeness: float = MIN_COMPLETENESS):
