@@ -8,6 +8,7 @@ rows are then unfolded from that one row of measures.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -76,7 +77,8 @@ class TableAudit:
     def as_read(self, df: DataFrame) -> DataFrame:
         """``df``, the audited table, of which any other reader reads the columns that `results` reads."""
         counts = self._aggregates()[: 1 + len(self.checked) + len(self.rules)]
-        return df.observe("as_read", *counts)
+        # a name of its own, as a plan may hold several
+        return df.observe(f"as_read_{uuid.uuid4().hex}", *counts)
 
     def measured(self) -> Measured:
         """Run the scan now and go on, on the driver, from its one row of measures."""
